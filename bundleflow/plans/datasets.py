@@ -62,3 +62,13 @@ def registry_keys(spark: SparkSession, sf_dir: str, resource_type: str) -> list[
     rows = (resource_schemas(spark, sf_dir).where(F.col("resourceType") == resource_type)
             .select("column_name").orderBy("column_name").collect())
     return [r.column_name for r in rows]
+
+
+def silver(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
+    """C10 for one type with the registry's key list (projection; see silver.py)."""
+    from .silver import silver_table
+    return silver_table(entries(spark, sf_dir), resource_type, registry_keys(spark, sf_dir, resource_type))
+
+
+def bundle_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resources.bundle_meta(bronze_variant(spark, sf_dir))

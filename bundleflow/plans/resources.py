@@ -34,11 +34,14 @@ def entries(vb: DataFrame) -> DataFrame:
     shuffle is needed to find them.  Bundles without ``entry`` give no rows.
     """
     arr = F.try_variant_get("fhir", "$.entry", "array<variant>")
-    urls = F.array_sort(F.transform(arr, lambda e: F.try_variant_get(e, "$.fullUrl", "string")))
+    # project the sorted url list once, then compare neighbours on that column
+    staged = vb.where(F.col("fhir").isNotNull()).select("bundle_uuid", arr.alias("_arr")).select(
+        "bundle_uuid", "_arr",
+        F.array_sort(F.transform("_arr", lambda e: F.try_variant_get(e, "$.fullUrl", "string"))).alias("_urls"))
+    urls = F.col("_urls")
     dups = F.array_distinct(F.filter(
         urls, lambda u, i: F.when(i > 0, u == F.element_at(urls, i)).otherwise(F.lit(False))))
-    e = vb.where(F.col("fhir").isNotNull()).select(
-        "bundle_uuid", dups.alias("_dups"), F.posexplode(arr).alias("entry_pos", "entry"))
+    e = staged.select("bundle_uuid", dups.alias("_dups"), F.posexplode("_arr").alias("entry_pos", "entry"))
     full_url = get("entry", "$.fullUrl", "string")
     return e.select(
         "bundle_uuid",
