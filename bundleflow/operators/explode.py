@@ -25,8 +25,8 @@ def explode_object(df: DataFrame, v: Column | str, prefix: str = "", outer: bool
     return df.select("*", gen(as_object(v)).alias(f"{prefix}pos", f"{prefix}key", f"{prefix}value"))
 
 
-def object_fields(v: Column | str, keys: list[str]) -> list[Column]:
+def object_fields(v: Column | str, keys: list[str], prefix: str = "") -> list[Column]:
     """``LATERAL variant_explode(obj) |> PIVOT (first(value) FOR key IN (keys))`` grouped by
     the row itself, written as what it equals: one field read per key (object keys
     are unique once parsed), so no shuffle is needed."""
-    return [get(v, f"$['{k}']").alias(k) for k in keys]
+    return [get(v, f"$['{k}']").alias(prefix + k) for k in keys]

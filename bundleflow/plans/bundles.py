@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variant import as_array, get, to_variant
-from ..operators.explode import object_fields
 from ..operators.pivot import pivot_fixed
 
 HEADER_KEYS = ["id", "entry", "resourceType", "type", "meta", "Meta", "timestamp"]
@@ -16,16 +15,19 @@ BUNDLE_META_STRUCT = "struct<lastUpdated: string, profile: array<string>, versio
 
 def bundle_header(vb: DataFrame, keys: list[str] = HEADER_KEYS) -> DataFrame:
     """C17: top-level object explode + header pivot, typed."""
-    f = vb.where(F.col("fhir").isNotNull()).select(
-        "bundle_uuid", "file_metadata", *object_fields("fhir", keys))
-    return f.select(
-        "bundle_uuid", "file_metadata", "entry",
-        get("id", "$", "string").alias("bundle_id"),
-        get("resourceType", "$", "string").alias("bundle_resourceType"),
-        get("type", "$", "string").alias("bundle_type"),
-        get("timestamp", "$", "timestamp").alias("bundle_timestamp"),
-        get("meta", "$", BUNDLE_META_STRUCT).alias("bundle_meta"),
-        F.col("Meta").alias("bundle_Meta"),
+    # Each header key is read straight from the object in one projection (the
+    # pivot of a single-object explode); keys equal up to case (meta / Meta)
+    # never become same-named intermediate columns.
+    del keys
+    return vb.where(F.col("fhir").isNotNull()).select(
+        "bundle_uuid", "file_metadata",
+        get("fhir", "$['entry']").alias("entry"),
+        get("fhir", "$['id']", "string").alias("bundle_id"),
+        get("fhir", "$['resourceType']", "string").alias("bundle_resourceType"),
+        get("fhir", "$['type']", "string").alias("bundle_type"),
+        get("fhir", "$['timestamp']", "timestamp").alias("bundle_timestamp"),
+        get("fhir", "$['meta']", BUNDLE_META_STRUCT).alias("bundle_meta"),
+        get("fhir", "$['Meta']").alias("bundle_meta_v"),
     )
 
 
