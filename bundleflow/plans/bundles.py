@@ -61,12 +61,30 @@ def nested_resources(entries: DataFrame, inner_type: str) -> DataFrame:
     return e.where(F.col("second_pass_resourceType") == inner_type)
 
 
-def resource_arrays(entries: DataFrame, types: list[str]) -> DataFrame:
-    """Per bundle, one VARIANT array column per resource type (entries in bundle order).
+def resource_arrays(vb: DataFrame, types: list[str]) -> DataFrame:
+    """Per bundle, one VARIANT array per resource type, entries in bundle order.
 
-    One ``groupBy(bundle).pivot(type).agg(collect_list)`` does the reference's
-    pivot + regroup; bundles are size-bounded, so each group is too.  A type
-    absent from a bundle gives an empty array.
+    The reference explodes the entries, pivots on resource type and regroups by
+    bundle (two aggregations).  All entries of a bundle live in one bronze row,
+    so the same arrays are a per-row filter of that row's ``entry`` array: no
+    shuffle at all.  A type absent from a bundle gives an empty array.
+    """
+    arr = F.try_variant_get("fhir", "$.entry", "array<variant>")
+    staged = vb.where(F.col("fhir").isNotNull()).select("bundle_uuid", arr.alias("_entries"))
+
+    def of_type(t: str) -> Column:
+        kept = F.filter(F.coalesce(F.col("_entries"), F.array().cast("array<variant>")),
+                        lambda e: F.try_variant_get(e, "$.resource.resourceType", "string") == t)
+        return to_variant(kept).alias(t)
+
+    return staged.select("bundle_uuid", *[of_type(t) for t in types])
+
+
+def resource_arrays_grouped(entries: DataFrame, types: list[str]) -> DataFrame:
+    """C20 in the reference's shape (explode, pivot by type, regroup by bundle) over entry rows.
+
+    Use when entry rows of one bundle may come from several inputs; otherwise
+    ``resource_arrays`` gives the same arrays without the shuffle.
     """
     e = entries.select(
         "bundle_uuid", "resourceType",

@@ -93,3 +93,17 @@ def describe_codes(df: DataFrame, code_cols: list[str], lookup: DataFrame, key_c
         out = (out.join(lk.withColumnRenamed("_code", f"_code_{c}"), F.col(c) == F.col(f"_code_{c}"), "left")
                .withColumnRenamed("_desc", c + suffix).drop(f"_code_{c}"))
     return out
+
+
+REQUEST_FUNCTION_SQL = """
+CREATE OR REPLACE TEMPORARY FUNCTION fhir_request(method STRING, resource STRING, action STRING, data STRING)
+RETURNS STRING
+NOT DETERMINISTIC
+COMMENT 'Request descriptor for the batched transport: method (get|post), FHIR resource, action, id or payload.'
+RETURN to_json(named_struct('method', lower(method), 'resource', resource, 'action', action, 'data', data))
+"""
+
+
+def register_sql_functions(spark) -> None:
+    """The SQL scalar function surface; the calls themselves go through ``request_batches``."""
+    spark.sql(REQUEST_FUNCTION_SQL)

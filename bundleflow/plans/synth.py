@@ -208,9 +208,13 @@ def file_metadata(path: Column, name: Column, value: Column, mtime: Column) -> C
     )
 
 
-def customer_bundles(order_bundles_df: DataFrame) -> DataFrame:
-    """Outer ``batch`` bundle per customer holding the customer's order bundles as entries."""
-    b = order_bundles_df.select("bundle_id", "o_custkey", "value")
+def customer_bundles(bundles: DataFrame) -> DataFrame:
+    """Outer ``batch`` bundle per customer holding that customer's order bundles as entries.
+
+    Input: (bundle_id, o_custkey, value) rows of order bundles.  Customers with
+    more than ``ORDERS_PER_OUTER_BUNDLE`` orders get continuation bundles.
+    """
+    b = bundles.select("bundle_id", "o_custkey", "value")
     b = chunk_of(b, "o_custkey", ["bundle_id"], ORDERS_PER_OUTER_BUNDLE)
     g = b.groupBy("o_custkey", "chunk").agg(F.array_sort(F.collect_list(F.struct("bundle_id", "value"))).alias("inner"))
     outer_id = F.concat(F.lit("customer-"), _bundle_id(F.col("o_custkey"), F.col("chunk")))
@@ -226,3 +230,13 @@ def customer_bundles(order_bundles_df: DataFrame) -> DataFrame:
                       F.concat(outer_id, F.lit(".json")), value, F.lit(None).cast("timestamp")).alias("file_metadata"),
         value.alias("value"),
     )
+
+
+def order_bundles_from_variant(vb: DataFrame) -> DataFrame:
+    """(bundle_id, o_custkey, value) of stored order bundles: id and customer read from the bundle."""
+    ref = F.try_variant_get("fhir", "$.entry[0].resource.customer.reference", "string")
+    return vb.where(F.col("fhir").isNotNull()).select(
+        F.try_variant_get("fhir", "$.id", "string").alias("bundle_id"),
+        F.element_at(F.split(ref, "/"), -1).cast("long").alias("o_custkey"),
+        F.to_json("fhir").alias("value"),
+    )

@@ -67,10 +67,26 @@ def copy_files(spark, src_dir: str, dst_dir: str, glob: str = "*") -> DataFrame:
     return copy_manifest(manifest, "src", "dst")
 
 
-def write_one_file_per_row(df: DataFrame, key_col: str, value_col: str, path: str) -> None:
-    """D14 and landing generation: each row's text as its own file under ``<path>/<key>=<k>/``.
+def write_one_file_per_row(df: DataFrame, key_col: str, value_col: str, path: str, suffix: str = "") -> int:
+    """D14 and landing generation: each row's text as its own file ``<path>/<key><suffix>``.
 
-    Partitioning by the (unique) key puts each value in its own folder and file;
-    whole-file readers then see one record per file.
+    Files are written by the executors holding the rows (``mapInPandas`` through
+    ``pyarrow.fs``), with the exact text and no extra newline; the driver only
+    receives the file count.  Keys must be unique; rewriting a file overwrites it.
     """
-    df.select(key_col, value_col).write.mode("append").partitionBy(key_col).text(path)
+    base = path.rstrip("/")
+
+    def run(batches):
+        from pyarrow import fs as pafs
+        fs = root = None
+        for pdf in batches:
+            if fs is None:
+                fs, root = pafs.FileSystem.from_uri(_uri(base))
+                fs.create_dir(root, recursive=True)
+            for k, v in zip(pdf[key_col], pdf[value_col]):
+                with fs.open_output_stream(f"{root}/{k}{suffix}") as o:
+                    o.write((v or "").encode("utf-8"))
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    out = df.select(key_col, value_col).mapInPandas(run, "n long").agg(F.sum("n")).first()[0]
+    return int(out or 0)

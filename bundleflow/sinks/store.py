@@ -59,3 +59,26 @@ def materialize(
             w = w.partitionBy(*partition_by)
         w.parquet(path)
     return spark.read.parquet(path)
+
+
+def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
+    """Column comments as field metadata (kept in the Parquet footer's Spark schema)."""
+    for c, text in comments.items():
+        if c in df.columns:
+            df = df.withMetadata(c, {**df.schema[c].metadata, "comment": text})
+    return df
+
+
+def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """``CREATE OR REPLACE TABLE ... AS SELECT`` as an overwrite of a Parquet folder."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def replace_view(df: DataFrame, name: str) -> DataFrame:
+    """``CREATE OR REPLACE VIEW`` over a parametrised DataFrame (session-scoped)."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)

@@ -20,6 +20,7 @@ replaces its own output instead of duplicating it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,7 @@ from pyspark.sql.types import StructType
 
 from ..plans import bronze, resources
 from ..session import join_path
-from ..sinks.store import delete_path, list_dirs, path_exists
+from ..sinks.store import delete_path, list_dirs, path_exists, with_comments
 
 FILE_METADATA_FIELDS = ["file_path", "file_name", "file_size", "file_block_start",
                         "file_block_length", "file_modification_time"]
@@ -165,7 +166,17 @@ def read_silver(spark: SparkSession, layout: Layout, resource_type: str) -> Data
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
-def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = None):
+def silver_comments(resource_type: str) -> dict[str, str]:
+    """Comments of the fixed columns of a wide table."""
+    t = resource_type.lower()
+    return {
+        f"{t}_uuid": f"Unique identifier of the {resource_type} resource in a bundle.",
+        "bundle_uuid": "Unique identifier of the bundle.",
+        f"{t}_url": f"fullUrl of the {resource_type} entry; joins related resources within a bundle.",
+    }
+
+
+def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = None, parallel_types: int = 4):
     """C8-C10/ST6/ST8: wide tables per resource type, built inside ``foreachBatch``.
 
     A bundle is one file and so never spans micro-batches: every resource's
@@ -180,22 +191,27 @@ def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = Non
 
     stream = read_stream_table(spark, layout, "entries", read_entries(spark, layout).schema)
 
+    def one_type(batch: DataFrame, batch_id: int, registry: DataFrame, t: str) -> None:
+        cols = silver_columns(spark, layout, t)
+        existing = existing_columns(spark, t, cols)
+        if drift_log is not None:
+            added = [r[0] for r in new_keys(registry, existing, t, fixed_columns(t)).collect()]
+            if added:
+                drift_log.append((batch_id, t, sorted(added)))
+        keys = ordered_key_list(registry, existing, t)
+        wide = with_comments(silver_table(batch, t, keys), silver_comments(t))
+        wide.write.mode("overwrite").parquet(join_path(layout.silver(t), f"batch_id={batch_id:09d}"))
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             registry = latest_schemas(spark, layout)
-            types = [r[0] for r in batch.select("resourceType").where(F.col("resourceType").isNotNull())
-                     .distinct().collect()]  # C6: bounded by the number of resource types
-            for t in sorted(types):
-                cols = silver_columns(spark, layout, t)
-                existing = existing_columns(spark, t, cols)
-                if drift_log is not None:
-                    added = [r[0] for r in new_keys(registry, existing, t, fixed_columns(t)).collect()]
-                    if added:
-                        drift_log.append((batch_id, t, sorted(added)))
-                keys = ordered_key_list(registry, existing, t)
-                (silver_table(batch, t, keys).write.mode("overwrite")
-                 .parquet(join_path(layout.silver(t), f"batch_id={batch_id:09d}")))
+            types = sorted(r[0] for r in batch.select("resourceType").where(F.col("resourceType").isNotNull())
+                           .distinct().collect())  # C6: bounded by the number of resource types
+            # ST10: the per-type writes are independent jobs; run them concurrently
+            with ThreadPoolExecutor(max_workers=max(1, min(parallel_types, len(types) or 1))) as pool:
+                for f in [pool.submit(one_type, batch, batch_id, registry, t) for t in types]:
+                    f.result()
         finally:
             batch.unpersist()
 

@@ -44,7 +44,10 @@ def test_header_and_meta(vb):
 
 def test_claim_review_paths(spark, vb):
     types = ["Claim", "Patient", "Practitioner", "Organization", "Coverage", "RelatedPerson", "ServiceRequest"]
-    arr = bundles.resource_arrays(resources.entries(vb), types)
+    arr = bundles.resource_arrays(vb, types)
+    grouped = bundles.resource_arrays_grouped(resources.entries(vb), types)
+    assert ([r.asDict() for r in arr.select(*[F.to_json(t).alias(t) for t in types]).collect()]
+            == [r.asDict() for r in grouped.select(*[F.to_json(t).alias(t) for t in types]).collect()])
     r = spark.sql("""
         SELECT Claim:[0].resource.id::string AS claim_id
               ,Claim:[0].resource.created::timestamp AS created
