@@ -49,6 +49,7 @@ def build_session(
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session (driver-made ones too)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     work_dir(spark)

@@ -71,3 +71,34 @@ def test_document_staging(spark, tmp):
     docs = read_documents(spark, layout).collect()
     assert len(docs) == 3 and all(d.copy_status["status"] == "success" for d in docs)
     assert sorted(os.listdir(os.path.join(tmp, "staged"))) == ["d0.xml", "d1.xml", "d2.xml"]
+
+
+def test_config_driven_ingest(spark, tmp):
+    from bundleflow.streaming.ccda import read_documents
+    from bundleflow.streaming.configured import run_definitions
+    cfg = os.path.join(tmp, "cfg")
+    os.makedirs(cfg)
+    for name in ("alpha", "beta"):
+        land = os.path.join(tmp, name)
+        os.makedirs(land)
+        for i in range(2):
+            with open(os.path.join(land, f"{name}{i}.xml"), "w") as f:
+                f.write(f"<doc n='{i}'/>")
+        with open(os.path.join(cfg, f"{name}.json"), "w") as f:
+            json.dump({"name": name, "landing": land, "glob": "*.xml", "stage_dir": os.path.join(tmp, "st", name),
+                       "root": os.path.join(tmp, "out", name), "max_files_per_trigger": 1}, f, indent=2)
+    layouts = run_definitions(spark, cfg)
+    assert sorted(layouts) == ["alpha", "beta"]
+    assert all(read_documents(spark, lay).count() == 2 for lay in layouts.values())
+
+
+def test_uuid_and_hash_ids(spark):
+    from bundleflow.plans import bronze
+    df = spark.createDataFrame([("a", "{}"), ("b", "{}")], "k string, value string").select(
+        F.struct(F.col("k").alias("file_path"), F.current_timestamp().alias("file_modification_time")
+                 ).alias("file_metadata"), "value")
+    u = [r.bundle_uuid for r in bronze.bronze_from_text(df, "uuid").collect()]
+    assert len(set(u)) == 2 and all(len(x) == 36 for x in u)
+    h1 = [r.bundle_uuid for r in bronze.bronze_from_text(df, "hash", F.col("file_metadata.file_path")).collect()]
+    h2 = [r.bundle_uuid for r in bronze.bronze_from_text(df, "hash", F.col("file_metadata.file_path")).collect()]
+    assert h1 == h2 and len(h1[0]) == 64
