@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.variant import as_array, decode_base64_text, get, parse
+from ..operators.joins import small_side
 from ..operators.pivot import pivot_fixed
 
 
@@ -59,6 +60,9 @@ def price_periods(usage: DataFrame, sku_col: str, date_col: str, price_expr) ->
 def usage_cost(usage: DataFrame, prices: DataFrame, sku_col: str, start_col: str, end_col: str,
                qty_col: str) -> DataFrame:
     """C26 (J3, A6, P9): equality on SKU plus a range with an open upper bound, then sum(qty * price)."""
+    # prices are bounded by SKUs x periods; broadcast after a checked count, so the
+    # low-cardinality SKU key never becomes the shuffle key of the usage side
+    prices = small_side(prices)
     cond = (
         (usage[sku_col] == prices["price_sku"])
         & (usage[start_col] >= prices["price_start"])

@@ -52,6 +52,10 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # A micro-batch of many small files is listed by a distributed job with one
+    # task per path up to 10,000; size that job to the cluster instead.
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                   str(max(8, spark.sparkContext.defaultParallelism)))
     work_dir(spark)
     ship_package(spark)
     return spark

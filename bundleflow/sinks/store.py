@@ -8,6 +8,7 @@ later queries start from Parquet instead of recomputing lineage.  Presence of
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,12 +53,29 @@ def materialize(
     build: Callable[[], DataFrame],
     partition_by: list[str] | None = None,
 ) -> DataFrame:
-    """Write ``build()`` to ``path`` unless a complete copy exists; return a scan of it."""
+    """Write ``build()`` to ``path`` unless a complete copy exists; return a scan of it.
+
+    The write goes to a fresh sibling folder that is renamed into place, so a
+    reader never sees a half-written table and two writers racing on the same
+    path leave exactly one complete copy.
+    """
     if not path_exists(spark, join_path(path, "_SUCCESS")):
+        tmp = f"{path.rstrip('/')}.tmp-{uuid.uuid4().hex}"
         w = build().write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(path)
+        w.parquet(tmp)
+        fs, src = _fs(spark, tmp)
+        jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        dst = jpath(path)
+        if fs.exists(jpath(join_path(path, "_SUCCESS"))):
+            fs.delete(src, True)  # another writer finished first; keep its copy
+        else:
+            if fs.exists(dst):
+                fs.delete(dst, True)  # leftover of an interrupted write
+            # rename onto an existing folder would nest it, hence the checks above
+            if not fs.rename(src, dst):
+                fs.delete(src, True)
     return spark.read.parquet(path)
 
 

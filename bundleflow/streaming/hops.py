@@ -226,19 +226,29 @@ def drop_all(spark: SparkSession, layout: Layout) -> None:
 
 def run(spark: SparkSession, landing: str, root: str, full_refresh: bool = False, id_mode: str = "hash",
         max_files_per_trigger: int | None = None, glob: str = "*.json",
-        drift_log: list | None = None) -> Layout:
+        drift_log: list | None = None, timings: dict | None = None) -> Layout:
     """Optional full refresh (ST3) -> bronze -> variant -> meta and entries -> schemas -> silver."""
+    import time
+
     layout = Layout(root)
+
+    def step(name, fn, *args):
+        t0 = time.perf_counter()
+        out = fn(*args)
+        if timings is not None:
+            timings[name] = timings.get(name, 0.0) + time.perf_counter() - t0
+        return out
+
     if full_refresh:
-        drop_all(spark, layout)
-    bronze_hop(spark, landing, layout, id_mode, max_files_per_trigger, glob)
+        step("drop", drop_all, spark, layout)
+    step("bronze", bronze_hop, spark, landing, layout, id_mode, max_files_per_trigger, glob)
     if not path_exists(spark, layout.table("bronze")):
         return layout  # nothing landed yet
-    variant_hop(spark, layout)
-    meta_hop(spark, layout)
-    entries_hop(spark, layout)
-    if not path_exists(spark, layout.table("entries")) or not list_dirs(spark, layout.table("entries")):
+    step("variant", variant_hop, spark, layout)
+    step("meta", meta_hop, spark, layout)
+    step("entries", entries_hop, spark, layout)
+    if not list_dirs(spark, layout.table("entries")):
         return layout
-    schemas_hop(spark, layout)
-    silver_hop(spark, layout, drift_log)
+    step("schemas", schemas_hop, spark, layout)
+    step("silver", silver_hop, spark, layout, drift_log)
     return layout
