@@ -12,7 +12,7 @@ Scale notes
 -----------
 * Line order inside a bundle is fixed by sorting inside the per-bundle
   aggregate (bounded size), never by a window over the order key.
-* A bundle holds at most ``LINES_PER_BUNDLE`` lines.  Orders above that are split
+* A bundle holds about ``LINES_PER_BUNDLE`` lines at most.  Orders above that are split
   into continuation bundles ``<orderkey>-<chunk>`` by hashing the line into one
   of ``ceil(lines / LINES_PER_BUNDLE)`` chunks, so a hot order is spread over many
   tasks instead of one.  The list of such orders is broadcast only after its
