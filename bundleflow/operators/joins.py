@@ -19,6 +19,7 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+
 def reference_key(full_url: Column) -> Column:
     """J5: 'Type/id' from the last two segments of a fullUrl (works for relative and absolute urls)."""
     parts = F.split(full_url, "/")

@@ -86,11 +86,22 @@ def request_batches(df: DataFrame, transport: Transport, method: str, resource:
 
 def describe_codes(df: DataFrame, code_cols: list[str], lookup: DataFrame, key_col: str,
                    desc_col: str, suffix: str = "_desc") -> DataFrame:
-    """U7 re-aimed: code descriptions by join to a code table (broadcast only after a size check)."""
-    lk = small_side(lookup.select(F.col(key_col).cast("string").alias("_code"), F.col(desc_col).alias("_desc")))
+    """U7 re-aimed: code descriptions by join to a code table.
+
+    Small code table: broadcast it (after a size check) and look up each column
+    without a shuffle.  Large code table: first cut it down to the codes actually
+    used (one semi-join, so the big table is shuffled once, not once per column),
+    then broadcast that subset if it is small, else join it per column.
+    """
+    lk = lookup.select(F.col(key_col).cast("string").alias("_code"), F.col(desc_col).alias("_desc"))
+    side = small_side(lk)
+    if side is lk:  # not provably small
+        used = (df.select(F.explode(F.array(*[F.col(c) for c in code_cols])).alias("_code"))
+                .where(F.col("_code").isNotNull()).distinct())
+        side = small_side(lk.join(used, "_code", "left_semi").persist())
     out = df
     for c in code_cols:
-        out = (out.join(lk.withColumnRenamed("_code", f"_code_{c}"), F.col(c) == F.col(f"_code_{c}"), "left")
+        out = (out.join(side.withColumnRenamed("_code", f"_code_{c}"), F.col(c) == F.col(f"_code_{c}"), "left")
                .withColumnRenamed("_desc", c + suffix).drop(f"_code_{c}"))
     return out
 

@@ -123,3 +123,25 @@ def test_copy_files(spark, tmp):
     assert sorted(os.listdir(os.path.join(tmp, "dst"))) == ["a.json", "b.json"]
     again = copy_files(spark, src, os.path.join(tmp, "dst"), "*.json").collect()  # overwrite is fine
     assert all(r.status["status"] == "success" for r in again)
+
+
+def test_describe_codes_large_lookup_path(spark, monkeypatch):
+    import bundleflow.operators.joins as J
+    from bundleflow.plans.enrich import describe_codes
+    monkeypatch.setattr(J, "BROADCAST_ROW_BOUND", 1)  # force the "not provably small" path
+    monkeypatch.setattr(J.small_side, "__defaults__", (1,))
+    df = spark.createDataFrame([("a", "b"), ("c", None)], "c1 string, c2 string")
+    lk = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "C"), ("z", "Z")], "k string, d string")
+    got = {(r.c1, r.c1_desc, r.c2_desc) for r in describe_codes(df, ["c1", "c2"], lk, "k", "d").collect()}
+    assert got == {("a", "A", "B"), ("c", "C", None)}
+
+
+def test_apply_ddl_direct_and_via_json(spark):
+    from bundleflow.plans.writeback import apply_ddl, infer_ddl
+    from bundleflow.functions.variant import parse
+    v = spark.createDataFrame([('{"a":1.5,"b":{"c":"x"}}',), ('{"a":2,"b":{"c":"y"}}',)], "t string").select(
+        parse("t").alias("v"))
+    ddl = infer_ddl(v, ["v"])
+    direct = sorted((r.v.a, r.v.b.c) for r in apply_ddl(v, ddl).collect())
+    via = sorted((r.v.a, r.v.b.c) for r in apply_ddl(v, ddl, via_json=True).collect())
+    assert direct == via and [float(a) for a, _ in direct] == [1.5, 2.0]
