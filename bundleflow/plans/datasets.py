@@ -32,8 +32,14 @@ def bronze_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entry rows, partitioned by ``resourceType``.
+
+    ``REBALANCE`` by type before the partitioned write: AQE groups rows of a type,
+    splits big types into advisory-size partitions and merges small ones, so each
+    type lands in a few well-sized files instead of one small file per input split.
+    """
     return materialize(spark, _path(spark, sf_dir, "entries"),
-                       lambda: resources.entries(bronze_variant(spark, sf_dir)),
+                       lambda: resources.entries(bronze_variant(spark, sf_dir)).hint("rebalance", "resourceType"),
                        partition_by=["resourceType"])
 
 

@@ -56,12 +56,16 @@ def configure(spark: SparkSession) -> SparkSession:
     # task per path up to 10,000; size that job to the cluster instead.
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
                    str(max(8, spark.sparkContext.defaultParallelism)))
+    # Bundle tables hold whole documents per row (megabytes each in production);
+    # the vectorized reader's default 4096-row batches would need gigabytes per task.
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_BATCH_ROWS))
     work_dir(spark)
     ship_package(spark)
     return spark
 
 
 _SHIPPED: set[str] = set()
+READER_BATCH_ROWS = 256
 
 
 def ship_package(spark: SparkSession) -> None:
