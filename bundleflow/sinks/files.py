@@ -90,3 +90,38 @@ def write_one_file_per_row(df: DataFrame, key_col: str, value_col: str, path: st
 
     out = df.select(key_col, value_col).mapInPandas(run, "n long").agg(F.sum("n")).first()[0]
     return int(out or 0)
+
+
+def delete_one(path: str) -> dict[str, str]:
+    from pyarrow import fs as pafs
+    try:
+        fs, p = pafs.FileSystem.from_uri(_uri(path))
+        fs.delete_file(p)
+        return {"status": "success", "message": f"deleted {path}"}
+    except Exception as e:  # noqa: BLE001
+        return {"status": "error", "message": f"{type(e).__name__}: {e}"}
+
+
+ARCHIVE_SCHEMA = "src string, dst string, copied map<string,string>, removed map<string,string>"
+
+
+def archive_older_than(spark, src_dir: str, archive_dir: str, older_than, glob: str = "*") -> DataFrame:
+    """S3 retention: move files last modified before ``older_than`` under ``archive_dir``,
+    keeping their path relative to ``src_dir``.  Copy first, delete the source only when
+    the copy succeeded; one status row per file, produced by the executors."""
+    base = src_dir.rstrip("/")
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+               .load(base).where(F.col("modificationTime") < F.lit(older_than)).select("path"))
+    rel = F.regexp_replace("path", r"^.*?" + posixpath.basename(base) + "/", "")
+    manifest = listing.select(F.col("path").alias("src"),
+                              F.concat(F.lit(archive_dir.rstrip("/") + "/"), rel).alias("dst"))
+
+    def run(batches):
+        for pdf in batches:
+            copied = [copy_one(s, d) for s, d in zip(pdf["src"], pdf["dst"])]
+            removed = [delete_one(s) if c["status"] == "success" else {"status": "skipped", "message": "copy failed"}
+                       for s, c in zip(pdf["src"], copied)]
+            yield pd.DataFrame({"src": pdf["src"].values, "dst": pdf["dst"].values,
+                                "copied": copied, "removed": removed})
+
+    return manifest.mapInPandas(run, ARCHIVE_SCHEMA)

@@ -218,6 +218,34 @@ def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = Non
     return refresh(stream, "silver", layout, foreach_batch=write)
 
 
+def rebuild_silver(spark: SparkSession, layout: Layout, resource_type: str) -> list[str]:
+    """Drop one wide table and rebuild it from the stored entries (between runs).
+
+    Columns keep the stored order with new keys appended (C9), so afterwards every
+    row carries every key and no schema merging is needed.  The rebuilt data is
+    written under the newest batch id, so the stream's later batches append after
+    it.  Run it while the silver stream is stopped (as the reference's job does).
+    """
+    from ..operators.keys import existing_columns, ordered_key_list
+    from ..plans.silver import silver_table
+    p = layout.silver(resource_type)
+    done = sorted(d for d in list_dirs(spark, p) if d.startswith("batch_id="))
+    if not done:
+        return []
+    keys = ordered_key_list(latest_schemas(spark, layout),
+                            existing_columns(spark, resource_type, silver_columns(spark, layout, resource_type)),
+                            resource_type)
+    tmp = p.rstrip("/") + ".rebuild"
+    delete_path(spark, tmp)
+    wide = with_comments(silver_table(read_entries(spark, layout), resource_type, keys), silver_comments(resource_type))
+    wide.write.parquet(join_path(tmp, done[-1]))
+    delete_path(spark, p)
+    fs_jvm = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    src = fs_jvm(tmp)
+    src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(src, fs_jvm(p))
+    return keys
+
+
 def drop_all(spark: SparkSession, layout: Layout) -> None:
     """D6/ST3: full refresh removes outputs and checkpoints together."""
     delete_path(spark, join_path(layout.root, "tables"))

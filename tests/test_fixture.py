@@ -72,3 +72,19 @@ def test_silver_patient(spark, vb):
     assert s.columns[:3] == ["patient_uuid", "bundle_uuid", "patient_url"]
     row = s.select(get("gender", "$", "string").alias("g")).first()
     assert s.count() == 1 and row.g == "male"
+
+
+def test_fixture_through_streaming_pipeline(spark, fixture_text, tmp):
+    import os
+    from bundleflow.streaming.hops import latest_schemas, read_silver, run
+    land = os.path.join(tmp, "landing")
+    os.makedirs(land)
+    with open(os.path.join(land, "prior_auth.json"), "w", encoding="utf-8") as f:
+        f.write(fixture_text)
+    layout = run(spark, land, os.path.join(tmp, "root"))
+    assert latest_schemas(spark, layout).count() == 63
+    org = read_silver(spark, layout, "Organization")
+    assert org.count() == 2 and org.columns[:3] == ["organization_uuid", "bundle_uuid", "organization_url"]
+    claim = read_silver(spark, layout, "Claim")
+    assert len(claim.columns) == 3 + 19
+    assert claim.select(get("use", "$", "string").alias("u")).first().u is not None

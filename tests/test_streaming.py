@@ -102,3 +102,40 @@ def test_uuid_and_hash_ids(spark):
     h1 = [r.bundle_uuid for r in bronze.bronze_from_text(df, "hash", F.col("file_metadata.file_path")).collect()]
     h2 = [r.bundle_uuid for r in bronze.bronze_from_text(df, "hash", F.col("file_metadata.file_path")).collect()]
     assert h1 == h2 and len(h1[0]) == 64
+
+
+def test_rebuild_silver_after_drift(spark, tmp):
+    from bundleflow.streaming.hops import rebuild_silver, silver_columns
+    landing, root = os.path.join(tmp, "landing"), os.path.join(tmp, "root")
+    _land(landing, "a.json", [{"resourceType": "Patient", "id": "1", "gender": "male"}])
+    layout = run(spark, landing, root)
+    _land(landing, "b.json", [{"resourceType": "Patient", "id": "2", "active": True}])
+    run(spark, landing, root)
+    keys = rebuild_silver(spark, layout, "Patient")
+    assert keys == ["gender", "id", "resourceType", "active"]  # stored order, new key appended
+    s = spark.read.parquet(layout.silver("Patient"))  # no mergeSchema needed any more
+    assert s.count() == 2 and "active" in s.columns and silver_columns(spark, layout, "Patient")[-1] == "active"
+    _land(landing, "c.json", [{"resourceType": "Patient", "id": "3"}])
+    run(spark, landing, root)  # the stream keeps appending after the rebuild
+    assert read_silver(spark, layout, "Patient").count() == 3
+
+
+def test_archive_older_than(spark, tmp):
+    import datetime as dt
+    import time
+    from bundleflow.sinks.files import archive_older_than
+    src = os.path.join(tmp, "land")
+    os.makedirs(os.path.join(src, "sub"))
+    for n in ("old1.json", "sub/old2.json"):
+        with open(os.path.join(src, n), "w") as f:
+            f.write("{}")
+    old = time.time() - 40 * 86400
+    for n in ("old1.json", "sub/old2.json"):
+        os.utime(os.path.join(src, n), (old, old))
+    with open(os.path.join(src, "new.json"), "w") as f:
+        f.write("{}")
+    cutoff = dt.datetime.now() - dt.timedelta(days=30)
+    rows = archive_older_than(spark, src, os.path.join(tmp, "archive"), cutoff).collect()
+    assert sorted(r.dst.split("archive/")[1] for r in rows) == ["old1.json", "sub/old2.json"]
+    assert all(r.copied["status"] == "success" and r.removed["status"] == "success" for r in rows)
+    assert sorted(os.listdir(src)) == ["new.json", "sub"] and os.listdir(os.path.join(src, "sub")) == []
