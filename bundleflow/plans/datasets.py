@@ -56,11 +56,8 @@ def resource_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nested_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variant bronze of the per-customer outer bundles (C17-C19 input)."""
-    def build():
-        ob = synth.order_bundles_from_variant(bronze_variant(spark, sf_dir))
-        cb = synth.customer_bundles(ob)
-        return bronze.variant_bronze(bronze.bronze_from_text(cb, "hash", F.col("bundle_id")))
-    return materialize(spark, _path(spark, sf_dir, "nested_variant"), build)
+    return materialize(spark, _path(spark, sf_dir, "nested_variant"),
+                       lambda: synth.customer_bundles_variant(bronze_variant(spark, sf_dir)))
 
 
 def registry_keys(spark: SparkSession, sf_dir: str, resource_type: str) -> list[str]:

@@ -208,35 +208,31 @@ def file_metadata(path: Column, name: Column, value: Column, mtime: Column) -> C
     )
 
 
-def customer_bundles(bundles: DataFrame) -> DataFrame:
-    """Outer ``batch`` bundle per customer holding that customer's order bundles as entries.
-
-    Input: (bundle_id, o_custkey, value) rows of order bundles.  Customers with
-    more than ``ORDERS_PER_OUTER_BUNDLE`` orders get continuation bundles.
-    """
-    b = bundles.select("bundle_id", "o_custkey", "value")
-    b = chunk_of(b, "o_custkey", ["bundle_id"], ORDERS_PER_OUTER_BUNDLE)
-    g = b.groupBy("o_custkey", "chunk").agg(F.array_sort(F.collect_list(F.struct("bundle_id", "value"))).alias("inner"))
-    outer_id = F.concat(F.lit("customer-"), _bundle_id(F.col("o_custkey"), F.col("chunk")))
-    entries_csv = F.array_join(
-        F.transform("inner", lambda x: _entry_text(F.concat(F.lit("Bundle/"), x["bundle_id"]), x["value"])), ",")
-    header = F.to_json(F.struct(
-        F.lit("Bundle").alias("resourceType"), F.lit(OUTER_BUNDLE_TYPE).alias("type"), outer_id.alias("id"),
-    ))
-    value = _close_header(header, entries_csv)
-    return g.select(
-        outer_id.alias("bundle_id"),
-        file_metadata(F.concat(F.lit("bundles/customers/"), outer_id, F.lit(".json")),
-                      F.concat(outer_id, F.lit(".json")), value, F.lit(None).cast("timestamp")).alias("file_metadata"),
-        value.alias("value"),
-    )
-
-
-def order_bundles_from_variant(vb: DataFrame) -> DataFrame:
-    """(bundle_id, o_custkey, value) of stored order bundles: id and customer read from the bundle."""
+def customer_bundles_variant(vb: DataFrame) -> DataFrame:
+    """Variant-bronze rows of per-customer ``batch`` bundles built straight from stored order
+    bundles: the inner bundles stay VARIANT (no JSON text round trip)."""
     ref = F.try_variant_get("fhir", "$.entry[0].resource.customer.reference", "string")
-    return vb.where(F.col("fhir").isNotNull()).select(
+    b = vb.where(F.col("fhir").isNotNull()).select(
         F.try_variant_get("fhir", "$.id", "string").alias("bundle_id"),
         F.element_at(F.split(ref, "/"), -1).cast("long").alias("o_custkey"),
-        F.to_json("fhir").alias("value"),
+        "fhir",
     )
+    b = chunk_of(b, "o_custkey", ["bundle_id"], ORDERS_PER_OUTER_BUNDLE)
+    g = b.groupBy("o_custkey", "chunk").agg(F.collect_list(F.struct("bundle_id", "fhir")).alias("inner"))
+    ordered = F.array_sort("inner", lambda x, y: F.when(x["bundle_id"] < y["bundle_id"], -1)
+                           .when(x["bundle_id"] > y["bundle_id"], 1).otherwise(0))
+    entries = F.transform(ordered, lambda x: F.struct(
+        F.concat(F.lit("Bundle/"), x["bundle_id"]).alias("fullUrl"), x["fhir"].alias("resource")))
+    outer_id = F.concat(F.lit("customer-"), _bundle_id(F.col("o_custkey"), F.col("chunk")))
+    fhir = F.to_variant_object(F.struct(
+        F.lit("Bundle").alias("resourceType"), F.lit(OUTER_BUNDLE_TYPE).alias("type"),
+        outer_id.alias("id"), entries.alias("entry")))
+    meta = F.struct(
+        F.concat(F.lit("bundles/customers/"), outer_id, F.lit(".json")).alias("file_path"),
+        F.concat(outer_id, F.lit(".json")).alias("file_name"),
+        F.lit(None).cast("long").alias("file_size"), F.lit(0).cast("long").alias("file_block_start"),
+        F.lit(None).cast("long").alias("file_block_length"),
+        F.lit(None).cast("timestamp").alias("file_modification_time"))
+    return g.select(
+        F.sha2(F.concat(F.lit("bundle:"), outer_id), 256).alias("bundle_uuid"),
+        F.current_timestamp().alias("ingest_time"), meta.alias("file_metadata"), fhir.alias("fhir"))
