@@ -41,7 +41,10 @@ def entries(vb: DataFrame) -> DataFrame:
     urls = F.col("_urls")
     dups = F.array_distinct(F.filter(
         urls, lambda u, i: F.when(i > 0, u == F.element_at(urls, i)).otherwise(F.lit(False))))
-    e = staged.select("bundle_uuid", dups.alias("_dups"), F.posexplode("_arr").alias("entry_pos", "entry"))
+    # NULL urls group together in the reference's pivot, so several of them count as duplicates
+    null_urls = F.size(F.filter(urls, lambda u: u.isNull()))
+    e = staged.select("bundle_uuid", dups.alias("_dups"), null_urls.alias("_nulls"),
+                      F.posexplode("_arr").alias("entry_pos", "entry"))
     full_url = get("entry", "$.fullUrl", "string")
     return e.select(
         "bundle_uuid",
@@ -49,7 +52,8 @@ def entries(vb: DataFrame) -> DataFrame:
         full_url.alias("fullUrl"),
         get("entry", "$.resource.resourceType", "string").alias("resourceType"),
         F.sha2(F.concat(F.col("bundle_uuid"), full_url), 256).alias("resource_uuid"),
-        F.coalesce(F.array_contains("_dups", full_url), F.lit(False)).alias("dup_url"),
+        F.when(full_url.isNull(), F.col("_nulls") > 1)
+         .otherwise(F.coalesce(F.array_contains("_dups", full_url), F.lit(False))).alias("dup_url"),
         get("entry", "$.request").alias("request"),
         get("entry", "$.resource").alias("resource"),
     )

@@ -145,3 +145,18 @@ def test_apply_ddl_direct_and_via_json(spark):
     direct = sorted((r.v.a, r.v.b.c) for r in apply_ddl(v, ddl).collect())
     via = sorted((r.v.a, r.v.b.c) for r in apply_ddl(v, ddl, via_json=True).collect())
     assert direct == via and [float(a) for a, _ in direct] == [1.5, 2.0]
+
+
+def test_null_fullurls_merge_like_the_pivot(spark):
+    text = _bundle([
+        {"resource": {"resourceType": "P", "a": 1}},
+        {"resource": {"resourceType": "P", "b": 2}},
+        {"resource": {"resourceType": "Q", "c": 3}},
+        {"fullUrl": "P/9", "resource": {"resourceType": "P", "a": 5}},
+    ])
+    ent = resources.entries(bronze.variant_bronze(bronze_rows(spark, [text])))
+    s = silver_table(ent, "P", ["a", "b"]).select(
+        "p_url", get("a", "$", "int").alias("a"), get("b", "$", "int").alias("b"))
+    rows = sorted((r.p_url or "", r.a, r.b) for r in s.collect())
+    assert rows == [("", 1, 2), ("P/9", 5, None)]  # the two url-less P entries form one row
+    assert silver_table(ent, "Q", ["c"]).count() == 1
