@@ -8,17 +8,15 @@ from pyspark.sql import functions as F
 from ..functions.variant import as_array, get, to_variant
 from ..operators.pivot import pivot_fixed
 
-HEADER_KEYS = ["id", "entry", "resourceType", "type", "meta", "Meta", "timestamp"]
 META_KEYS = ["Destinations", "Transmission", "DataModel", "EventType", "Logs"]
 BUNDLE_META_STRUCT = "struct<lastUpdated: string, profile: array<string>, versionId: string>"
 
 
-def bundle_header(vb: DataFrame, keys: list[str] = HEADER_KEYS) -> DataFrame:
+def bundle_header(vb: DataFrame) -> DataFrame:
     """C17: top-level object explode + header pivot, typed."""
     # Each header key is read straight from the object in one projection (the
     # pivot of a single-object explode); keys equal up to case (meta / Meta)
     # never become same-named intermediate columns.
-    del keys
     return vb.where(F.col("fhir").isNotNull()).select(
         "bundle_uuid", "file_metadata",
         get("fhir", "$['entry']").alias("entry"),
