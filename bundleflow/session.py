@@ -107,13 +107,17 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for materialised hops and checkpoints.
 
     Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (local
-    runs, tests) picks a fresh folder and registers it as the checkpoint dir.
+    runs) a stable folder under the system temp dir, registered as the
+    checkpoint dir.  Tests and the bench set their own fresh folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="bundleflow-")
+        # local runs only: a stable folder, so separate sessions reuse stored hops
+        # (keyed by code version and input; writes are rename-atomic)
+        d = os.path.join(tempfile.gettempdir(), f"bundleflow-work-{os.getuid()}")
+        os.makedirs(d, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     elif not spark.sparkContext.getCheckpointDir():

@@ -42,9 +42,28 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+_CODE_HASH: list[str] = []
+
+
+def code_version() -> str:
+    """Hash of the package source: stored hops are keyed by it, so a cache written by
+    other code is never read back."""
+    if not _CODE_HASH:
+        import os
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        h = hashlib.sha1(STORE_VERSION.encode())
+        for base, _dirs, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    with open(os.path.join(base, f), "rb") as fh:
+                        h.update(f.encode() + fh.read())
+        _CODE_HASH.append(h.hexdigest()[:12])
+    return _CODE_HASH[0]
+
+
 def dataset_root(spark: SparkSession, sf_dir: str) -> str:
     digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return join_path(work_dir(spark), "bundleflow", STORE_VERSION, digest)
+    return join_path(work_dir(spark), "bundleflow", code_version(), digest)
 
 
 def materialize(
