@@ -119,3 +119,53 @@ def replace_view(df: DataFrame, name: str) -> DataFrame:
     """``CREATE OR REPLACE VIEW`` over a parametrised DataFrame (session-scoped)."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+TABLE_INFO = "_table.json"
+
+
+def write_table_info(spark: SparkSession, path: str, comment: str | None = None,
+                     properties: dict[str, str] | None = None) -> None:
+    """Table comment and properties (``TBLPROPERTIES``) as a sidecar file in the table
+    folder; names starting with ``_`` are ignored by Parquet readers."""
+    import json
+    fs, p = _fs(spark, join_path(path, TABLE_INFO))
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(json.dumps({"comment": comment, "properties": properties or {}},
+                                       sort_keys=True).encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_table_info(spark: SparkSession, path: str) -> dict:
+    import json
+    fs, p = _fs(spark, join_path(path, TABLE_INFO))
+    if not fs.exists(p):
+        return {"comment": None, "properties": {}}
+    stream = fs.open(p)
+    try:
+        data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+    finally:
+        stream.close()
+    return json.loads(bytes(data).decode("utf-8"))
+
+
+def write_table(df: DataFrame, path: str, schema=None, comment: str | None = None,
+                properties: dict[str, str] | None = None, cluster_by: list[str] | None = None,
+                partition_by: list[str] | None = None, mode: str = "overwrite") -> DataFrame:
+    """A declared table.  ``schema`` (a StructType whose fields may carry comments)
+    fixes column order, types and comments; ``cluster_by`` range-partitions and sorts
+    so files cluster on those columns; comment/properties go to the table info file."""
+    from pyspark.sql import functions as F
+    if schema is not None:
+        df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+        df = with_comments(df, {f.name: f.metadata["comment"] for f in schema.fields if "comment" in f.metadata})
+    if cluster_by:
+        df = df.repartitionByRange(*[F.col(c) for c in cluster_by]).sortWithinPartitions(*cluster_by)
+    w = df.write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    write_table_info(df.sparkSession, path, comment, properties)
+    return df.sparkSession.read.parquet(path)

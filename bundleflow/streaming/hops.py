@@ -29,7 +29,7 @@ from pyspark.sql.types import StructType
 
 from ..plans import bronze, resources
 from ..session import join_path
-from ..sinks.store import delete_path, list_dirs, path_exists, with_comments
+from ..sinks.store import delete_path, list_dirs, path_exists, with_comments, write_table_info
 
 FILE_METADATA_FIELDS = ["file_path", "file_name", "file_size", "file_block_start",
                         "file_block_length", "file_modification_time"]
@@ -93,7 +93,11 @@ def bronze_hop(spark: SparkSession, landing: str, layout: Layout, id_mode: str =
                max_files_per_trigger: int | None = None, glob: str = "*.json"):
     """Files -> bronze (file_metadata, ingest_time, bundle_uuid, value)."""
     s = text_files_stream(spark, landing, glob, max_files_per_trigger)
-    return refresh(bronze.bronze_from_text(s, id_mode), "bronze", layout)
+    q = refresh(bronze.bronze_from_text(s, id_mode), "bronze", layout)
+    if path_exists(spark, layout.table("bronze")):
+        write_table_info(spark, layout.table("bronze"), "Raw bundle text, one row per landed file.",
+                         {"quality": "bronze"})
+    return q
 
 
 def _schema_of(spark: SparkSession, layout: Layout, name: str) -> StructType:
@@ -215,7 +219,11 @@ def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = Non
         finally:
             batch.unpersist()
 
-    return refresh(stream, "silver", layout, foreach_batch=write)
+    q = refresh(stream, "silver", layout, foreach_batch=write)
+    for t in list_dirs(spark, join_path(layout.root, "tables", "silver")):
+        write_table_info(spark, join_path(layout.root, "tables", "silver", t),
+                         f"Parsed {t} resources, one column per observed key.", {"quality": "silver"})
+    return q
 
 
 def rebuild_silver(spark: SparkSession, layout: Layout, resource_type: str) -> list[str]:

@@ -46,3 +46,28 @@ def test_processing_time_trigger(spark, tmp):
     assert spark.read.parquet(layout.table("bronze")).count() == 1
     bronze_hop(spark, land, layout)  # availableNow on the same checkpoint: nothing new
     assert spark.read.parquet(layout.table("bronze")).count() == 1
+
+
+def test_declared_table(spark, tmp):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    from bundleflow.sinks.store import read_table_info, write_table
+    schema = StructType([StructField("id", StringType(), metadata={"comment": "resource id"}),
+                         StructField("n", LongType())])
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "n int, id string")
+    out = write_table(df, os.path.join(tmp, "t"), schema=schema, comment="demo", properties={"quality": "bronze"},
+                      cluster_by=["id"])
+    assert out.columns == ["id", "n"] and out.schema["n"].dataType == LongType()
+    assert out.schema["id"].metadata["comment"] == "resource id"
+    assert read_table_info(spark, os.path.join(tmp, "t")) == {"comment": "demo", "properties": {"quality": "bronze"}}
+
+
+def test_pipeline_tables_carry_quality(spark, tmp):
+    from bundleflow.sinks.store import read_table_info
+    from bundleflow.streaming.hops import run
+    land = os.path.join(tmp, "in")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.json"), "w") as f:
+        json.dump({"resourceType": "Bundle", "entry": [{"fullUrl": "P/1", "resource": {"resourceType": "P"}}]}, f)
+    layout = run(spark, land, os.path.join(tmp, "root"))
+    assert read_table_info(spark, layout.table("bronze"))["properties"] == {"quality": "bronze"}
+    assert read_table_info(spark, layout.silver("P"))["properties"] == {"quality": "silver"}
