@@ -34,15 +34,18 @@ def entries(vb: DataFrame) -> DataFrame:
     shuffle is needed to find them.  Bundles without ``entry`` give no rows.
     """
     arr = F.try_variant_get("fhir", "$.entry", "array<variant>")
-    # project the sorted url list once, then compare neighbours on that column
-    staged = vb.where(F.col("fhir").isNotNull()).select("bundle_uuid", arr.alias("_arr")).select(
-        "bundle_uuid", "_arr",
-        F.array_sort(F.transform("_arr", lambda e: F.try_variant_get(e, "$.fullUrl", "string"))).alias("_urls"))
+    # all fullUrls of the bundle in one cast (no per-element lambda), sorted
+    urls_of = F.try_variant_get("fhir", "$.entry", "array<struct<fullUrl: string>>")["fullUrl"]
+    staged = vb.where(F.col("fhir").isNotNull()).select(
+        "bundle_uuid", arr.alias("_arr"), F.array_sort(urls_of).alias("_urls"))
     urls = F.col("_urls")
-    dups = F.array_distinct(F.filter(
+    present = F.array_compact(urls)
+    # neighbour compare on the sorted list, only for bundles that do hold a repeat
+    dups = F.when(F.size(F.array_distinct(present)) < F.size(present), F.array_distinct(F.filter(
         urls, lambda u, i: F.when(i > 0, u == F.element_at(urls, i)).otherwise(F.lit(False))))
+    ).otherwise(F.array().cast("array<string>"))
     # NULL urls group together in the reference's pivot, so several of them count as duplicates
-    null_urls = F.size(F.filter(urls, lambda u: u.isNull()))
+    null_urls = F.size(urls) - F.size(present)
     e = staged.select("bundle_uuid", dups.alias("_dups"), null_urls.alias("_nulls"),
                       F.posexplode("_arr").alias("entry_pos", "entry"))
     full_url = get("entry", "$.fullUrl", "string")
@@ -52,8 +55,9 @@ def entries(vb: DataFrame) -> DataFrame:
         full_url.alias("fullUrl"),
         get("entry", "$.resource.resourceType", "string").alias("resourceType"),
         F.sha2(F.concat(F.col("bundle_uuid"), full_url), 256).alias("resource_uuid"),
-        F.when(full_url.isNull(), F.col("_nulls") > 1)
-         .otherwise(F.coalesce(F.array_contains("_dups", full_url), F.lit(False))).alias("dup_url"),
+        # never NULL: a NULL flag would drop the entry from both silver branches
+        F.coalesce(F.when(full_url.isNull(), F.col("_nulls") > 1)
+                   .otherwise(F.array_contains("_dups", full_url)), F.lit(False)).alias("dup_url"),
         get("entry", "$.request").alias("request"),
         get("entry", "$.resource").alias("resource"),
     )

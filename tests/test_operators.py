@@ -160,3 +160,14 @@ def test_null_fullurls_merge_like_the_pivot(spark):
     rows = sorted((r.p_url or "", r.a, r.b) for r in s.collect())
     assert rows == [("", 1, 2), ("P/9", 5, None)]  # the two url-less P entries form one row
     assert silver_table(ent, "Q", ["c"]).count() == 1
+
+
+def test_odd_entry_shapes_never_drop_rows(spark):
+    text = json.dumps({"resourceType": "Bundle", "entry": [
+        {"fullUrl": {"not": "a string"}, "resource": {"resourceType": "P", "a": 1}},
+        "not an object",
+        {"fullUrl": "P/2", "resource": {"resourceType": "P", "a": 2}},
+    ]})
+    ent = resources.entries(bronze.variant_bronze(bronze_rows(spark, [text])))
+    assert ent.where(F.col("dup_url").isNull()).count() == 0
+    assert silver_table(ent, "P", ["a"]).count() == 2
