@@ -116,10 +116,20 @@ def meta_hop(spark: SparkSession, layout: Layout):
     return refresh(resources.bundle_meta(s), "bundle_meta", layout)
 
 
-def entries_hop(spark: SparkSession, layout: Layout):
-    """C5 (entry level): bronze_variant -> entries, partitioned by resource type."""
+ENTRY_SALT_BUCKETS = 8
+
+
+def entries_hop(spark: SparkSession, layout: Layout, salt_buckets: int = ENTRY_SALT_BUCKETS):
+    """C5 (entry level): bronze_variant -> entries, partitioned by resource type.
+
+    Micro-batches run without AQE, so the rows are spread by (type, salted bundle
+    hash): a dominant type is split over ``salt_buckets`` tasks, and each batch
+    writes about ``types x salt_buckets`` files instead of one per type per task.
+    """
     s = read_stream_table(spark, layout, "bronze_variant", _schema_of(spark, layout, "bronze_variant"))
-    return refresh(resources.entries(s), "entries", layout, partition_by=["resourceType"])
+    ent = resources.entries(s).repartition(
+        F.col("resourceType"), F.pmod(F.xxhash64("bundle_uuid"), F.lit(salt_buckets)))
+    return refresh(ent, "entries", layout, partition_by=["resourceType"])
 
 
 def read_entries(spark: SparkSession, layout: Layout) -> DataFrame:
