@@ -60,3 +60,11 @@ def typed_silver(silver: DataFrame, types: dict[str, str]) -> DataFrame:
         F.try_variant_get(F.col(f"`{c}`"), "$", types[c]).alias(c) if c in types else F.col(f"`{c}`")
         for c in silver.columns
     ])
+
+
+def silver_table_legacy(ent: DataFrame, resource_type: str, keys: list[str]) -> DataFrame:
+    """C10 as the older pipeline generation builds it: no resource uuid, one row per
+    (bundle_uuid, ``{Type}_url``) (semantic trap 9), merging duplicates the same way."""
+    t = silver_table(ent, resource_type, keys)
+    uuid_c, _bundle_c, url_c = fixed_columns(resource_type)
+    return t.drop(uuid_c).withColumnRenamed(url_c, f"{resource_type}_url")

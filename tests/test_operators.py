@@ -171,3 +171,11 @@ def test_odd_entry_shapes_never_drop_rows(spark):
     ent = resources.entries(bronze.variant_bronze(bronze_rows(spark, [text])))
     assert ent.where(F.col("dup_url").isNull()).count() == 0
     assert silver_table(ent, "P", ["a"]).count() == 2
+
+
+def test_legacy_silver_shape(spark):
+    from bundleflow.plans.silver import silver_table_legacy
+    text = _bundle([{"fullUrl": "P/1", "resource": {"resourceType": "P", "a": 1}}])
+    ent = resources.entries(bronze.variant_bronze(bronze_rows(spark, [text])))
+    s = silver_table_legacy(ent, "P", ["a"])
+    assert s.columns == ["bundle_uuid", "P_url", "a"] and s.count() == 1

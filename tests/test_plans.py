@@ -36,3 +36,10 @@ def test_variant_paths_are_pushed_to_the_scan(spark):
     p = plan(spark, "silver_lineitem")
     assert "ReadSchema: struct<" in p or "struct<" in p
     assert "resource:struct<0:" in p  # only the requested variant paths are read
+
+
+def test_batch_entries_write_is_rebalanced(spark):
+    from bundleflow.plans import datasets as ds, resources
+    df = resources.entries(ds.bronze_variant(spark, SF)).hint("rebalance", "resourceType")
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in p or "RebalancePartitions" in p or "rebalance" in p.lower()
