@@ -76,7 +76,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Bounds what one Arrow batch holds, as documents may be long."""
     from ..session import configure
     configure(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
 
 

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality_rules, sharding, url_rules
-from .common import Scratch, prepare, table
+from . import bpe, langid, neardup, quality_rules, sharding, url_rules
+from .common import Scratch, holdout, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,11 +26,24 @@ def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, train=langid.train_rows())
+    rows = docs.select("doc_id", "text", holdout("doc_id", 4, 2).alias("held_out"))
+    return langid.identify(rows, model, keep=["doc_id", "held_out"])
+
+
 @query
 def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = Scratch(spark, "quality").write(
