@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, neardup, quality_rules, sharding, url_rules
+from . import bpe, decontaminate, langid, neardup, quality_rules, sharding, url_rules
 from .common import Scratch, holdout, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,27 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op2_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op2_spaced_seed_decontamination"] = """
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS dw
+           FROM documents WHERE text IS NOT NULL),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS iw
+      FROM benchmark WHERE text IS NOT NULL),
+dp AS (SELECT doc_id, unnest(dw) AS w, generate_subscripts(dw, 1) AS p FROM d),
+bp AS (SELECT item_id, len(iw) AS n, unnest(iw) AS w, generate_subscripts(iw, 1) AS q FROM b WHERE len(iw) >= 8),
+al AS (SELECT doc_id, item_id, n, p - q AS shift, list(q) AS qs
+       FROM dp JOIN bp USING (w) GROUP BY ALL HAVING count(*) * 100 >= 80 * least(13, n)),
+ok AS (SELECT doc_id, item_id, len(qs) AS matched FROM al
+       WHERE len(list_filter(range(1, n - least(13, n) + 2), lambda i:
+             100 * len(list_filter(qs, lambda x: x >= i AND x < i + least(13, n))) >= 80 * least(13, n))) > 0)
+SELECT doc_id, item_id, max(matched)::INT AS matched FROM ok GROUP BY ALL
+"""
+
+
 @query
 def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"))
