@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, neardup, quality_rules, sharding, url_rules
+from . import bpe, chat, decontaminate, langid, neardup, quality_rules, sharding, url_rules
 from .common import Scratch, holdout, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,11 +60,62 @@ def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.preference_pairs(chat.reply_pairs(table(spark, sf_dir, "conversations")), "conv_id")
+
+
+ORACLES["op7_preference_formatting"] = """
+WITH t AS (SELECT conv_id, coalesce(role, 'user') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'),
+                                     coalesce(text, '')) AS p
+           FROM conversations),
+a AS (SELECT conv_id, max(p) AS last, max(p) FILTER (p < top) AS before FROM
+      (SELECT *, max(p) OVER (PARTITION BY conv_id) AS top FROM t WHERE role = 'assistant') GROUP BY 1),
+r AS (SELECT a.conv_id, a.last, coalesce(b.text, '') AS reply FROM a
+      LEFT JOIN t b ON b.conv_id IS NOT DISTINCT FROM a.conv_id AND b.p = a.before),
+s AS (SELECT t.conv_id, p, last, reply, text, '<|' || role || '|>' || chr(10) || replace(text, '<|', '<' || chr(8203) || '|') || '<|end|>' || chr(10) AS out
+      FROM t JOIN r ON t.conv_id IS NOT DISTINCT FROM r.conv_id WHERE p <= last),
+f AS (SELECT conv_id, any_value(last) AS last, any_value(replace(reply, '<|', '<' || chr(8203) || '|')) AS reply,
+             any_value(reply) AS raw, max(text) FILTER (p = last) AS final,
+             max(replace(text, '<|', '<' || chr(8203) || '|')) FILTER (p = last) AS said,
+             coalesce(string_agg(out, '' ORDER BY p) FILTER (p < last), '') AS head,
+             max(out) FILTER (p = last) AS tail FROM s GROUP BY 1)
+SELECT conv_id, (CASE WHEN raw = final THEN last ELSE last - 1 END)::INT AS n_common,
+       CASE WHEN raw = final THEN head || tail ELSE head END AS prompt,
+       CASE WHEN raw = final THEN '' ELSE tail END AS chosen,
+       CASE WHEN raw = final THEN '' ELSE '<|assistant|>' || chr(10) || reply || '<|end|>' || chr(10) END AS rejected,
+       CASE WHEN raw = final THEN '' ELSE '14:' || (21 + length(said)) END AS chosen_mask,
+       CASE WHEN raw = final THEN '' ELSE '14:' || (21 + length(reply)) END AS rejected_mask,
+       raw <> final AS usable
+FROM f
+"""
+
+
 @query
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op10_url_filter"] = """
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^([^/?#]*)', 1) AS raw FROM u),
+p AS (SELECT row_number() OVER () AS n, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(substr(rest, length(raw) + 1), '^([^?#]*)', 1) AS path FROM h),
+r(host_end, start, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                                       ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+k(rule, verdict) AS (VALUES ('(?:^|[^A-Za-z0-9])spam-farm[.]', 'block'), ('(?:^|[^A-Za-z0-9])cheap-pills[.]', 'block'),
+                     ('[.]casino(?:[^A-Za-z0-9]|$)', 'block'), ('(?:^|[^A-Za-z0-9])ads[.]', 'block'),
+                     ('/login(?:[^A-Za-z0-9]|$)', 'block'), ('/tag/.*/page/', 'block')),
+m AS (SELECT n, max_by(host_end || start, length(host_end || start)) AS rule,
+             max_by(verdict, length(host_end || start)) AS verdict
+      FROM p JOIN r ON (host = host_end OR ends_with(host, '.' || host_end)) AND starts_with(path, start) GROUP BY n),
+b AS (SELECT DISTINCT n, 'block' AS verdict FROM p JOIN k ON regexp_matches(host || path, k.rule, 's'))
+SELECT page_id, host, path, m.rule, coalesce(m.verdict, b.verdict, 'allow') AS verdict
+FROM p LEFT JOIN m USING (n) LEFT JOIN b USING (n)
+"""
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = Scratch(spark, "quality").write(

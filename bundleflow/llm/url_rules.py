@@ -49,7 +49,7 @@ class HostRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """A glob over host and path: ``*`` is any text; ``^`` is a delimiter or the end."""
+    """A glob over host and path: ``*`` is any text; ``^`` is a delimiter or either end."""
 
     glob: str
     verdict: str
@@ -60,7 +60,7 @@ class PatternRule:
 
     @property
     def pattern(self) -> str:
-        parts = {"*": ".*", "^": "(?:[^A-Za-z0-9]|$)"}
+        parts = {"*": ".*", "^": "(?:^|[^A-Za-z0-9]|$)"}
         return "(?s)" + "".join(parts.get(c) or _quote(c) for c in self.glob)
 
     @property
