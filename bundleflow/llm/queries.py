@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, langid, neardup, quality_rules, sharding, url_rules
+from . import bpe, chat, decontaminate, langid, neardup, pii, quality_rules, sharding, url_rules
 from .common import Scratch, holdout, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,11 @@ def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 @query
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
