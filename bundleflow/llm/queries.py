@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, neardup, pii, quality_rules, sharding, url_rules
+from . import bpe, chat, decontaminate, langid, neardup, pii, quality_rules, sharding, toxicity, url_rules
 from .common import Scratch, holdout, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,15 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), holdout("doc_id", 3, 1)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), train=~held_out)
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return toxicity.score(rows, model, keep=["doc_id", "held_out"]).withColumn(
+        "predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @query
 def op2_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
