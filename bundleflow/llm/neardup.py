@@ -301,10 +301,9 @@ def straggler_pairs(rows: DataFrame, setting: Setting, best: int | None) -> Data
     return cells.mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    setting: Setting = Setting()) -> DataFrame:
-    """id, n_shingles, component_id, kept for every row."""
-    scratch = Scratch(docs.sparkSession, "neardup")
+def judged_rows(docs: DataFrame, id_col: str, text_col: str, setting: Setting,
+                scratch: Scratch) -> DataFrame:
+    """id, n_shingles, text_key, component_id, kept for every row."""
     rows = scratch.write(sketch(docs, id_col, text_col, setting), "sketch")
     classes = scratch.write(
         rows.filter("node IS NOT NULL").groupBy("node").agg(
@@ -332,11 +331,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = straggler_pairs(stragglers(members, labels, classes), setting, best)
         labels = _relabel(labels, links_of(found, name), scratch, name)
 
-    placed = rows.select("id", "n_shingles", "node").join(labels, "node", "left").withColumn(
+    placed = rows.select("id", "n_shingles", "text_key", "node").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     # only components of several rows need their least id looked up
     least = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("component_id"))
     out = placed.join(least, "label", "left").withColumn(
         "component_id", F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("component_id")))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
+    return out.select("id", "n_shingles", "text_key", "component_id",
                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    setting: Setting = Setting()) -> DataFrame:
+    """id, n_shingles, component_id, kept for every row."""
+    rows = judged_rows(docs, id_col, text_col, setting, Scratch(docs.sparkSession, "neardup"))
+    return rows.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         setting: Setting = Setting()) -> DataFrame:
+    """The rows of ``docs`` that are kept, repeated rows (equal id and text) once.
+
+    Rows are told apart by id and text hash; the lists of rows to leave out are narrow and
+    broadcast only when they are small.
+    """
+    scratch = Scratch(docs.sparkSession, "neardup")
+    rows = scratch.write(judged_rows(docs, id_col, text_col, setting, scratch), "judged")
+
+    def listed(found: DataFrame, name: str) -> DataFrame:
+        return scratch.write(found.select(F.col("id").alias("listed id"), F.col("text_key").alias("listed key")), name)
+
+    def same(few: DataFrame):
+        return (F.xxhash64(docs[text_col]).eqNullSafe(few["listed key"])
+                & docs[id_col].eqNullSafe(few["listed id"]))
+
+    gone = broadcast_if_small(listed(rows.filter("NOT kept").distinct(), "gone"), 24)
+    out = docs.join(gone, same(gone), "left_anti")
+    again = listed(rows.filter("kept").groupBy("id", "text_key").count().filter("count > 1"), "again")
+    if not again.count():
+        return out
+    again = broadcast_if_small(again, 24)
+    once = docs.join(again, same(again), "left_semi").dropDuplicates([id_col, text_col])
+    return out.join(again, same(again), "left_anti").unionByName(once)
