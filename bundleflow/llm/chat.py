@@ -55,8 +55,11 @@ def preference_pairs(pairs: DataFrame, id_col: str, chosen: str = "chosen",
     """(id, n_common, prompt, chosen, rejected, chosen_mask, rejected_mask, usable) for every
     row of ``pairs``, whose two columns are arrays of (role, text)."""
     turns = F.expr(f"cast(array() as {_TURNS})")
-    rows = pairs.select(F.col(id_col), F.coalesce(F.col(chosen).cast(_TURNS), turns).alias("c"),
-                        F.coalesce(F.col(rejected).cast(_TURNS), turns).alias("r"))
+    filled = lambda t: F.struct(F.coalesce(t["role"], F.lit("user")).alias("role"),
+                                F.coalesce(t["text"], F.lit("")).alias("text"))
+    rows = pairs.select(F.col(id_col), *[
+        F.transform(F.coalesce(F.col(side).cast(_TURNS), turns), filled).alias(name)
+        for side, name in ((chosen, "c"), (rejected, "r"))])
     common = ("aggregate(c, named_struct('i', 0, 'n', 0), (s, t) -> named_struct('i', s.i + 1, 'n', "
               "if(s.n = s.i and get(r, s.i) is not null and t <=> get(r, s.i), s.n + 1, s.n)), s -> s.n)")
     rows = rows.withColumn("n_common", F.expr(common))
