@@ -1,7 +1,6 @@
 """Observation bundles from the ``events`` table, for the streaming path.
 
-One bundle per (user, half of the month), at most ``EVENTS_PER_BUNDLE`` events
-(hot users split into continuation bundles as in ``synth``).  The
+One bundle per (user, half of the month), however many events it has.  The
 ``interpretation`` element only appears from the second half of the month on:
 the source gains a field mid-stream, which the silver hop must absorb (ST8).
 """
@@ -11,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .synth import _close_header, _entry_text, chunk_of
+from .synth import _close_header, _entry_text
 
-EVENTS_PER_BUNDLE = 1000
 # Fixed value: the day from which the source sends ``interpretation``.
 SECOND_HALF_FROM = "2024-01-16"
 
@@ -41,11 +39,9 @@ def observation_bundles(events: DataFrame) -> DataFrame:
     )
     e = e.withColumn("group_key", F.concat_ws("-", F.lit("u"), F.col("user_id").cast("string"), "month",
                                               F.col("half").cast("string")))
-    e = chunk_of(e, "group_key", ["event_id"], EVENTS_PER_BUNDLE)
-    g = e.groupBy("group_key", "half", "chunk").agg(F.array_sort(F.collect_list(F.struct(
+    g = e.groupBy("group_key", "half").agg(F.array_sort(F.collect_list(F.struct(
         "event_id", observation_json().alias("j")))).alias("obs"))
-    bid = F.when(F.col("chunk") == 0, F.col("group_key")).otherwise(
-        F.concat_ws("-", "group_key", F.col("chunk").cast("string")))
+    bid = F.col("group_key")
     entries = F.array_join(F.transform("obs", lambda x: _entry_text(
         F.concat(F.lit("Observation/"), x["event_id"].cast("string")), x["j"])), ",")
     header = F.to_json(F.struct(F.lit("Bundle").alias("resourceType"), F.lit("collection").alias("type"),

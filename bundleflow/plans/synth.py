@@ -8,15 +8,16 @@ bundles that Spark derives from them:
 * one ``batch`` bundle per customer whose entries are that customer's order
   bundles (nested bundles, C17-C19).
 
+One rule holds at every size: an order is one bundle, a customer is one outer bundle,
+however many rows they have, as a bundle is one document.  Its size is bounded by what a
+VARIANT value may hold; a larger document fails to parse and is quarantined.
+
 Scale notes
 -----------
-* Line order inside a bundle is fixed by sorting inside the per-bundle
-  aggregate (bounded size), never by a window over the order key.
-* A bundle holds about ``LINES_PER_BUNDLE`` lines at most.  Orders above that are split
-  into continuation bundles ``<orderkey>-<chunk>`` by hashing the line into one
-  of ``ceil(lines / LINES_PER_BUNDLE)`` chunks, so a hot order is spread over many
-  tasks instead of one.  The list of such orders is broadcast only after its
-  row count is checked; beyond the bound it is shuffle-joined.
+* Line order inside a bundle is fixed by sorting inside the per-bundle aggregate, never by
+  a window over the order key.
+* Lines are read once: one grouping, joined in full with the orders, so that neither
+  orders without lines nor lines without an order are lost.
 """
 
 from __future__ import annotations
@@ -26,10 +27,6 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 
-LINES_PER_BUNDLE = 1000
-ORDERS_PER_OUTER_BUNDLE = 500
-BROADCAST_ROW_BOUND = 1_000_000
-
 # Fixed values of the synthetic bundles (the oracle SQL repeats them).
 BUNDLE_TYPE = "collection"
 OUTER_BUNDLE_TYPE = "batch"
@@ -43,33 +40,6 @@ LINE_SORT_COLS = [
 ]
 
 
-def chunk_of(df: DataFrame, key: str, hash_cols: list[str], max_per: int) -> DataFrame:
-    """Add ``chunk``: 0 for groups up to ``max_per`` rows, else a hash bucket in
-    ``[0, ceil(n / max_per))``.
-
-    Group sizes come from a partial aggregate; only the keys of oversize groups
-    are joined back (broadcast after a row-count check, shuffle join beyond it).
-    """
-    big = (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > max_per)
-        .select(key, F.ceil(F.col("_n") / F.lit(max_per)).cast("long").alias("_nchunks"))
-    )
-    n_big = big.count()
-    if n_big == 0:
-        return df.withColumn("chunk", F.lit(0).cast("long"))
-    side = F.broadcast(big) if n_big <= BROADCAST_ROW_BOUND else big
-    joined = df.join(side, key, "left")
-    chunk = F.coalesce(
-        F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), F.col("_nchunks")), F.lit(0).cast("long")
-    )
-    return joined.withColumn("chunk", chunk).drop("_nchunks")
-
-
-def _bundle_id(key: Column, chunk: Column) -> Column:
-    return F.when(chunk == 0, key.cast("string")).otherwise(F.concat(key.cast("string"), F.lit("-"), chunk.cast("string")))
-
-
 def _entry_text(full_url: Column, resource_json: Column) -> Column:
     # fullUrl values are generated from keys (no quotes or escapes needed)
     return F.concat(F.lit('{"fullUrl":"'), full_url, F.lit('","resource":'), resource_json, F.lit("}"))
@@ -155,25 +125,20 @@ def order_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
         _order_json().alias("order_json"), "customer_json",
     )
 
-    lines = chunk_of(lineitem, "l_orderkey", ["l_orderkey", *LINE_SORT_COLS], LINES_PER_BUNDLE)
-    groups = lines.groupBy("l_orderkey", "chunk").agg(
+    groups = lineitem.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct(*LINE_SORT_COLS))).alias("lines"))
+    b = groups.join(orders_res, groups.l_orderkey == orders_res.o_orderkey, "full_outer").withColumn(
+        "o_key", F.coalesce("o_orderkey", "l_orderkey"))
 
-    with_lines = groups.join(orders_res, groups.l_orderkey == orders_res.o_orderkey, "inner").drop("l_orderkey")
-    no_lines = (
-        orders_res.join(lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct(), "o_orderkey", "left_anti")
-        .withColumn("chunk", F.lit(0).cast("long"))
-        .withColumn("lines", F.lit(None).cast(groups.schema["lines"].dataType))
-    )
-    b = with_lines.unionByName(no_lines)
-
-    bid = _bundle_id(F.col("o_orderkey"), F.col("chunk"))
+    bid = F.col("o_key").cast("string")
+    # lines without an order form a bundle without Order and Customer entries
     head_entries = F.array(
-        _entry_text(F.concat(F.lit("Order/"), F.col("o_orderkey").cast("string")), F.col("order_json")),
+        F.when(F.col("o_orderkey").isNotNull(),
+               _entry_text(F.concat(F.lit("Order/"), F.col("o_orderkey").cast("string")), F.col("order_json"))),
         F.when(F.col("customer_json").isNotNull(),
                _entry_text(F.concat(F.lit("Customer/"), F.col("o_custkey").cast("string")), F.col("customer_json"))),
     )
-    line_entries = F.transform(F.coalesce(F.col("lines"), F.array()), _line_entry(bid, F.col("o_orderkey")))
+    line_entries = F.transform(F.coalesce(F.col("lines"), F.array()), _line_entry(bid, F.col("o_key")))
     entries_csv = F.array_join(F.concat(F.filter(head_entries, lambda x: x.isNotNull()), line_entries), ",")
     header = F.to_json(F.struct(
         F.lit("Bundle").alias("resourceType"),
@@ -217,13 +182,13 @@ def customer_bundles_variant(vb: DataFrame) -> DataFrame:
         F.element_at(F.split(ref, "/"), -1).cast("long").alias("o_custkey"),
         "fhir",
     )
-    b = chunk_of(b, "o_custkey", ["bundle_id"], ORDERS_PER_OUTER_BUNDLE)
-    g = b.groupBy("o_custkey", "chunk").agg(F.collect_list(F.struct("bundle_id", "fhir")).alias("inner"))
+    g = (b.where(F.col("o_custkey").isNotNull()).groupBy("o_custkey")
+         .agg(F.collect_list(F.struct("bundle_id", "fhir")).alias("inner")))
     ordered = F.array_sort("inner", lambda x, y: F.when(x["bundle_id"] < y["bundle_id"], -1)
                            .when(x["bundle_id"] > y["bundle_id"], 1).otherwise(0))
     entries = F.transform(ordered, lambda x: F.struct(
         F.concat(F.lit("Bundle/"), x["bundle_id"]).alias("fullUrl"), x["fhir"].alias("resource")))
-    outer_id = F.concat(F.lit("customer-"), _bundle_id(F.col("o_custkey"), F.col("chunk")))
+    outer_id = F.concat(F.lit("customer-"), F.col("o_custkey").cast("string"))
     fhir = F.to_variant_object(F.struct(
         F.lit("Bundle").alias("resourceType"), F.lit(OUTER_BUNDLE_TYPE).alias("type"),
         outer_id.alias("id"), entries.alias("entry")))

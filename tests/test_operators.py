@@ -76,15 +76,6 @@ def test_constraints(spark):
     assert rep == {"not_null:v": 1, "primary_key:k": 1, "foreign_key:k": 1}
 
 
-def test_chunking_splits_hot_keys(spark):
-    from bundleflow.plans.synth import chunk_of
-    df = spark.range(0, 2500).select(F.when(F.col("id") < 2400, 0).otherwise(F.col("id")).alias("k"), "id")
-    c = chunk_of(df, "k", ["id"], 1000)
-    sizes = {r.chunk: r["count"] for r in c.where("k = 0").groupBy("chunk").count().collect()}
-    assert set(sizes) == {0, 1, 2} and sum(sizes.values()) == 2400  # 3 chunks, nothing dropped
-    assert c.where("k <> 0").select(F.max("chunk")).first()[0] == 0
-
-
 def test_writeback_nesting(spark):
     from bundleflow.plans.writeback import Mapping, bundle_of, nest
     df = spark.createDataFrame([("7", 12.5)], "id string, amount double")

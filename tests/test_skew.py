@@ -1,42 +1,63 @@
-"""A hot order holding a third of all lines: bundles split, nothing dropped or duplicated."""
+"""Hot keys and missing orders: every bundle query still equals its oracle."""
 
 import os
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from bundleflow.plans import datasets as ds
-from bundleflow.plans.synth import LINES_PER_BUNDLE
+import __spark_entry__ as se
+from bundleflow.plans import catalog
 from bundleflow.sources.tables import TABLES
+from test_queries import _rows
 
 SRC = "/root/testdata/sf0.001"
+BUNDLE_QUERIES = sorted(q for q, sql in catalog.ORACLES.items() if "orders" in sql or "lineitem" in sql)
 
 
-def test_hot_order_is_split_and_whole(spark, tmp):
-    sf = os.path.join(tmp, "skewed")
+def _copy(spark, folder, change):
     for t in TABLES:
-        df = spark.read.parquet(f"{SRC}/{t}.parquet")
+        change(t, spark.read.parquet(f"{SRC}/{t}.parquet")).coalesce(1).write.parquet(f"{folder}/{t}.parquet")
+    return folder
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """One order holds half of the lines, one customer half of the orders."""
+    def change(t, df):
+        half = F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 0
         if t == "lineitem":
-            hot = spark.read.parquet(f"{SRC}/orders.parquet").agg(F.min("o_orderkey")).first()[0]
-            # every third line (by a stable hash) moves to the hot order; linenumbers stay distinct per row
-            df = df.withColumn("l_orderkey", F.when(F.pmod(F.xxhash64(*df.columns), F.lit(3)) == 0, F.lit(hot))
-                               .otherwise(F.col("l_orderkey")))
-        df.write.parquet(f"{sf}/{t}.parquet")
-    n_lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
-    n_hot = spark.read.parquet(f"{sf}/lineitem.parquet").where(F.col("l_orderkey") == hot).count()
-    assert n_hot > 1500  # about a third of 6000
-
-    ent = ds.entries(spark, sf)
-    lines = ent.where(F.col("resourceType") == "LineItem")
-    assert lines.count() == n_lines  # whole: every line exactly once
-    per_bundle = lines.groupBy("bundle_uuid").count()
-    hot_bundles = ent.where((F.col("resourceType") == "Order") & (F.col("fullUrl") == f"Order/{hot}")).count()
-    assert hot_bundles == -(-n_hot // LINES_PER_BUNDLE)  # continuation bundles, each with the Order entry
-    assert per_bundle.agg(F.max("count")).first()[0] < 1.2 * LINES_PER_BUNDLE
-    got = ds.silver(spark, sf, "LineItem").select(
-        F.try_variant_get("order", "$.reference", "string").alias("o"),
-        F.try_variant_get("linenumber", "$", "int").alias("ln"),
-        F.try_variant_get("extendedprice", "$", "double").alias("p"))
-    src = spark.read.parquet(f"{sf}/lineitem.parquet").select(
-        F.concat(F.lit("Order/"), F.col("l_orderkey").cast("string")).alias("o"),
-        F.col("l_linenumber").alias("ln"), F.col("l_extendedprice").alias("p"))
-    assert got.exceptAll(src).count() == 0 and src.exceptAll(got).count() == 0
+            return df.withColumn("l_orderkey", F.when(half, F.lit(1)).otherwise(F.col("l_orderkey")))
+        if t == "orders":
+            return df.withColumn("o_custkey", F.when(half, F.lit(7)).otherwise(F.col("o_custkey")))
+        return df
+    return _copy(spark, os.path.join(str(tmp_path_factory.mktemp("hot")), "sf"), change)
+
+
+@pytest.fixture(scope="module")
+def cut(spark, tmp_path_factory):
+    """Ten orders are left; the lines of all others stand without an order."""
+    def change(t, df):
+        return df.orderBy("o_orderkey").limit(10) if t == "orders" else df
+    return _copy(spark, os.path.join(str(tmp_path_factory.mktemp("cut")), "sf"), change)
+
+
+def _check(spark, folder, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet/*.parquet')")
+    df = se.queries()[name](spark, folder)
+    res = con.execute(catalog.ORACLES[name])
+    cols = [d[0] for d in res.description]
+    assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(cols, res.fetchall())
+
+
+@pytest.mark.parametrize("name", BUNDLE_QUERIES)
+def test_hot_order_and_customer(spark, hot, name):
+    _check(spark, hot, name)
+
+
+@pytest.mark.parametrize("name", ["resource_counts", "silver_lineitem", "bundle_meta", "meta_pivot", "event_type_counts",
+                                  "resources_long", "prior_auth_arrays", "silver_order", "nested_bundle"])
+def test_lines_without_an_order(spark, cut, name):
+    _check(spark, cut, name)
