@@ -23,6 +23,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Bundle tables hold whole documents per row; 4096-row reader batches would need
+    # gigabytes per task.  Set for sessions built here only, never on a caller's session.
+    "spark.sql.parquet.columnarReaderBatchSize": "256",
 }
 
 
@@ -56,16 +59,12 @@ def configure(spark: SparkSession) -> SparkSession:
     # task per path up to 10,000; size that job to the cluster instead.
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
                    str(max(8, spark.sparkContext.defaultParallelism)))
-    # Bundle tables hold whole documents per row (megabytes each in production);
-    # the vectorized reader's default 4096-row batches would need gigabytes per task.
-    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_BATCH_ROWS))
     work_dir(spark)
     ship_package(spark)
     return spark
 
 
 _SHIPPED: set[str] = set()
-READER_BATCH_ROWS = 256
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -104,18 +103,18 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for materialised hops and checkpoints.
+    """Shared folder for materialised hops and checkpoints: ``spark.checkpoint.dir``.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (local
-    runs) a stable folder under the system temp dir, registered as the
-    checkpoint dir.  Tests and the bench set their own fresh folder.
+    Only a local master may do without the setting; it then gets a stable folder under the
+    system's temp folder.  On a cluster such a folder would be another one on every machine,
+    so a missing setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        # local runs only: a stable folder, so separate sessions reuse stored hops
-        # (keyed by code version and input; writes are rename-atomic)
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = os.path.join(tempfile.gettempdir(), f"bundleflow-work-{os.getuid()}")
         os.makedirs(d, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", d)

@@ -1,6 +1,6 @@
 """Materialised tables under the shared work folder.
 
-A hop is written once per input folder and code version and then read back, so
+A hop is written once per input folder, input state and code version and then read back, so
 later queries start from Parquet instead of recomputing lineage.  Presence of
 ``_SUCCESS`` marks a complete write; a partial write is simply overwritten.
 """
@@ -61,9 +61,21 @@ def code_version() -> str:
     return _CODE_HASH[0]
 
 
+def input_state(spark: SparkSession, folder: str) -> str:
+    """Digest of name, length and modification time of every file below ``folder``, so that a
+    hop stored for other data is never read back."""
+    fs, p = _fs(spark, folder)
+    found, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()[:16]
+
+
 def dataset_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored hops of one input folder, in its present state, and code version."""
     digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-    return join_path(work_dir(spark), "bundleflow", code_version(), digest)
+    return join_path(work_dir(spark), "bundleflow", code_version(), digest, input_state(spark, sf_dir))
 
 
 def materialize(
