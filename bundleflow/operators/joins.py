@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_BOUND = 2_000_000
+BROADCAST_BYTES = 64 << 20
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROW_BOUND) -> DataFrame:
-    """Broadcast ``df`` only when a row count proves it small; else leave it to the planner.
+def plan_bytes(df: DataFrame) -> int:
+    """Size in bytes that the optimizer estimates for ``df`` from file statistics (no job)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    The count reads only what the plan needs (Catalyst prunes columns for
-    ``count``); beyond the bound the join stays a shuffle join, and AQE may still
-    switch it to a broadcast when the runtime size allows.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when its estimated bytes are below ``max_bytes``; beyond it the join
+    is left to the planner, and AQE may still broadcast on the size measured at run time."""
+    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
 
 
 def reference_key(full_url: Column) -> Column:

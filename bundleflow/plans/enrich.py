@@ -3,12 +3,11 @@
 The transport is injected: a callable taking a list of request dicts and
 returning one response dict per request.  Requests travel in Arrow batches
 (``mapInPandas``) and each batch is one transport call, so a real client can
-pool connections or use a bulk endpoint.  Tests use an offline stub.
+pool connections or use a bulk endpoint.
 """
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Callable
 
@@ -26,22 +25,6 @@ RESULT_SCHEMA = (
 Transport = Callable[[list[dict]], list[dict]]
 
 
-def stub_transport(base: str = "stub://fhir") -> Transport:
-    """Offline transport: echoes a resource for GET, acknowledges POST."""
-    def call(requests: list[dict]) -> list[dict]:
-        out = []
-        for r in requests:
-            if r["method"] == "get":
-                body = json.dumps({"resourceType": r["resource"], "id": r["id"]}, separators=(",", ":"))
-                out.append({"status_code": 200, "text": body, "url": f"{base}/{r['resource']}/{r['id']}",
-                            "headers": {"content-type": "application/fhir+json"}})
-            else:
-                out.append({"status_code": 201, "text": r["payload"] or "",
-                            "url": f"{base}/{r['resource']}", "headers": {"location": f"{base}/{r['resource']}/new"}})
-        return out
-    return call
-
-
 def request_batches(df: DataFrame, transport: Transport, method: str, resource: str,
                     id_col: str | None = None, payload_col: str | None = None,
                     keep: list[str] | None = None) -> DataFrame:
@@ -88,17 +71,16 @@ def describe_codes(df: DataFrame, code_cols: list[str], lookup: DataFrame, key_c
                    desc_col: str, suffix: str = "_desc") -> DataFrame:
     """U7 re-aimed: code descriptions by join to a code table.
 
-    Small code table: broadcast it (after a size check) and look up each column
-    without a shuffle.  Large code table: first cut it down to the codes actually
-    used (one semi-join, so the big table is shuffled once, not once per column),
-    then broadcast that subset if it is small, else join it per column.
+    Small code table (by its bytes): broadcast it and look up each column without a shuffle.
+    Large code table: cut it down to the codes actually used by one semi-join, so the big
+    table is shuffled once and not once per column; AQE decides how the rest is joined.
     """
     lk = lookup.select(F.col(key_col).cast("string").alias("_code"), F.col(desc_col).alias("_desc"))
     side = small_side(lk)
     if side is lk:  # not provably small
         used = (df.select(F.explode(F.array(*[F.col(c) for c in code_cols])).alias("_code"))
                 .where(F.col("_code").isNotNull()).distinct())
-        side = small_side(lk.join(used, "_code", "left_semi").persist())
+        side = lk.join(used, "_code", "left_semi")
     out = df
     for c in code_cols:
         out = (out.join(side.withColumnRenamed("_code", f"_code_{c}"), F.col(c) == F.col(f"_code_{c}"), "left")

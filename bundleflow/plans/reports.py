@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.variant import as_array, decode_base64_text, get, parse
-from ..operators.joins import small_side
 from ..operators.pivot import pivot_fixed
 
 
@@ -44,34 +43,33 @@ def coordinates(silver_customer: DataFrame, id_cols: list[str]) -> DataFrame:
     return pivot_fixed(fixed, id_cols, "coordinate_type", ["latitude", "longitude"], F.first("coordinates"))
 
 
-def price_periods(usage: DataFrame, sku_col: str, date_col: str, price_expr) -> DataFrame:
-    """Yearly list prices per SKU derived from usage; the latest period of a SKU is open (NULL end)."""
-    y = usage.groupBy(sku_col, F.year(date_col).alias("price_year")).agg(F.round(F.avg(price_expr), 2).alias("list_price"))
-    w = Window.partitionBy(sku_col)  # frame = the SKU's years: bounded by the calendar
+def price_periods(usage: DataFrame, keys: list[str], date_col: str, amount_col: str, qty_col: str) -> DataFrame:
+    """Yearly list prices per key derived from usage (exact decimal sums); the latest period of a
+    key is open (NULL end)."""
+    year = F.year(date_col).alias("price_year")
+    price = F.round(F.sum(amount_col).cast("double") / F.sum(qty_col).cast("double"), 2).cast("decimal(18,2)")
+    y = usage.groupBy(*keys, year).agg(price.alias("list_price"))
+    w = Window.partitionBy(*keys)  # frame = the years of a key: bounded by the calendar
     return y.select(
-        F.col(sku_col).alias("price_sku"),
+        *[F.col(k).alias(f"price_{k}") for k in keys], "list_price",
         F.make_date("price_year", F.lit(1), F.lit(1)).alias("price_start"),
-        F.when(F.col("price_year") == F.max("price_year").over(w), F.lit(None).cast("date"))
-         .otherwise(F.date_sub(F.make_date(F.col("price_year") + 1, F.lit(1), F.lit(1)), 1)).alias("price_end"),
-        "list_price",
-    )
+        F.when(F.col("price_year") < F.max("price_year").over(w),
+               F.make_date("price_year", F.lit(12), F.lit(31))).alias("price_end"))
 
 
-def usage_cost(usage: DataFrame, prices: DataFrame, sku_col: str, start_col: str, end_col: str,
-               qty_col: str) -> DataFrame:
-    """C26 (J3, A6, P9): equality on SKU plus a range with an open upper bound, then sum(qty * price)."""
-    # prices are bounded by SKUs x periods; broadcast after a checked count, so the
-    # low-cardinality SKU key never becomes the shuffle key of the usage side
-    prices = small_side(prices)
-    cond = (
-        (usage[sku_col] == prices["price_sku"])
-        & (usage[start_col] >= prices["price_start"])
-        & ((usage[end_col] <= prices["price_end"]) | prices["price_end"].isNull())
-    )
-    j = usage.join(prices, cond, "inner")
-    return j.groupBy(sku_col, F.year(start_col).alias("usage_year")).agg(
-        F.round(F.sum(F.col(qty_col) * F.col("list_price")), 2).alias("list_cost"),
-    ).orderBy(F.desc("list_cost"))
+def usage_cost(usage: DataFrame, prices: DataFrame, keys: list[str], workspace_col: str, day_col: str,
+               qty_col: str, as_of: dt.date, days: int = 7) -> DataFrame:
+    """C26 (J3, A6, F11, P9): equality on every key and a range with an open end, for the days
+    before ``as_of`` (it replaces ``current_date()``), then the decimal sum of quantity * price.
+
+    ``prices`` is a small written table; AQE decides from its size whether to broadcast it.
+    """
+    recent = usage.where((F.col(day_col) >= F.date_sub(F.lit(as_of), days)) & (F.col(day_col) < F.lit(as_of)))
+    cond = [recent[k] == prices[f"price_{k}"] for k in keys]
+    cond += [recent[day_col] >= prices["price_start"],
+             (recent[day_col] <= prices["price_end"]) | prices["price_end"].isNull()]
+    return (recent.join(prices, cond).groupBy(workspace_col, day_col, keys[0])
+            .agg(F.sum(F.col(qty_col) * F.col("list_price")).cast("double").alias("list_cost")))
 
 
 def search_response(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -127,16 +127,3 @@ def work_dir(spark: SparkSession) -> str:
 def join_path(*parts: str) -> str:
     head, *rest = parts
     return "/".join([head.rstrip("/")] + [p.strip("/") for p in rest])
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def env_flag(name: str, default: bool = False) -> bool:
-    v = os.environ.get(name)
-    return default if v is None else v.lower() in ("1", "true", "yes")

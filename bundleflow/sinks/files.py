@@ -9,38 +9,76 @@ its target, so a retried task is harmless.
 from __future__ import annotations
 
 import posixpath
+import time
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType
 
 COPY_SCHEMA = "src string, dst string, status map<string,string>"
-
-
-def _uri(path: str) -> str:
-    if path.startswith("file:") and not path.startswith("file:///"):
-        return "file:///" + path[len("file:"):].lstrip("/")
-    if path.startswith("/"):
-        return "file://" + path
-    return path
-
-
-def copy_one(src: str, dst: str) -> dict[str, str]:
-    """Copy a file (overwrite) and report ``{status, message}`` instead of raising."""
-    from pyarrow import fs as pafs
-    try:
-        sfs, spath = pafs.FileSystem.from_uri(_uri(src))
-        dfs, dpath = pafs.FileSystem.from_uri(_uri(dst))
-        dfs.create_dir(posixpath.dirname(dpath), recursive=True)
-        if type(sfs) is type(dfs):
-            dfs.copy_file(spath, dpath)
-        else:
-            with sfs.open_input_stream(spath) as i, dfs.open_output_stream(dpath) as o:
-                while chunk := i.read(1 << 20):
-                    o.write(chunk)
-        return {"status": "success", "message": f"copied to {dst}"}
-    except Exception as e:  # noqa: BLE001 - reported per file, like the reference's status map
-        return {"status": "error", "message": f"{type(e).__name__}: {e}"}
+ATTEMPTS = 3
+# Schemes of Spark paths and the names pyarrow has for them.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfs": "abfss", "wasbs": "abfss"}
+
+
+def file_system(path: str, resolve=None):
+    """(file system, path within it) of a Spark path.  Only scheme and host are parsed as a URI;
+    the rest is taken as it is, so names may hold spaces or percent signs.  ``resolve`` turns
+    scheme and host into (file system, root); pyarrow's own lookup by default."""
+    from pyarrow.fs import FileSystem, LocalFileSystem
+    scheme, colon, rest = path.partition(":")
+    if path.startswith("/") or not colon or "/" in scheme:
+        return LocalFileSystem(), path
+    if scheme in ("file", "dbfs"):
+        local = "/" + rest.lstrip("/")
+        return LocalFileSystem(), "/dbfs" + local if scheme == "dbfs" else local
+    host, _, tail = rest.removeprefix("//").partition("/")
+    fs, root = (resolve or FileSystem.from_uri)(f"{SCHEMES.get(scheme, scheme)}://{host}")
+    return fs, f"{root.rstrip('/')}/{tail}"
+
+
+def copy_one(src: str, dst: str, attempts: int = ATTEMPTS) -> dict[str, str]:
+    """Copy a file (overwrite), try again after a failure, and report ``{status, message}``
+    instead of raising."""
+    for left in reversed(range(attempts)):
+        try:
+            sfs, spath = file_system(src)
+            dfs, dpath = file_system(dst)
+            dfs.create_dir(posixpath.dirname(dpath), recursive=True)
+            if type(sfs) is type(dfs):
+                dfs.copy_file(spath, dpath)
+            else:
+                with sfs.open_input_stream(spath) as i, dfs.open_output_stream(dpath) as o:
+                    while chunk := i.read(1 << 20):
+                        o.write(chunk)
+            return {"status": "success", "message": f"copied to {dst}"}
+        except Exception as e:  # noqa: BLE001 - reported per file, like the reference's status map
+            if not left:
+                return {"status": "error", "message": f"{type(e).__name__}: {e}"}
+            time.sleep(0.1)
+    return {"status": "error", "message": "no attempt"}
+
+
+def _plain(path: str | Column):
+    """A path with one slash behind its scheme: ``file:///x`` and ``file:/x`` become the same."""
+    if isinstance(path, str):
+        scheme, colon, rest = path.partition(":")
+        return f"{scheme}:/{rest.lstrip('/')}" if colon and "/" not in scheme else path
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def relative_path(spark, folder: str, path: Column) -> Column:
+    """``path`` below ``folder``: the resolved folder's own prefix is cut off, nothing is searched."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    root = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return F.substr(_plain(path), F.lit(len(_plain(root).rstrip("/")) + 2))
+
+
+@F.pandas_udf(MapType(StringType(), StringType()))
+def copy_status(src: pd.Series, dst: pd.Series) -> pd.Series:
+    """Copies row by row; only the two paths travel to Python, the row's other columns do not."""
+    return pd.Series([copy_one(s, d) for s, d in zip(src, dst)])
 
 
 def copy_manifest(manifest: DataFrame, src_col: str, dst_col: str) -> DataFrame:
@@ -53,17 +91,19 @@ def copy_manifest(manifest: DataFrame, src_col: str, dst_col: str) -> DataFrame:
     return manifest.select(src_col, dst_col).mapInPandas(run, COPY_SCHEMA)
 
 
-def copy_files(spark, src_dir: str, dst_dir: str, glob: str = "*") -> DataFrame:
-    """Copy files matching ``glob`` from ``src_dir`` into ``dst_dir``; returns status rows.
+def copy_files(spark, src_dir: str, dst_dir: str, glob: str | list[str] = "*") -> DataFrame:
+    """Copy files whose name fits one of the patterns from ``src_dir`` into ``dst_dir``,
+    keeping their path below it; returns status rows.
 
     The listing uses the binaryFile source with only path metadata selected, so
     file contents are not read by Spark.
     """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    patterns = glob if isinstance(glob, str) else "{" + ",".join(glob) + "}"
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", patterns)
                .option("recursiveFileLookup", True).load(src_dir).select("path"))
     manifest = listing.select(
         F.col("path").alias("src"),
-        F.concat(F.lit(dst_dir.rstrip("/") + "/"), F.element_at(F.split("path", "/"), -1)).alias("dst"))
+        F.concat(F.lit(dst_dir.rstrip("/") + "/"), relative_path(spark, src_dir, F.col("path"))).alias("dst"))
     return copy_manifest(manifest, "src", "dst")
 
 
@@ -77,11 +117,10 @@ def write_one_file_per_row(df: DataFrame, key_col: str, value_col: str, path: st
     base = path.rstrip("/")
 
     def run(batches):
-        from pyarrow import fs as pafs
         fs = root = None
         for pdf in batches:
             if fs is None:
-                fs, root = pafs.FileSystem.from_uri(_uri(base))
+                fs, root = file_system(base)
                 fs.create_dir(root, recursive=True)
             for k, v in zip(pdf[key_col], pdf[value_col]):
                 with fs.open_output_stream(f"{root}/{k}{suffix}") as o:
@@ -93,9 +132,8 @@ def write_one_file_per_row(df: DataFrame, key_col: str, value_col: str, path: st
 
 
 def delete_one(path: str) -> dict[str, str]:
-    from pyarrow import fs as pafs
     try:
-        fs, p = pafs.FileSystem.from_uri(_uri(path))
+        fs, p = file_system(path)
         fs.delete_file(p)
         return {"status": "success", "message": f"deleted {path}"}
     except Exception as e:  # noqa: BLE001
@@ -112,7 +150,7 @@ def archive_older_than(spark, src_dir: str, archive_dir: str, older_than, glob:
     base = src_dir.rstrip("/")
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
                .load(base).where(F.col("modificationTime") < F.lit(older_than)).select("path"))
-    rel = F.regexp_replace("path", r"^.*?" + posixpath.basename(base) + "/", "")
+    rel = relative_path(spark, base, F.col("path"))
     manifest = listing.select(F.col("path").alias("src"),
                               F.concat(F.lit(archive_dir.rstrip("/") + "/"), rel).alias("dst"))
 

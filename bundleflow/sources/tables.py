@@ -17,11 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(join_path(sf_dir, f"{name}.parquet"))
 
 
-def inline(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
-    """A literal relation, the DataFrame form of ``VALUES`` / ``createDataFrame``."""
-    return spark.createDataFrame(rows, names)
-
-
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """First ``n`` rows (``LIMIT n``; planned as CollectLimit, no full scan)."""
-    return df.limit(n)
+def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A literal relation, the DataFrame form of ``VALUES``."""
+    return spark.createDataFrame(rows, schema)

@@ -1,47 +1,76 @@
 """C25/S2/S3/ST9: document ingest with a copy (stage-out) status per file.
 
-Stream of whole text files -> ``foreachBatch``: copy each file to the staging
-folder inside executors (Arrow batches), attach the ``{status, message}`` map,
-write the batch to ``bronze/batch_id=<n>`` (overwrite: replay-safe).
+Stream of whole text files -> ``foreachBatch``: each row's file is copied to the staging folder
+(below it at the same relative path as below the landing folder) by the executor that holds the
+row, which adds the ``{status, message}`` map; the batch is written to
+``documents_bronze/batch_id=<n>`` (overwrite: replay-safe).  Copies that failed are tried again
+at the start of the next run; their new status replaces the stored one on reading.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import join_path
-from ..sinks.files import copy_manifest
+from ..sinks.files import copy_status, relative_path
+from ..sinks.store import list_dirs, path_exists
 from .hops import Layout, refresh, text_files_stream
 
 
+def _decoded(path: Column) -> Column:
+    """File metadata holds percent-encoded paths; a plus sign stands for itself in them."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def stage_documents(spark: SparkSession, landing: str, stage_dir: str, root: str, glob: str = "*.xml",
                     max_files_per_trigger: int | None = None, clean_source: str = "off",
                     archive_dir: str | None = None, cluster_by: str | None = "file_metadata.file_path") -> Layout:
     layout = Layout(root)
+    retry_failed(spark, layout)
     stream = text_files_stream(spark, landing, glob, max_files_per_trigger,
                                clean_source=clean_source, archive_dir=archive_dir)
     out = layout.table("documents_bronze")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        path = _decoded(F.col("file_metadata.file_path"))
         rows = batch.select(
-            "file_metadata", F.current_timestamp().alias("ingest_time"), "value",
-            F.col("file_metadata.file_path").alias("_src"),
-            F.concat(F.lit(stage_dir.rstrip("/") + "/"), F.col("file_metadata.file_name")).alias("_dst"),
-        ).persist()
-        try:
-            status = copy_manifest(rows, "_src", "_dst")
-            res = rows.join(status, (rows["_src"] == status["src"]) & (rows["_dst"] == status["dst"]), "left").select(
-                "file_metadata", "ingest_time", "value", F.col("status").alias("copy_status"))
-            if cluster_by:  # D2 cluster_by: range-partition and sort so files cluster by path
-                res = res.repartitionByRange(F.col(cluster_by)).sortWithinPartitions(cluster_by)
-            res.write.mode("overwrite").parquet(join_path(out, f"batch_id={batch_id:09d}"))
-        finally:
-            rows.unpersist()
+            "file_metadata", F.current_timestamp().alias("ingest_time"), "value", path.alias("source_path"),
+            F.concat(F.lit(stage_dir.rstrip("/") + "/"), relative_path(spark, landing, path)).alias("stage_path"))
+        if cluster_by:  # D2 cluster_by, before the copy: the range sampling must not copy files
+            rows = rows.repartitionByRange(F.col(cluster_by)).sortWithinPartitions(cluster_by)
+        copied = copy_status.asNondeterministic()("source_path", "stage_path")
+        rows.withColumn("copy_status", copied).write.mode("overwrite").parquet(
+            join_path(out, f"batch_id={batch_id:09d}"))
 
     refresh(stream, "documents_bronze", layout, foreach_batch=write)
     return layout
 
 
+def retry_failed(spark: SparkSession, layout: Layout) -> int:
+    """Copies again what the stored statuses call an error; returns the number of files."""
+    if not list_dirs(spark, layout.table("documents_bronze")):
+        return 0
+    failed = read_documents(spark, layout).where(F.col("copy_status")["status"] == "error").select(
+        "source_path", "stage_path")
+    if failed.isEmpty():
+        return 0
+    again = failed.withColumn("retry_status", copy_status.asNondeterministic()("source_path", "stage_path"))
+    out = join_path(layout.table("documents_retries"), f"run={uuid.uuid4().hex}")
+    again.withColumn("retry_time", F.current_timestamp()).write.parquet(out)
+    return spark.read.parquet(out).count()
+
+
 def read_documents(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.parquet(layout.table("documents_bronze")).drop("batch_id")
+    """The documents with the newest status of their copy."""
+    docs = spark.read.parquet(layout.table("documents_bronze")).drop("batch_id")
+    retries = layout.table("documents_retries")
+    if not path_exists(spark, retries):
+        return docs
+    last = spark.read.parquet(retries).groupBy("source_path").agg(
+        F.max_by("retry_status", "retry_time").alias("retry_status"))
+    return (docs.join(last, "source_path", "left")
+            .withColumn("copy_status", F.coalesce("retry_status", "copy_status"))
+            .select(*docs.columns))

@@ -7,9 +7,12 @@ input commits nothing; a new file flows through every hop once.
 
 Layout under ``root``::
 
-    tables/bronze  tables/bronze_variant  tables/bundle_meta  tables/entries
-    tables/resource_schemas/version=<n>   tables/silver/<type>/batch_id=<n>
-    checkpoints/<hop>
+    tables/bronze  tables/quarantine  tables/bronze_variant  tables/bundle_meta  tables/entries
+    tables/resource_schemas/version=<n>   tables/silver/<type>/v=<k>/batch_id=<n>
+    tables/silver_failed/<type>/batch_id=<n>   checkpoints/<hop>
+
+Every hop is bounded: a micro-batch takes ``maxFilesPerTrigger`` files or, by default,
+``MAX_BYTES`` bytes of them, so a full refresh of any size runs as many batches of one size.
 
 Parquet file sinks are exactly-once (the sink keeps a commit log that readers
 and downstream file sources honour).  ``foreachBatch`` sinks write each batch
@@ -19,6 +22,8 @@ replaces its own output instead of duplicating it.
 
 from __future__ import annotations
 
+import re
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -27,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.keys import KeyCollisionError
 from ..plans import bronze, resources
 from ..session import join_path
 from ..sinks.store import delete_path, list_dirs, path_exists, with_comments, write_table_info
@@ -66,9 +72,20 @@ def refresh(stream: DataFrame, name: str, layout: Layout, partition_by: list[str
     return q
 
 
-def read_stream_table(spark: SparkSession, layout: Layout, name: str, schema: StructType) -> DataFrame:
+MAX_BYTES = 4 << 30
+
+
+def _bounded(reader, max_files_per_trigger: int | None):
+    """Spark takes one bound: files if given, else bytes."""
+    if max_files_per_trigger:
+        return reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.option("maxBytesPerTrigger", MAX_BYTES)
+
+
+def read_stream_table(spark: SparkSession, layout: Layout, name: str, schema: StructType,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
     """``STREAM(t)`` over a Parquet sink (the file source follows the sink's commit log)."""
-    return spark.readStream.schema(schema).parquet(layout.table(name))
+    return _bounded(spark.readStream.schema(schema), max_files_per_trigger).parquet(layout.table(name))
 
 
 def text_files_stream(spark: SparkSession, landing: str, glob: str = "*.json",
@@ -78,8 +95,7 @@ def text_files_stream(spark: SparkSession, landing: str, glob: str = "*.json",
     r = (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob)
          .option("recursiveFileLookup", True).option("latestFirst", latest_first)
          .option("cleanSource", clean_source))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    r = _bounded(r, max_files_per_trigger)
     if archive_dir:
         r = r.option("sourceArchiveDir", archive_dir)
     df = r.schema("value string").load(landing)
@@ -104,31 +120,37 @@ def _schema_of(spark: SparkSession, layout: Layout, name: str) -> StructType:
     return spark.read.parquet(layout.table(name)).schema
 
 
-def variant_hop(spark: SparkSession, layout: Layout):
+def quarantine_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None):
+    """V23/ST7: bronze -> quarantine, the rows whose text does not parse, with their text."""
+    s = read_stream_table(spark, layout, "bronze", _schema_of(spark, layout, "bronze"), max_files_per_trigger)
+    return refresh(bronze.quarantine(s), "quarantine", layout)
+
+
+def variant_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None):
     """Bronze -> bronze_variant (parse once)."""
-    s = read_stream_table(spark, layout, "bronze", _schema_of(spark, layout, "bronze"))
+    s = read_stream_table(spark, layout, "bronze", _schema_of(spark, layout, "bronze"), max_files_per_trigger)
     return refresh(bronze.variant_bronze(s), "bronze_variant", layout)
 
 
-def meta_hop(spark: SparkSession, layout: Layout):
+def meta_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None):
     """bronze_variant -> bundle_meta."""
-    s = read_stream_table(spark, layout, "bronze_variant", _schema_of(spark, layout, "bronze_variant"))
+    s = read_stream_table(spark, layout, "bronze_variant", _schema_of(spark, layout, "bronze_variant"),
+                          max_files_per_trigger)
     return refresh(resources.bundle_meta(s), "bundle_meta", layout)
 
 
-ENTRY_SALT_BUCKETS = 8
-
-
-def entries_hop(spark: SparkSession, layout: Layout, salt_buckets: int = ENTRY_SALT_BUCKETS):
+def entries_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None):
     """C5 (entry level): bronze_variant -> entries, partitioned by resource type.
 
-    Micro-batches run without AQE, so the rows are spread by (type, salted bundle
-    hash): a dominant type is split over ``salt_buckets`` tasks, and each batch
-    writes about ``types x salt_buckets`` files instead of one per type per task.
+    Micro-batches run without AQE, so the rows are spread by (type, salted bundle hash) over as
+    many salts as the cluster has shuffle partitions: a dominant type uses every task, and the
+    bundles of one task stay together, so a bundle's entries of a type lie in one file.
     """
-    s = read_stream_table(spark, layout, "bronze_variant", _schema_of(spark, layout, "bronze_variant"))
+    salts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    s = read_stream_table(spark, layout, "bronze_variant", _schema_of(spark, layout, "bronze_variant"),
+                          max_files_per_trigger)
     ent = resources.entries(s).repartition(
-        F.col("resourceType"), F.pmod(F.xxhash64("bundle_uuid"), F.lit(salt_buckets)))
+        F.col("resourceType"), F.pmod(F.xxhash64("bundle_uuid"), F.lit(salts)))
     return refresh(ent, "entries", layout, partition_by=["resourceType"])
 
 
@@ -136,14 +158,14 @@ def read_entries(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.parquet(layout.table("entries"))
 
 
-def schemas_hop(spark: SparkSession, layout: Layout):
+def schemas_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None):
     """C7/ST5: streaming aggregation without watermark, complete mode.
 
     Each batch writes the whole registry to a new ``version=<batch>`` folder and
     only then a ``_SUCCESS`` marker; readers take the highest complete version,
     so nothing is overwritten while being read.
     """
-    ent = read_stream_table(spark, layout, "entries", read_entries(spark, layout).schema)
+    ent = read_stream_table(spark, layout, "entries", read_entries(spark, layout).schema, max_files_per_trigger)
     agg = resources.resource_schemas(resources.resources_long(ent))
     out = layout.table("resource_schemas")
 
@@ -160,13 +182,23 @@ def latest_schemas(spark: SparkSession, layout: Layout) -> DataFrame | None:
     return spark.read.parquet(join_path(out, done[-1])) if done else None
 
 
+def silver_version(spark: SparkSession, layout: Layout, resource_type: str) -> int:
+    """The wide table's present version: its highest complete folder ``v=<k>`` (0 at first)."""
+    found = [int(d[2:]) for d in list_dirs(spark, layout.silver(resource_type)) if re.fullmatch(r"v=\d+", d)]
+    return max(found, default=0)
+
+
+def silver_path(spark: SparkSession, layout: Layout, resource_type: str) -> str:
+    return join_path(layout.silver(resource_type), f"v={silver_version(spark, layout, resource_type)}")
+
+
 def silver_columns(spark: SparkSession, layout: Layout, resource_type: str) -> list[str] | None:
     """Column list of the stored wide table (None when it does not exist).
 
     Columns only ever widen, so the newest batch folder holds the full ordered
     list; reading one footer keeps this constant-cost as batches accumulate.
     """
-    p = layout.silver(resource_type)
+    p = silver_path(spark, layout, resource_type)
     done = sorted(d for d in list_dirs(spark, p) if d.startswith("batch_id="))
     if not done:
         return None
@@ -176,7 +208,7 @@ def silver_columns(spark: SparkSession, layout: Layout, resource_type: str) -> l
 def read_silver(spark: SparkSession, layout: Layout, resource_type: str) -> DataFrame:
     """Wide table of one type: all batches, older ones widened with NULL for later keys."""
     cols = silver_columns(spark, layout, resource_type) or []
-    df = spark.read.option("mergeSchema", True).parquet(layout.silver(resource_type))
+    df = spark.read.option("mergeSchema", True).parquet(silver_path(spark, layout, resource_type))
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
@@ -190,7 +222,12 @@ def silver_comments(resource_type: str) -> dict[str, str]:
     }
 
 
-def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = None, parallel_types: int = 4):
+class SilverTypeError(RuntimeError):
+    """Some types could not be written as wide tables; the others were committed."""
+
+
+def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = None, parallel_types: int = 4,
+               max_files_per_trigger: int | None = None):
     """C8-C10/ST6/ST8: wide tables per resource type, built inside ``foreachBatch``.
 
     A bundle is one file and so never spans micro-batches: every resource's
@@ -198,70 +235,94 @@ def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = Non
     Per batch and type the key list is the registry's, in the stored column
     order with new keys appended alphabetically (C9).  New keys (C8) widen the
     table: earlier batches never carried them, so reading them back as NULL is
-    exact.  The batch folder is overwritten on replay.
+    exact.  The batch folder is overwritten on replay.  Each type reads its own
+    partition of the batch's files, so nothing is cached.
+
+    A type that fails (keys equal up to case) keeps its rows of the batch in
+    ``silver_failed`` while the other types commit; after the last batch the hop
+    raises ``SilverTypeError`` with every such type.
     """
     from ..operators.keys import existing_columns, new_keys, ordered_key_list
     from ..plans.silver import fixed_columns, silver_table
 
-    stream = read_stream_table(spark, layout, "entries", read_entries(spark, layout).schema)
+    stream = read_stream_table(spark, layout, "entries", read_entries(spark, layout).schema, max_files_per_trigger)
+    failed: dict[str, str] = {}
 
     def one_type(batch: DataFrame, batch_id: int, registry: DataFrame, t: str) -> None:
-        cols = silver_columns(spark, layout, t)
-        existing = existing_columns(spark, t, cols)
+        existing = existing_columns(spark, t, silver_columns(spark, layout, t), skip=fixed_columns(t))
         if drift_log is not None:
-            added = [r[0] for r in new_keys(registry, existing, t, fixed_columns(t)).collect()]
+            added = [r.column_name for r in new_keys(registry.where(F.col("resourceType") == t), existing).collect()]
             if added:
                 drift_log.append((batch_id, t, sorted(added)))
         keys = ordered_key_list(registry, existing, t)
-        wide = with_comments(silver_table(batch, t, keys), silver_comments(t))
-        wide.write.mode("overwrite").parquet(join_path(layout.silver(t), f"batch_id={batch_id:09d}"))
+        folder = f"batch_id={batch_id:09d}"
+        try:
+            wide = with_comments(silver_table(batch, t, keys), silver_comments(t))
+        except KeyCollisionError as e:
+            failed[t] = str(e)
+            batch.where(F.col("resourceType") == t).write.mode("overwrite").parquet(
+                join_path(layout.root, "tables", "silver_failed", t.lower(), folder))
+            return
+        wide.write.mode("overwrite").parquet(join_path(silver_path(spark, layout, t), folder))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            registry = latest_schemas(spark, layout)
-            types = sorted(r[0] for r in batch.select("resourceType").where(F.col("resourceType").isNotNull())
-                           .distinct().collect())  # C6: bounded by the number of resource types
-            # ST10: the per-type writes are independent jobs; run them concurrently
-            with ThreadPoolExecutor(max_workers=max(1, min(parallel_types, len(types) or 1))) as pool:
-                for f in [pool.submit(one_type, batch, batch_id, registry, t) for t in types]:
-                    f.result()
-        finally:
-            batch.unpersist()
+        registry = latest_schemas(spark, layout)
+        types = sorted(r[0] for r in batch.select("resourceType").where(F.col("resourceType").isNotNull())
+                       .distinct().collect())  # C6: bounded by the number of resource types
+        # ST10: the per-type writes are independent jobs; run them concurrently
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel_types, len(types) or 1))) as pool:
+            for f in [pool.submit(one_type, batch, batch_id, registry, t) for t in types]:
+                f.result()
 
     q = refresh(stream, "silver", layout, foreach_batch=write)
     for t in list_dirs(spark, join_path(layout.root, "tables", "silver")):
         write_table_info(spark, join_path(layout.root, "tables", "silver", t),
                          f"Parsed {t} resources, one column per observed key.", {"quality": "silver"})
+    if failed:
+        raise SilverTypeError("; ".join(f"{t}: {why}" for t, why in sorted(failed.items())))
     return q
 
 
 def rebuild_silver(spark: SparkSession, layout: Layout, resource_type: str) -> list[str]:
-    """Drop one wide table and rebuild it from the stored entries (between runs).
+    """Rebuild one wide table with every known key in every row (between runs).
 
-    Columns keep the stored order with new keys appended (C9), so afterwards every
-    row carries every key and no schema merging is needed.  The rebuilt data is
-    written under the newest batch id, so the stream's later batches append after
-    it.  Run it while the silver stream is stopped (as the reference's job does).
+    The rows are rewritten batch by batch into the next version folder, which becomes the
+    table by one rename; readers see the old or the new version, never none.  Rows keep the
+    batch they came with, so a later replay of a batch replaces that batch alone.  The version
+    before stays for readers that have it open, older ones go.
     """
-    from ..operators.keys import existing_columns, ordered_key_list
-    from ..plans.silver import silver_table
-    p = layout.silver(resource_type)
-    done = sorted(d for d in list_dirs(spark, p) if d.startswith("batch_id="))
-    if not done:
+    now = silver_version(spark, layout, resource_type)
+    columns = silver_columns(spark, layout, resource_type)
+    if columns is None:
         return []
-    keys = ordered_key_list(latest_schemas(spark, layout),
-                            existing_columns(spark, resource_type, silver_columns(spark, layout, resource_type)),
-                            resource_type)
-    tmp = p.rstrip("/") + ".rebuild"
+    old = spark.read.option("mergeSchema", True).parquet(silver_path(spark, layout, resource_type))
+    batch = F.lpad(F.col("batch_id").cast("string"), 9, "0").alias("batch_id")
+    rows = with_comments(old.select(*[F.col(f"`{c}`") for c in columns], batch), silver_comments(resource_type))
+    base = layout.silver(resource_type)
+    new, tmp = join_path(base, f"v={now + 1}"), join_path(base, f"_building-{now + 1}")
     delete_path(spark, tmp)
-    wide = with_comments(silver_table(read_entries(spark, layout), resource_type, keys), silver_comments(resource_type))
-    wide.write.parquet(join_path(tmp, done[-1]))
-    delete_path(spark, p)
-    fs_jvm = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    src = fs_jvm(tmp)
-    src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(src, fs_jvm(p))
-    return keys
+    rows.write.partitionBy("batch_id").parquet(tmp)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(tmp).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(path(tmp), path(new)):
+        raise OSError(f"cannot rename {tmp} to {new}")
+    for k in range(now):
+        delete_path(spark, join_path(base, f"v={k}"))
+    return columns[3:]
+
+
+def drop_silver(spark: SparkSession, layout: Layout) -> list[str]:
+    """Drops the wide tables that the registry names, and the hop's checkpoint, so that the
+    next run builds them again from the stored entries; returns the types."""
+    registry = latest_schemas(spark, layout)
+    if registry is None:
+        return []
+    types = sorted(r[0] for r in registry.select("resourceType").distinct().collect())  # one per type
+    for t in types:
+        delete_path(spark, layout.silver(t))
+        delete_path(spark, join_path(layout.root, "tables", "silver_failed", t.lower()))
+    delete_path(spark, layout.checkpoint("silver"))
+    return types
 
 
 def drop_all(spark: SparkSession, layout: Layout) -> None:
@@ -272,29 +333,34 @@ def drop_all(spark: SparkSession, layout: Layout) -> None:
 
 def run(spark: SparkSession, landing: str, root: str, full_refresh: bool = False, id_mode: str = "hash",
         max_files_per_trigger: int | None = None, glob: str = "*.json",
-        drift_log: list | None = None, timings: dict | None = None) -> Layout:
-    """Optional full refresh (ST3) -> bronze -> variant -> meta and entries -> schemas -> silver."""
-    import time
-
-    layout = Layout(root)
+        drift_log: list | None = None, timings: dict | None = None, rebuild_on_drift: bool = True) -> Layout:
+    """Optional full refresh (ST3) -> bronze -> quarantine, variant -> meta and entries ->
+    schemas -> silver; wide tables that met new keys are rebuilt (D8) unless told otherwise."""
+    layout, bound = Layout(root), max_files_per_trigger
 
-    def step(name, fn, *args):
+    def step(name, fn, *args, **kwargs):
         t0 = time.perf_counter()
-        out = fn(*args)
+        out = fn(*args, **kwargs)
         if timings is not None:
             timings[name] = timings.get(name, 0.0) + time.perf_counter() - t0
         return out
 
     if full_refresh:
         step("drop", drop_all, spark, layout)
-    step("bronze", bronze_hop, spark, landing, layout, id_mode, max_files_per_trigger, glob)
+    step("bronze", bronze_hop, spark, landing, layout, id_mode, bound, glob)
     if not path_exists(spark, layout.table("bronze")):
         return layout  # nothing landed yet
-    step("variant", variant_hop, spark, layout)
-    step("meta", meta_hop, spark, layout)
-    step("entries", entries_hop, spark, layout)
+    step("quarantine", quarantine_hop, spark, layout, bound)
+    step("variant", variant_hop, spark, layout, bound)
+    step("meta", meta_hop, spark, layout, bound)
+    step("entries", entries_hop, spark, layout, bound)
     if not list_dirs(spark, layout.table("entries")):
         return layout
-    step("schemas", schemas_hop, spark, layout)
-    step("silver", silver_hop, spark, layout, drift_log)
+    step("schemas", schemas_hop, spark, layout, bound)
+    before = {t: silver_columns(spark, layout, t) for t in list_dirs(spark, join_path(root, "tables", "silver"))}
+    step("silver", silver_hop, spark, layout, drift_log, max_files_per_trigger=bound)
+    if rebuild_on_drift:
+        for t, columns in before.items():
+            if columns is not None and silver_columns(spark, layout, t) != columns:
+                step("rebuild", rebuild_silver, spark, layout, t)
     return layout

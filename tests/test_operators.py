@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from bundleflow.functions.variant import get
 from bundleflow.operators import constraints as C
 from bundleflow.operators.joins import reference_key, url_segment
-from bundleflow.operators.keys import (KeyCollisionError, check_case_collisions, existing_columns, new_keys,
-                                       ordered_key_list, ordered_keys)
+from bundleflow.operators.keys import (KeyCollisionError, check_case_collisions, existing_columns, key_lists, new_keys,
+                                       ordered_key_list)
 from bundleflow.operators.pivot import distinct_values, pivot_data_keys, pivot_fixed
 from bundleflow.plans import bronze, resources
 from bundleflow.plans.silver import silver_table
@@ -40,11 +40,11 @@ def test_bundle_without_entry_gives_no_rows(spark):
 
 def test_key_drift_and_order(spark):
     reg = spark.createDataFrame([("T", "b"), ("T", "a"), ("T", "z"), ("U", "q")], "resourceType string, column_name string")
-    ex = existing_columns(spark, "T", ["t_uuid", "bundle_uuid", "t_url", "z", "a"])
-    assert sorted(r.column_name for r in new_keys(reg, ex, "T", ["t_uuid", "bundle_uuid", "t_url"]).collect()) == ["b"]
-    assert ordered_key_list(reg, ex, "T") == ["z", "a", "b"]  # existing order, then new keys
-    row = ordered_keys(reg, ex, "T").first()
-    assert row.key_list == "z, a, b" and row.n_keys == 3
+    ex = existing_columns(spark, "T", ["t_uuid", "bundle_uuid", "t_url", "z", "a"], skip=["t_uuid", "bundle_uuid", "t_url"])
+    assert [tuple(r) for r in new_keys(reg.select("resourceType", "column_name"), ex).orderBy("resourceType").collect()] == [
+        ("T", "b"), ("U", "q")]
+    assert {r.resourceType: r["keys"] for r in key_lists(reg, ex).collect()} == {"T": ["z", "a", "b"], "U": ["q"]}
+    assert ordered_key_list(reg, ex, "T") == ["z", "a", "b"] and ordered_key_list(reg, ex, "V") == []
 
 
 def test_case_collision_fails():
@@ -58,8 +58,6 @@ def test_pivots(spark):
     assert [(r.g, r.x, r.y, r.w) for r in p] == [(1, 1.0, 2.0, None), (2, 3.0, None, None)]
     assert distinct_values(df, "key") == ["x", "y"]
     assert pivot_data_keys(df, ["g"], "key").columns == ["g", "x", "y"]
-    with pytest.raises(ValueError):
-        distinct_values(df, "key", max_values=1)
 
 
 def test_reference_key_and_segments(spark):
@@ -91,7 +89,16 @@ def test_writeback_nesting(spark):
 
 
 def test_enrichment_requests(spark):
-    from bundleflow.plans.enrich import request_batches, stub_transport
+    from bundleflow.plans.enrich import request_batches
+
+    def stub_transport():
+        """Answers a GET with the resource it names and a POST with its payload."""
+        def call(requests):
+            return [{"status_code": 200, "text": json.dumps({"resourceType": r["resource"], "id": r["id"]}, separators=(",", ":")),
+                     "url": f"stub://fhir/{r['resource']}/{r['id']}"} if r["method"] == "get" else
+                    {"status_code": 201, "text": r["payload"] or "", "url": f"stub://fhir/{r['resource']}"} for r in requests]
+        return call
+
     df = spark.createDataFrame([("1", '{"x":1}')], "id string, body string")
     got = request_batches(df, stub_transport(), "get", "Patient", id_col="id").first()
     assert (got.status_code, got.url) == (200, "stub://fhir/Patient/1") and got.elapsed_seconds >= 0
@@ -111,6 +118,15 @@ def test_copy_files(spark, tmp):
             f.write(n)
     st = copy_files(spark, src, os.path.join(tmp, "dst"), "*.json").collect()
     assert sorted(r.status["status"] for r in st) == ["success", "success"]
+    os.makedirs(os.path.join(src, "a b", "100%25"))
+    for n in ("a b/a.json", "a b/100%25/x y.xml"):
+        with open(os.path.join(src, n), "w") as f:
+            f.write(n)
+    st = copy_files(spark, src, os.path.join(tmp, "all of it"), ["*.json", "*.xml"]).collect()
+    assert all(r.status["status"] == "success" for r in st)
+    found = sorted(os.path.relpath(os.path.join(d, f), os.path.join(tmp, "all of it"))
+                   for d, _, fs in os.walk(os.path.join(tmp, "all of it")) for f in fs)
+    assert found == ["a b/100%25/x y.xml", "a b/a.json", "a.json", "b.json"]  # same names, other folders
     assert sorted(os.listdir(os.path.join(tmp, "dst"))) == ["a.json", "b.json"]
     again = copy_files(spark, src, os.path.join(tmp, "dst"), "*.json").collect()  # overwrite is fine
     assert all(r.status["status"] == "success" for r in again)
@@ -119,8 +135,7 @@ def test_copy_files(spark, tmp):
 def test_describe_codes_large_lookup_path(spark, monkeypatch):
     import bundleflow.operators.joins as J
     from bundleflow.plans.enrich import describe_codes
-    monkeypatch.setattr(J, "BROADCAST_ROW_BOUND", 1)  # force the "not provably small" path
-    monkeypatch.setattr(J.small_side, "__defaults__", (1,))
+    monkeypatch.setattr(J.small_side, "__defaults__", (0,))  # nothing is small
     df = spark.createDataFrame([("a", "b"), ("c", None)], "c1 string, c2 string")
     lk = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "C"), ("z", "Z")], "k string, d string")
     got = {(r.c1, r.c1_desc, r.c2_desc) for r in describe_codes(df, ["c1", "c2"], lk, "k", "d").collect()}
@@ -170,3 +185,44 @@ def test_legacy_silver_shape(spark):
     ent = resources.entries(bronze.variant_bronze(bronze_rows(spark, [text])))
     s = silver_table_legacy(ent, "P", ["a"])
     assert s.columns == ["bundle_uuid", "P_url", "a"] and s.count() == 1
+
+
+def test_file_systems_of_spark_paths():
+    from pyarrow import fs as pafs
+
+    from bundleflow.sinks.files import file_system
+    for path, want in (("file:/a b/c", "/a b/c"), ("file:///a%20b", "/a%20b"), ("/x y:z", "/x y:z"),
+                       ("dbfs:/mnt/a b", "/dbfs/mnt/a b"), ("dbfs:///mnt/a", "/dbfs/mnt/a")):
+        fs, p = file_system(path)
+        assert isinstance(fs, pafs.LocalFileSystem) and p == want
+    asked = []
+    resolve = lambda uri: asked.append(uri) or (None, uri.split("//")[1])
+    assert file_system("s3a://bucket/some key/%41.json", resolve) == (None, "bucket/some key/%41.json")
+    assert file_system("hdfs://host:8020/a b", resolve)[1] == "host:8020/a b" and asked == ["s3://bucket", "hdfs://host:8020"]
+
+
+def test_schema_apply_with_void(spark):
+    from bundleflow.functions.variant import parse
+    from bundleflow.plans.writeback import apply_ddl, infer_ddl, without_void
+    v = spark.createDataFrame([('{"a":[],"b":null,"c":{"VOID":1}}',), ('{"a":[],"c":{"VOID":2}}',)], "t string").select(
+        parse("t").alias("v"))
+    ddl = infer_ddl(v, ["v"])
+    assert "VARIANT" in ddl["v"]
+    for via_json in (False, True):
+        rows = apply_ddl(v, ddl, via_json=via_json).collect()
+        assert sorted(r.v["c"]["VOID"] for r in rows) == [1, 2]
+    assert without_void("STRUCT<VOID: VOID, `a: VOID`: ARRAY<VOID>, x: STRUCT<y: VOID>>") == \
+        "STRUCT<VOID: VARIANT, `a: VOID`: ARRAY<VARIANT>, x: STRUCT<y: VARIANT>>"
+
+
+def test_materialised_hops_follow_their_input(spark, tmp):
+    import os
+
+    import __spark_entry__ as se
+    sf = os.path.join(tmp, "sf")
+    for t in ("orders", "lineitem", "customer", "nation"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").limit(40).write.parquet(f"{sf}/{t}.parquet")
+    count = lambda: {r.resourceType: r.cnt for r in se.queries()["resource_counts"](spark, sf).collect()}["Order"]
+    assert count() == 40
+    spark.read.parquet("/root/testdata/sf0.001/orders.parquet").limit(10).write.mode("overwrite").parquet(f"{sf}/orders.parquet")
+    assert count() == 10

@@ -25,7 +25,13 @@ def test_silver_reads_one_type_and_shuffles_only_duplicates(spark):
 
 
 def test_price_periods_are_broadcast(spark):
-    assert "BroadcastHashJoin" in plan(spark, "range_join_cost")
+    p = plan(spark, "usage_cost")
+    assert "BroadcastHashJoin" in p and "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_reference_join_is_a_projection(spark):
+    p = plan(spark, "reference_join")
+    assert "Exchange" not in p and "Join" not in p and p.count("Scan parquet") == 1
 
 
 def test_topk_is_take_ordered(spark):
