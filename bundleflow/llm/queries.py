@@ -75,6 +75,35 @@ def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def _pass(rows: str, x: str) -> str:
+    """DuckDB SQL of one pass of the network over column ``x`` of ``rows`` (which has a, b)."""
+    out = f"(SELECT *, {x} // b AS l, {x} % b AS r FROM {rows})"
+    for i, k in enumerate(sharding.round_keys(20240607)):
+        side, other, cells = ("l", "r", "a") if i % 2 == 0 else ("r", "l", "b")
+        out = f"(SELECT * REPLACE (({side} + {sharding.mix(other, str(k))}) % {cells} AS {side}) FROM {out})"
+    return f"(SELECT *, l * b + r AS passed FROM {out})"
+
+
+ORACLES["op6_feistel_sharding"] = f"""
+WITH RECURSIVE tab AS (SELECT list(c ORDER BY n) AS t FROM (
+  SELECT n, list_reduce([n::UBIGINT, 1, 2, 3, 4, 5, 6, 7, 8],
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) r(n))),
+bytes AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+  list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::UBIGINT) AS b FROM documents),
+sums AS (SELECT doc_id, size, xor(4294967295, list_reduce([4294967295::UBIGINT] || b,
+  lambda c, x: xor(c >> 8, t[((xor(c, x) & 255) + 1)::BIGINT])))::BIGINT AS crc FROM bytes, tab),
+numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, crc, size) - 1 AS n FROM sums),
+grid AS (SELECT count(*) AS cnt, greatest(1, ceil(sqrt(count(*))))::BIGINT AS a,
+                ceil(count(*) / greatest(1, ceil(sqrt(count(*)))))::BIGINT AS b FROM documents),
+walk AS (
+  SELECT n, cnt, a, b, passed AS p FROM {_pass("(SELECT n, cnt, a, b FROM numbered, grid)", "n")}
+  UNION ALL
+  SELECT n, cnt, a, b, passed AS p FROM {_pass("(SELECT * FROM walk WHERE p >= cnt)", "p")})
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, (p % 8)::INT AS shard, p // 8 AS slot, NULL::INT AS grown_shard
+FROM numbered JOIN (SELECT n, p FROM walk WHERE p < cnt) USING (n)
+"""
+
+
 @query
 def op7_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.preference_pairs(chat.reply_pairs(table(spark, sf_dir, "conversations")), "conv_id")
