@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.variant import as_array, get, to_variant
 from ..operators.pivot import pivot_fixed
 
+# The keys of the Meta object and the shape of a bundle's meta.
 META_KEYS = ["Destinations", "Transmission", "DataModel", "EventType", "Logs"]
 BUNDLE_META_STRUCT = "struct<lastUpdated: string, profile: array<string>, versionId: string>"
 

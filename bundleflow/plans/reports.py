@@ -72,14 +72,21 @@ def usage_cost(usage: DataFrame, prices: DataFrame, keys: list[str], workspace_c
             .agg(F.sum(F.col(qty_col) * F.col("list_price")).cast("double").alias("list_cost")))
 
 
-def search_response(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+# Fixed values of the synthetic reports (the oracle SQL repeats them).
+REPORT_ISSUED, REPORT_CREATED = "2024-01-01T00:00:00Z", "2024-01-02"
+
+
+def search_response(docs: DataFrame, id_col: str, text_col: str, code_col: str, version_col: str) -> DataFrame:
     """A search response per document carrying its text base64-encoded in ``presentedForm``."""
     body = F.to_json(F.struct(
         F.lit("Bundle").alias("resourceType"), F.lit("searchset").alias("type"),
         F.array(F.struct(F.struct(
             F.lit("DiagnosticReport").alias("resourceType"), F.col(id_col).cast("string").alias("id"),
-            F.lit("final").alias("status"),
-            F.array(F.struct(F.lit("text/plain").alias("contentType"),
+            F.lit("final").alias("status"), F.lit(REPORT_ISSUED).alias("issued"),
+            F.struct(F.coalesce(version_col, F.lit("und")).alias("versionId")).alias("meta"),
+            F.struct(F.array(F.struct(F.col(code_col).alias("code"))).alias("coding")).alias("code"),
+            F.struct(F.concat(F.lit("Encounter/"), F.col(id_col).cast("string")).alias("reference")).alias("encounter"),
+            F.array(F.struct(F.lit("text/plain").alias("contentType"), F.lit(REPORT_CREATED).alias("creation"),
                              F.base64(F.encode(F.col(text_col), "UTF-8")).alias("data"))).alias("presentedForm"),
         ).alias("resource"))).alias("entry"),
     ))
@@ -90,10 +97,13 @@ def decode_reports(responses: DataFrame, response_col: str = "response") -> Data
     """C24 (V1, V17, V24): parse, explode entries, explode presentedForm, decode base64."""
     v = responses.select(parse(response_col).alias("r"))
     e = v.select(F.explode(as_array(get("r", "$.entry"))).alias("entry"))
-    r = e.select(get("entry", "$.resource.id", "string").alias("report_id"),
+    fields = {"report_id": "id", "status": "status", "issued": "issued", "version_id": "meta.versionId",
+              "code": "code.coding[0].code", "encounter": "encounter.reference"}
+    r = e.select(*[get("entry", f"$.resource.{path}", "string").alias(name) for name, path in fields.items()],
                  F.explode(as_array(get("entry", "$.resource.presentedForm"))).alias("form"))
     return r.select(
-        "report_id",
+        *fields,
         get("form", "$.contentType", "string").alias("content_type"),
+        get("form", "$.creation", "string").alias("creation"),
         decode_base64_text(get("form", "$.data", "string")).alias("text"),
     )

@@ -74,6 +74,22 @@ def test_constraints(spark):
     assert rep == {"not_null:v": 1, "primary_key:k": 1, "foreign_key:k": 1}
 
 
+def test_emitted_responses_and_typed_paths(spark, tmp):
+    import os
+
+    import pytest
+
+    from bundleflow.plans.writeback import Mapping, bundle_of, emit, nest
+    df = spark.createDataFrame([("7", "x"), ("8", None)], "id string, v string")
+    res = nest([Mapping("id", "ClaimResponse.id"), Mapping("v", "ClaimResponse.type.coding.code"), Mapping(None, "use", "claim")])
+    assert emit(df.select("id", F.to_json(bundle_of(res)).alias("j")), "id", "j", os.path.join(tmp, "out dir")) == 2
+    with open(os.path.join(tmp, "out dir", "7.json")) as f:
+        assert json.load(f)["entry"][0]["resource"] == {
+            "resourceType": "ClaimResponse", "id": "7", "type": {"coding": [{"code": "x"}]}, "use": "claim"}
+    with pytest.raises(ValueError):
+        nest([Mapping("id", "Claim.id"), Mapping("id", "Patient.id")])
+
+
 def test_writeback_nesting(spark):
     from bundleflow.plans.writeback import Mapping, bundle_of, nest
     df = spark.createDataFrame([("7", 12.5)], "id string, amount double")
