@@ -73,10 +73,11 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bounds what one Arrow batch holds, as documents may be long."""
+    """Bounds what one batch of the reader and one Arrow batch hold, as documents may be long."""
     from ..session import configure
     configure(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "256")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     return spark
 
 

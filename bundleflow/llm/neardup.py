@@ -44,22 +44,24 @@ from .components import components
 SHINGLE = 5
 WORD_CACHE = 400_000
 BLOCK = 1024
-BEST = 4
+BEST = 3
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Setting:
-    """Similarity in percent, and how signatures are cut into bands."""
+    """Similarity in percent, how signatures are cut into bands, and how many further minima
+    only the signature test reads (the more, the fewer pairs go on to their full sets)."""
 
     percent: int = 85
     bands: int = 32
     rows: int = 6
+    extra: int = 128
 
     @property
     def hashes(self) -> int:
-        return self.bands * self.rows
+        return self.bands * self.rows + self.extra
 
     @property
     def agreeing(self) -> int:
@@ -263,7 +265,8 @@ def straggler_pairs(rows: DataFrame, setting: Setting, best: int | None) -> Data
             if best is not None:
                 ok = ok[np.lexsort((node[open_[ok]], -count[ok]))[:best]]
             elif len(ok):
-                shared = same[ok].reshape(len(ok), setting.bands, setting.rows).all(axis=2)
+                shared = same[ok, :setting.bands * setting.rows].reshape(
+                    len(ok), setting.bands, setting.rows).all(axis=2)
                 ok = ok[shared.argmax(axis=1) == group["band"][s]]
             a.append(np.full(len(ok), node[s]))
             b.append(node[open_[ok]])
