@@ -83,7 +83,7 @@ def leaking_texts(docs: DataFrame, items: DataFrame, text_col: str = "text",
         items.select(F.col(item_text).alias("text"), F.col(item_col).alias("item_id"))
         .groupBy("text").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
         .filter(F.size(words("text")) >= MIN_ITEM)
-        .select(F.xxhash64("text").alias("item"), "ids", "text"), "items")
+        .select(F.xxhash64("text").alias("item"), "ids", "text", words("text").alias("iw")), "items")
     index = scratch.write(seeds(hashed(tests, ["item"]), ["item"])
                           .select("seed", "item", F.col("at").alias("item_at")).distinct(), "index")
     texts = docs.select(F.col(text_col).alias("text"))
@@ -92,14 +92,13 @@ def leaking_texts(docs: DataFrame, items: DataFrame, text_col: str = "text",
         found.join(broadcast_if_small(index, SEED_BYTES, 32 << 20), "seed")
         .select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
     keys = broadcast_if_small(scratch.write(hits.select("key").distinct(), "keys"), 16)
+    # words are stored as arrays: an alignment reads them by position, it never splits a text
     hit_texts = scratch.write(
         texts.select(text_key("text").alias("key"), "text").join(keys, "key", "left_semi")
-        .groupBy("key").agg(F.first("text").alias("text")), "texts")
-    pairs = (hits.join(hit_texts, "key")
-             .join(tests.select("item", "ids", F.col("text").alias("item text")), "item")
-             .select("key", "ids", "shift", words("text").alias("dw"), words("item text").alias("iw"))
-             .select("key", "ids", aligned().alias("m"))
-             .filter(holds_window()))
+        .groupBy("key").agg(F.first("text").alias("text")).select("key", words("text").alias("dw")), "texts")
+    pairs = scratch.write(
+        hits.join(hit_texts, "key").join(tests.select("item", "ids", "iw"), "item")
+        .select("key", "ids", aligned().alias("m")), "aligned").filter(holds_window())
     return scratch.write(
         pairs.select("key", F.explode("ids").alias("item_id"),
                      F.expr("aggregate(m, 0, (s, x) -> s + x)").alias("matched"))
