@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from .common import CHUNK_CHARS, map_arrow, strings, text_groups
 
 LONG_PIECE = 1024
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 NONE = np.int32(2**31 - 1)
 MATRIX_CELLS = 1 << 20
 # Fixed value: odd multiplier of the multiplicative hash (2^32 over the golden ratio).

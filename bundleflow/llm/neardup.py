@@ -42,7 +42,7 @@ from .common import Scratch, broadcast_if_small, map_arrow
 from .components import components
 
 SHINGLE = 5
-WORD_CACHE = 400_000
+WORD_CACHE = 150_000
 BLOCK = 1024
 BEST = 3
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

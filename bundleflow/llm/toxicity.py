@@ -39,7 +39,7 @@ STEM_LENGTHS = range(4, 9)
 STEM_WORDS = 3
 MAX_ENTRIES = 2_000
 WINDOW = 8
-TOKEN_CACHE = 300_000
+TOKEN_CACHE = 200_000
 STATES = 100_000
 MAX_TOKEN = 64
 PUNCTUATION = " \t.,;:!?\"'()[]{}<>|*#$%&-_=+~`/\\“”«»„‚‘’…"
