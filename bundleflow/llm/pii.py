@@ -1,16 +1,20 @@
 """Personal data: fixed patterns plus bootstrapped contextual extraction (operator 4).
 
 The base kinds (email, ip, card, phone) are found by their fixed patterns.  They also seed the
-bootstrapping: wherever a label stands before a value (``tel: ...``, ``member no = ...``) the
-label, alone and with the word before it, is a lexical pattern and the value its instance.
-Spark scores the bipartite graph of patterns and distinct instances in rounds: a pattern's
-confidence is the mean score of everything it extracts, values that cannot be identifiers
-counting as zero; an instance's score combines the confidences of its patterns (noisy or);
-seeds keep score one.  Identifier-shaped instances that reach ``ACCEPT`` through patterns with
-at least ``MIN_SUPPORT`` seeds or instances accepted before are new spans of kind ``id``.
-
-The graph is narrow (labels and values only) and is aggregated before every shuffle; documents
-are named by a hash and the length of their text, as spans follow from the text alone.
+bootstrapping: the words and punctuation left and right of a seed, at several widths, are its
+lexical patterns, and every value of an identifier's shape (a digit or ``@``, ``MIN_LENGTH`` to
+``MAX_LENGTH`` characters, groups apart by one space as one value) is an instance of the patterns
+around it.  Spark scores the bipartite graph of patterns and distinct instances in rounds, until
+no further instance is accepted: a pattern's confidence is the mean score of everything it
+extracts, words that cannot be identifiers counting as zero; an instance's score combines the
+confidences of its patterns (noisy or); seeds keep score one.  Instances that reach ``ACCEPT``
+through patterns with at least ``MIN_SUPPORT`` seeds or instances accepted before are new spans
+of kind ``id``.
+
+The graph holds identifier-shaped values only.  The other words are counted in a second pass over
+the texts, for patterns that can reach ``MIN_SUPPORT``; a pattern with more than twice as many of
+them as instances cannot reach ``MIN_CONFIDENCE`` and is counted no further.  Documents are named by a hash
+and the length of their text, as spans follow from the text alone.
 
 Defined results: null and empty texts have no spans; offsets are code points, ends exclusive;
 method spans never overlap base spans; repeated rows keep their rows; ``redact`` keeps all
@@ -19,7 +23,10 @@ columns and replaces each span (overlapping ones as one) by its kind in brackets
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,10 +36,14 @@ from .common import Scratch, broadcast_if_small, map_arrow, strings
 
 KINDS = ("email", "ip", "card", "phone")
 METHOD_KIND = "id"
-ROUNDS = 3
 ACCEPT = 0.9
+MIN_CONFIDENCE = 0.5
 MIN_SUPPORT = 5
 MIN_LENGTH = 6
+MAX_LENGTH = 200
+WIDTH = 3
+# Patterns that one pass over the texts looks for.
+PASS_PATTERNS = 200_000
 
 # The base patterns.  Each starts only where a match can start, which finds the
 # same leftmost matches and stays linear on long runs.
@@ -42,11 +53,19 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
-# A label, its mark, and the value behind it.
-_LABEL = re.compile(r"(?<![A-Za-z_.-])([A-Za-z][A-Za-z_.-]{0,39})\x20?([:=#])\x20?[\"']?"
-                    r"([^\x20\x09-\x0D\"']{1,200})")
-_MARK = re.compile("[:=#]")
-_BEFORE = re.compile(r"([A-Za-z]{1,24})[\x20\t]+\Z")
+# Scripts without spaces between words: each character is a word of its own.
+_CJK = "\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af"
+_CORE = re.compile(rf"[^\W{_CJK}]+(?:[-./@+][^\W{_CJK}]+)*")
+# One value: groups that hold a digit may follow each other, a short group of capitals before or between.
+_IDENT = re.compile(rf"(?:\b[A-Z]{{1,4}}\x20(?=[0-9]))?{_CORE.pattern}"
+                    rf"(?:(?<=[0-9])\x20[A-Z]{{0,4}}[0-9][0-9A-Z-]*(?![^\W{_CJK}])|(?<=[0-9])\x20[A-Z]{{1,4}}\x20(?=[0-9]))*")
+_SHAPED = re.compile(r"[\d@]")
+_WORD = re.compile(rf"[{_CJK}]|[^\W{_CJK}]+")
+_TOKEN = re.compile(rf"[{_CJK}]|[^\W{_CJK}]+|[^\w\x20\t\"']")
+_DIGITS = re.compile(r"\d+")
+_BLANK = re.compile(r"[\x20\t\"']*")
+# Characters left and right of a value that its patterns may come from.
+_WINDOW = 120
 
 Span = tuple[int, str, int]
 
@@ -96,32 +115,154 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def labelled_values(text: str, base: list[Span]) -> list[tuple[str, str, int, int, int]]:
-    """(pattern, value, start, end, role) of every labelled value; role 2: a seed, 1: a value of
-    an identifier's shape, 0: any other."""
-    if not _MARK.search(text):
-        return []
-    out = []
-    starts = {s for s, _, _ in base}
-    at = 0
-    while m := _LABEL.search(text, at):
-        begin, value = m.start(3), m.group(3).rstrip(".,;:)]}>!?")
-        end = begin + len(value)
-        if begin in starts:
-            role = 2
-        elif any(s < end and begin < e for s, _, e in base):
-            role = 0
+def _side(tokens: list[str], width: int) -> list[str]:
+    """Contexts of 1 to ``width`` words, from the value outwards, punctuation between kept."""
+    out, words = [], 0
+    for i, t in enumerate(tokens):
+        if t[0].isalnum() or t[0] == "_":
+            words += 1
+            out.append(" ".join(tokens[:i + 1]))
+            if words == width:
+                break
+    return out
+
+
+def _tokens(part: str) -> list[str]:
+    return _TOKEN.findall(_DIGITS.sub("0", part.lower()))
+
+
+def patterns_at(text: str, start: int, end: int) -> list[str]:
+    """The patterns around a value: left and right contexts, both at once, or the marks it stands
+    between.  A context is written from the value outwards."""
+    before, after = _tokens(text[max(0, start - _WINDOW):start])[::-1], _tokens(text[end:end + _WINDOW])
+    left, right = _side(before, WIDTH), _side(after, WIDTH)
+    out = [f"< {c}" for c in left] + [f"> {c}" for c in right]
+    if left and right:
+        out.append(f"< {left[0]} > {right[0]}")
+    marks = [(side[0] if side else "") for side in (before, after)]
+    if not any(m[:1].isalnum() or m[:1] == "_" for m in marks):
+        out.append(f"= {marks[0]} {marks[1]}")
+    return out
+
+
+def _covered(base: list[Span]):
+    """A function that says whether a range meets a base span."""
+    starts, ends = [], []
+    for s, _, e in sorted(base):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
         else:
-            role = int(len(value) >= MIN_LENGTH and (_DIGIT.search(value) is not None or "@" in value))
-        if value:
-            label = m.group(1).lower() + m.group(2)
-            out.append((label, value, begin, end, role))
-            if before := _BEFORE.search(text, max(0, m.start() - 26), m.start()):
-                out.append((f"{before.group(1).lower()} {label}", value, begin, end, role))
-        at = m.end(2)  # a value can be the label of the next one
+            starts.append(s)
+            ends.append(e)
+
+    def meets(start: int, end: int) -> bool:
+        k = bisect_right(starts, end - 1) - 1
+        return k >= 0 and ends[k] > start
+    return meets
+
+
+def _shaped(value: str) -> bool:
+    return MIN_LENGTH <= len(value) <= MAX_LENGTH and _SHAPED.search(value) is not None
+
+
+def identifiers(text: str, base: list[Span]) -> list[tuple[int, int]]:
+    """Ranges of the values of an identifier's shape that meet no base span."""
+    if not _SHAPED.search(text):
+        return []
+    meets, out = _covered(base), []
+    for m in _IDENT.finditer(text):
+        parts = [m.span()]
+        if meets(*m.span()) or m.end() - m.start() > MAX_LENGTH:
+            parts = [c.span() for c in _CORE.finditer(text, *m.span()) if not meets(*c.span())]
+        out += [(s, e) for s, e in parts if _shaped(text[s:e])]
     return out
 
 
+def labelled_values(text: str, base: list[Span]) -> list[tuple[str, str, int, int, int]]:
+    """(pattern, value, start, end, role) of every seed (role 2) and every value of an identifier's
+    shape (role 1), once for each pattern around it."""
+    found = [(s, e, 2) for s, _, e in base] + [(s, e, 1) for s, e in identifiers(text, base)]
+    return [(p, text[s:e], s, e, role) for s, e, role in found for p in patterns_at(text, s, e)]
+
+
+def _anchor(pattern: str) -> tuple[str, str]:
+    """('<' or '>', nearest word) of a pattern, by which texts are searched; '=' has none."""
+    if pattern[0] == "=":
+        return "=", ""
+    word = next(t for t in pattern[2:].split(" ") if t[0].isalnum() or t[0] == "_")
+    return pattern[0], word
+
+
+class Others:
+    """Finds the words without an identifier's shape that patterns extract, each (pattern, word)
+    once, up to the number of words (``limits``) that rules a pattern out."""
+
+    def __init__(self, limits: dict[str, int]):
+        self.left = dict(limits)
+        self.seen: dict[str, set[str]] = {p: set() for p in limits}
+        self.anchors = Counter(_anchor(p) for p in limits)
+        self.quick: re.Pattern | None = None
+
+    def add(self, pattern: str, word: str) -> bool:
+        seen = self.seen.get(pattern)
+        if seen is None or word in seen:
+            return False
+        seen.add(word)
+        if len(seen) > self.left[pattern]:
+            del self.seen[pattern]
+            self.anchors[_anchor(pattern)] -= 1
+            if not self.anchors[_anchor(pattern)]:
+                del self.anchors[_anchor(pattern)]
+                self.quick = None
+        return True
+
+    def _quick(self) -> re.Pattern:
+        """Matches every text in lower case that can hold an anchor."""
+        words = {w for _, w in self.anchors}
+        # sigma depends on its place: such anchors match anywhere
+        if len(words) > 100 or any(c in w for w in words for c in "σς"):
+            return re.compile("")
+        some = [_DIGITS.sub(r"\\d+", re.escape(w)) for w in sorted(words) if w]
+        for p in self.seen:
+            if p[0] == "=":
+                before, after = p[2:].split(" ")
+                some.append((re.escape(before) if before else rf"(?:\A|{_BLANK.pattern[:-1]}{{{_WINDOW}}})")
+                            + f"{_BLANK.pattern}(?:{_WORD.pattern}){_BLANK.pattern}"
+                            + (re.escape(after) if after else rf"(?:\Z|{_BLANK.pattern[:-1]}{{{_WINDOW}}})"))
+        return re.compile("|".join(some))
+
+    def find(self, text: str, base: list[Span]) -> list[tuple[str, str]]:
+        if not self.seen:
+            return []
+        if self.quick is None:
+            self.quick = self._quick()
+        if not self.quick.search(text.lower()):
+            return []
+        out, meets = [], None
+        spans, words = [], []
+        for m in _WORD.finditer(text):
+            spans.append(m.span())
+            word = m.group().lower()
+            words.append(word if word.isalpha() else _DIGITS.sub("0", word))
+        n = len(words)
+        left = {w for side, w in self.anchors if side == "<"}
+        right = {w for side, w in self.anchors if side == ">"}
+        between = ("=", "") in self.anchors
+        for i in range(n):
+            if (i and words[i - 1] in left) or (i + 1 < n and words[i + 1] in right) or (
+                    between and (not i or not _BLANK.fullmatch(text, spans[i - 1][1], spans[i][0]))
+                    and (i + 1 == n or not _BLANK.fullmatch(text, spans[i][1], spans[i + 1][0]))):
+                if meets is None:
+                    taken = [(s, "", e) for s, e in identifiers(text, base)]
+                    meets = _covered([*base, *taken])
+                start, end = spans[i]
+                if not meets(start, end):
+                    for p in patterns_at(text, start, end):
+                        if self.add(p, words[i]):
+                            out.append((p, words[i]))
+        return out
+
+
 def text_key(text: str) -> Column:
     return F.struct(F.xxhash64(text).alias("hash"), F.octet_length(text).alias("bytes"))
 
@@ -131,7 +272,7 @@ _VALUE = "struct<pattern:string,value:string,start:int,end:int,role:int>"
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, base, labelled) of every row: base spans and labelled values."""
+    """(id, key, base, labelled) of every row: base spans and the values with their patterns."""
     kind = docs.schema[id_col].dataType.simpleString()
     span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
     value = pa.list_(pa.struct([("pattern", pa.string()), ("value", pa.string()), ("start", pa.int32()),
@@ -156,12 +297,40 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                  f"labelled array<{_VALUE}>")
 
 
-def score_instances(edges: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
+def count_others(texts: DataFrame, viable: DataFrame, scratch: Scratch) -> DataFrame:
+    """(pattern, others): how many distinct words without an identifier's shape each of the
+    ``viable`` (pattern, instances) extracts; ``texts`` holds one column."""
+    n = math.ceil(viable.count() / PASS_PATTERNS)
+    parts = viable.withColumn("part", F.expr(f"pmod(xxhash64(pattern), {max(n, 1)})"))
+    column = texts.columns[0]
+    texts = texts.filter(F.length(column) > 0)
+    found = None
+    for k in range(n):
+        share = parts.filter(F.col("part") == k).select("pattern", "instances").collect()
+        limits = texts.sparkSession.sparkContext.broadcast({r.pattern: 2 * r.instances for r in share})
+
+        def make(limits=limits):
+            others = Others(limits.value)
+
+            def fn(b: pa.RecordBatch) -> pa.RecordBatch:
+                rows = [r for t in strings(b.column(0)) for r in others.find(t, base_spans(t))]
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["pattern", "word"])
+            return fn
+
+        some = scratch.write(map_arrow(texts, make, "pattern string, word string").distinct(), f"others-{k}")
+        found = some if found is None else found.unionByName(some)
+    if found is None:
+        return viable.select("pattern", F.lit(0).cast("long").alias("others"))
+    return scratch.write(found.groupBy("pattern").agg(F.count(F.lit(1)).alias("others")), "others")
+
+
+def score_instances(edges: DataFrame, others: DataFrame, scratch: Scratch,
                     support: int = MIN_SUPPORT, accept: float = ACCEPT) -> DataFrame:
     """(value, score) of the identifier-shaped instances that reach ``accept``; ``edges`` are
-    distinct (pattern, value, role)."""
-    scores = None
-    for k in range(rounds):
+    distinct (pattern, value, role), ``others`` the counts of further words by pattern."""
+    scores, accepted, k = None, 0, 0
+    while True:
         known = edges
         if scores is None:
             known = known.withColumn("score", (F.col("role") == 2).cast("double"))
@@ -171,23 +340,32 @@ def score_instances(edges: DataFrame, scratch: Scratch, rounds: int = ROUNDS,
         # a pattern's own new instances must not lower it: shaped values without a score count half
         worth = F.when((F.col("role") == 1) & (F.col("score") == 0), 0.5).otherwise(1.0)
         patterns = (known.groupBy("pattern").agg(
-            (F.sum("score") / F.sum(worth)).alias("confidence"),
+            F.sum("score").alias("good"), F.sum(worth).alias("worth"),
             F.sum((F.col("score") >= accept).cast("long")).alias("support"))
-            .filter((F.col("support") >= support) & (F.col("confidence") >= 0.5)))
+            .filter(F.col("support") >= support).join(others, "pattern", "left")
+            .withColumn("confidence", F.col("good") / (F.col("worth") + F.coalesce("others", F.lit(0))))
+            .filter(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "confidence"))
         found = (edges.filter("role = 1").join(patterns, "pattern").groupBy("value").agg(
             (F.lit(1.0) - F.exp(F.sum(F.log(F.greatest(F.lit(1.0) - F.col("confidence"), F.lit(1e-9))))))
             .alias("score")))
         scores = scratch.write(found, f"scores-{k}")
-    return scores.filter(F.col("score") >= accept)
+        now = scores.filter(F.col("score") >= accept).count()
+        if now <= accepted:
+            return scores.filter(F.col("score") >= accept)
+        accepted, k = now, k + 1
 
 
-def contextual_spans(scanned: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, more) with the spans that the method adds, for texts that get any."""
+def contextual_spans(scanned: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, more) with the spans that the method adds, for texts that get any; ``texts`` are the
+    texts that were scanned."""
     values = scanned.filter(F.size("labelled") > 0).select("key", F.explode("labelled").alias("v"))
     values = scratch.write(values.select("key", "v.*").distinct(), "values")
     edges = scratch.write(values.groupBy("pattern", "value").agg(F.max("role").alias("role")), "edges")
-    accepted = score_instances(edges, scratch)
-    spans = values.filter("role = 1").join(accepted, "value").select(
+    viable = scratch.write(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
+                           .filter(F.col("instances") >= MIN_SUPPORT), "viable")
+    edges = edges.join(broadcast_if_small(viable.select("pattern"), 100), "pattern", "left_semi")
+    accepted = score_instances(edges, count_others(texts, viable, scratch), scratch)
+    spans = values.filter("role = 1").select("key", "value", "start", "end").distinct().join(accepted, "value").select(
         "key", F.struct("start", F.lit(METHOD_KIND).alias("kind"), "end").alias("span"))
     return scratch.write(spans.groupBy("key").agg(F.sort_array(F.collect_set("span")).alias("more")), "more")
 
@@ -196,7 +374,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """(id, base, more): arrays of (start, kind, end) of every row."""
     scratch = Scratch(docs.sparkSession, "pii")
     scanned = scratch.write(scan(docs, id_col, text_col), "scanned")
-    more = broadcast_if_small(contextual_spans(scanned, scratch), 200)
+    more = broadcast_if_small(contextual_spans(scanned, docs.select(text_col), scratch), 200)
     return scanned.join(more, "key", "left").select(
         F.col("id").alias(id_col), "base",
         F.coalesce("more", F.expr(f"cast(array() as array<{_SPAN}>)")).alias("more"))
@@ -235,7 +413,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     """``docs`` with every span of every text replaced; ``length_col``, if there, follows."""
     scratch = Scratch(docs.sparkSession, "pii")
     scanned = scratch.write(scan(docs.select(F.lit(0).alias("row"), text_col), "row", text_col), "scanned")
-    more = contextual_spans(scanned, scratch).select(
+    more = contextual_spans(scanned, docs.select(text_col), scratch).select(
         F.col("key.hash").alias("more hash"), F.col("key.bytes").alias("more bytes"), "more")
     few = broadcast_if_small(more.withColumnRenamed("more", "more spans"), 200)
     joined = docs.join(few, (F.xxhash64(docs[text_col]) == few["more hash"])

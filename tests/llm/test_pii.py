@@ -87,3 +87,30 @@ def test_redact(llm, odd_docs, no_docs):
 def test_mask_overlaps():
     assert pii.mask("abcdefgh", [(0, "x", 3), (2, "y", 5), (6, "z", 7)]) == "[X]f[Z]h"
     assert pii.mask("abc", [(0, "x", 3)]) == "[X]"
+
+
+def found_values(docs):
+    text = {r.doc_id: r.text for r in docs.collect()}
+    return {r.doc_id: [text[r.doc_id][s["start"]:s["end"]] for s in r.more] for r in pii.find(docs).collect()}
+
+
+def test_patterns_from_prose_cells_and_other_scripts(llm):
+    """Contexts without a label and mark, read from the seeds; values are whole."""
+    rows = [(k, f"you can call me on user{k}@mail.example.com after lunch") for k in range(12)]
+    rows += [(20, "you can call me on AB-123456 after lunch"), (21, "you can call me on AB 12 34 56 after lunch")]
+    rows += [(100 + k, f"| name | 10.0.{k}.1 | paid") for k in range(12)] + [(120, "| name | QX/778899 | paid")]
+    rows += [(200 + k, f"会员号：user{k}@mail.example.org") for k in range(12)] + [(220, "会员号：ZZ-445566")]
+    rows += [(300, "the year 2024-25 was long"), (301, "you can walk on paths-2024 there")]
+    rows += [(400 + k, f"they walk on {'abcdefghijklmnopqrstuvwxyz'[k]}oads again") for k in range(26)]
+    found = found_values(llm.createDataFrame(rows, "doc_id long, text string"))
+    assert found[20] == ["AB-123456"] and found[21] == ["AB 12 34 56"]
+    assert found[120] == ["QX/778899"] and found[220] == ["ZZ-445566"]
+    assert found[0] == found[100] == found[200] == found[300] == found[301] == []
+
+
+def test_words_rule_out_a_pattern(llm):
+    """A context that mostly holds plain words teaches nothing, however many seeds it holds."""
+    rows = [(k, f"we saw user{k}@mail.example.com there") for k in range(8)]
+    rows += [(100 + k, f"we saw {'abcdefghijklmnopqrstuvwxyz'[k]}ord there") for k in range(26)]
+    rows += [(200, "we saw AB-123456 there")]
+    assert found_values(llm.createDataFrame(rows, "doc_id long, text string"))[200] == []
