@@ -34,15 +34,3 @@ def fixture_text():
         pytest.skip("sample bundle not present")
     with open(found[0], encoding="utf-8") as f:
         return f.read()
-
-
-def bronze_rows(spark, texts: list[str]):
-    """Bronze-shaped rows from inline JSON texts (file metadata synthesised per row)."""
-    from pyspark.sql import functions as F
-
-    from bundleflow.plans import bronze
-    from bundleflow.plans.synth import file_metadata
-    df = spark.createDataFrame([(f"b{i}", t) for i, t in enumerate(texts)], "bundle_id string, value string")
-    df = df.select("bundle_id", file_metadata(F.concat(F.lit("mem/"), "bundle_id"), F.col("bundle_id"),
-                                              F.col("value"), F.current_timestamp()).alias("file_metadata"), "value")
-    return bronze.bronze_from_text(df, "hash", F.col("bundle_id"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bundleflow.functions.variant import get
 from bundleflow.plans import bronze, bundles, resources
-from conftest import bronze_rows
+from bundle_rows import bronze_rows
 
 
 @pytest.fixture(scope="module")

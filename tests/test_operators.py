@@ -11,7 +11,7 @@ from bundleflow.operators.keys import (KeyCollisionError, check_case_collisions,
 from bundleflow.operators.pivot import distinct_values, pivot_data_keys, pivot_fixed
 from bundleflow.plans import bronze, resources
 from bundleflow.plans.silver import silver_table
-from conftest import bronze_rows
+from bundle_rows import bronze_rows
 
 
 def _bundle(entries):
