@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,6 +17,8 @@ from ..sinks.store import delete_path
 BROADCAST_BYTES = 8 << 20
 # Characters of text that one numpy pass holds at a time.
 CHUNK_CHARS = 1 << 20
+# Bytes of text whose words are held at a time.
+STRETCH = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,3 +99,43 @@ def text_groups(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[in
 def strings(col: pa.Array) -> list[str]:
     """Python strings of a string column, null as empty."""
     return [t or "" for t in col.to_pylist()]
+
+
+def number_in_order(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` (narrow rows) with its place 0, 1, 2, ... in ``order`` as ``n``.
+
+    One range sort, position as last key so that equal rows spread over tasks, and an offset
+    per partition of it; only one row a partition reaches the driver.
+    """
+    spark, names = df.sparkSession, df.columns
+    placed = df.withColumn("sort position", F.monotonically_increasing_id())
+    placed = placed.orderBy(*order, "sort position").checkpoint().select(
+        *names, F.spark_partition_id().alias("sort part"), F.monotonically_increasing_id().alias("sort at"))
+    parts = placed.groupBy("sort part").agg(F.count("*").alias("rows"), F.min("sort at").alias("low")).collect()
+    shift, total = [], 0
+    for part, rows, low in sorted(map(tuple, parts)):
+        shift.append((part, total - low))
+        total += rows
+    offsets = spark.createDataFrame(shift, "`sort part` int, `sort shift` long")
+    return placed.join(F.broadcast(offsets), "sort part").select(
+        *names, (F.col("sort at") + F.col("sort shift")).alias("n"))
+
+
+_KEPT = re.compile(rb"[0-9a-z\x80-\xff]")
+# Lower-cases A-Z, keeps digits and everything beyond ASCII, blanks the rest.
+WORD_TABLE = bytes(b if _KEPT.match(bytes([b])) else 32 for b in bytes(range(256)).lower())
+
+
+def word_stretches(text: str, size: int | None = None) -> Iterator[list[bytes]]:
+    """The words of a text (runs of letters, digits and all beyond ASCII, A-Z lower-cased), in
+    lists from about ``size`` bytes each; no word is cut."""
+    size, raw, at = size or STRETCH, text.encode("utf-8").translate(WORD_TABLE), 0
+    while len(raw) - at > size:
+        end = raw.rfind(b" ", at + 1, at + size)
+        if end < 0:
+            end = raw.find(b" ", at + size)
+            if end < 0:
+                break
+        yield raw[at:end].split()
+        at = end
+    yield raw[at:].split()

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, neardup, pii, quality_rules, sharding, toxicity, url_rules
+from . import (bpe, chat, decontaminate, importance, langid, neardup, pii, quality_rules, ranked_search, sharding,
+               token_counts, toxicity, url_rules)
 from .common import Scratch, holdout, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +175,69 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages")).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# Words as operators 11 and 13 take them, and crc32 of a text's bytes.
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+ORACLES["op11_importance_resampling"] = f"""
+WITH tab AS (SELECT list(c ORDER BY n) AS t FROM (
+  SELECT n, list_reduce([n::UBIGINT, 1, 2, 3, 4, 5, 6, 7, 8],
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) r(n))),
+d AS (SELECT row_number() OVER () AS n, doc_id, {_WORDS} AS ws FROM documents),
+dw AS (SELECT n, unnest(ws) AS w FROM d),
+bw AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
+v AS (SELECT w, (xor(4294967295, list_reduce([4294967295::UBIGINT] || list_transform(
+        regexp_extract_all(hex(encode(w)), '..'), lambda x: ('0x' || x)::UBIGINT),
+        lambda c, x: xor(c >> 8, t[((xor(c, x) & 255) + 1)::BIGINT]))) % 10000)::BIGINT AS bucket
+      FROM (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM bw)), tab),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN v USING (w) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN v USING (w) GROUP BY 1),
+sums AS (SELECT coalesce((SELECT sum(s) FROM s), 0) AS ss, coalesce((SELECT sum(t) FROM t), 0) AS tt),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (ss + 10000)::DOUBLE
+                                     / ((coalesce(s, 0) + 1)::DOUBLE * (tt + 10000)::DOUBLE)))::BIGINT AS gain
+      FROM s FULL JOIN t USING (bucket), sums),
+f AS (SELECT n, sum(gain)::BIGINT AS weight FROM dw JOIN v USING (w) JOIN g USING (bucket) GROUP BY 1),
+x AS (SELECT n, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+             coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)::DOUBLE
+                                                          / 4294967296)))::BIGINT AS score
+      FROM d LEFT JOIN f USING (n)),
+r AS (SELECT n, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST)::BIGINT AS rank, count(*) OVER () AS able
+      FROM x WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= able * 10 // 100 THEN rank END AS rank
+FROM x LEFT JOIN r USING (n)
+"""
+
+
+@query
+def op12_overlap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_geometric_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_geometric_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS d, doc_id, {_WORDS} AS ws FROM documents),
+i AS (SELECT row_number() OVER () AS i, item_id, {_WORDS} AS ws FROM benchmark),
+tot AS (SELECT count(*) AS nn, sum(len(ws))::BIGINT AS ll FROM d WHERE len(ws) > 0),
+q AS (SELECT i, w, count(*) AS c FROM (SELECT i, unnest(ws) AS w FROM i) GROUP BY ALL),
+p AS (SELECT d, w, count(*) AS tf FROM (SELECT d, unnest(ws) AS w FROM d) WHERE w IN (SELECT w FROM q) GROUP BY ALL),
+f AS (SELECT w, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+      FROM p, tot GROUP BY w, nn),
+m AS (SELECT d, doc_id, 75 + (25 * len(ws)::BIGINT * nn) // ll AS m FROM d, tot WHERE len(ws) > 0),
+s AS (SELECT i, d, doc_id, sum(c * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM q JOIN p USING (w) JOIN f USING (w) JOIN m USING (d) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST)::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r JOIN i USING (i) WHERE rank <= 20
+"""
