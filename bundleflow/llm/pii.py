@@ -2,31 +2,38 @@
 
 The base kinds (email, ip, card, phone) are found by their fixed patterns.  They also seed the
 bootstrapping: the words and punctuation left and right of a seed, at several widths, are its
-lexical patterns, and every value of an identifier's shape (a digit or ``@``, ``MIN_LENGTH`` to
-``MAX_LENGTH`` characters, groups apart by one space as one value) is an instance of the patterns
-around it.  Spark scores the bipartite graph of patterns and distinct instances in rounds, until
-no further instance is accepted: a pattern's confidence is the mean score of everything it
-extracts, words that cannot be identifiers counting as zero; an instance's score combines the
-confidences of its patterns (noisy or); seeds keep score one.  Instances that reach ``ACCEPT``
-through patterns with at least ``MIN_SUPPORT`` seeds or instances accepted before are new spans
-of kind ``id``.
-
-The graph holds identifier-shaped values only.  The other words are counted in a second pass over
-the texts, for patterns that can reach ``MIN_SUPPORT``; a pattern with more than twice as many of
-them as instances cannot reach ``MIN_CONFIDENCE`` and is counted no further.  Documents are named by a hash
-and the length of their text, as spans follow from the text alone.
-
-Defined results: null and empty texts have no spans; offsets are code points, ends exclusive;
-method spans never overlap base spans; repeated rows keep their rows; ``redact`` keeps all
-columns and replaces each span (overlapping ones as one) by its kind in brackets.
+lexical patterns, and every value of an identifier's shape (a digit or ``@``, at least
+``MIN_LENGTH`` characters, groups apart by one space as one value) is an instance of the patterns
+around it.  Spark scores the bipartite graph of patterns and instances in rounds, until no further
+instance is accepted: a pattern's confidence is the mean score of everything it extracts, each
+occurrence counted, words that cannot be identifiers counting as zero; an instance's score combines
+the confidences of its patterns (noisy or); seeds keep score one.  Instances that reach ``ACCEPT``
+through patterns with at least ``MIN_SUPPORT`` different seeds or instances accepted before are new
+spans of kind ``id``.
+
+The graph holds identifier-shaped values only.  The other words are counted from the texts, and
+only for patterns that can reach ``MIN_CONFIDENCE`` in the present round: first in a 64th of the
+texts, then in an eighth, then in all.  A pattern with more words than instances cannot reach
+``MIN_CONFIDENCE`` in any round (see ``able``); counts only grow, so it is left as soon as one of
+the shares shows it, which common contexts do in the first.  A task gives one count per pattern, so
+both the rows and the time grow with the texts.  Occurrences, not distinct words, are counted
+because the share of identifiers among a context's occurrences is the same at every size, while
+distinct words run out and identifiers do not.
+
+Defined results: null and empty texts have no spans; very long texts and identifiers are read
+whole (contexts lie within ``_WINDOW`` characters); offsets are code points, ends exclusive;
+spans of the method never overlap each other (identifiers are read from left to right) or base
+spans; equal scores are accepted alike; repeated rows keep their rows and count as often as they
+occur, but support counts different values; an empty table gives an empty result; ``redact`` keeps
+all columns and replaces each span (overlapping ones as one) by its kind in brackets.
 """
 
 from __future__ import annotations
 
-import math
+import hashlib
 import re
 from bisect import bisect_right
-from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,10 +47,12 @@ ACCEPT = 0.9
 MIN_CONFIDENCE = 0.5
 MIN_SUPPORT = 5
 MIN_LENGTH = 6
-MAX_LENGTH = 200
 WIDTH = 3
-# Patterns that one pass over the texts looks for.
+# Longer values stand in the graph by a digest.
+NAMED = 64
+# Patterns that one pass over the texts looks for, and the shares of the texts (one of so many).
 PASS_PATTERNS = 200_000
+SHARES = (64, 8, 1)
 
 # The base patterns.  Each starts only where a match can start, which finds the
 # same leftmost matches and stays linear on long runs.
@@ -127,14 +136,22 @@ def _side(tokens: list[str], width: int) -> list[str]:
     return out
 
 
-def _tokens(part: str) -> list[str]:
-    return _TOKEN.findall(_DIGITS.sub("0", part.lower()))
+def _plain(token: str) -> str:
+    token = token.lower()
+    return token if token.isalpha() else _DIGITS.sub("0", token)
 
 
 def patterns_at(text: str, start: int, end: int) -> list[str]:
     """The patterns around a value: left and right contexts, both at once, or the marks it stands
-    between.  A context is written from the value outwards."""
-    before, after = _tokens(text[max(0, start - _WINDOW):start])[::-1], _tokens(text[end:end + _WINDOW])
+    between.  A context is written from the value outwards; a token at the window's edge may be
+    cut and is left out."""
+    before = _TOKEN.findall(text, max(0, start - _WINDOW), start)[::-1]
+    after = _TOKEN.findall(text, end, end + _WINDOW)
+    if start > _WINDOW:
+        before = before[:-1]
+    if end + _WINDOW < len(text):
+        after = after[:-1]
+    before, after = [_plain(t) for t in before], [_plain(t) for t in after]
     left, right = _side(before, WIDTH), _side(after, WIDTH)
     out = [f"< {c}" for c in left] + [f"> {c}" for c in right]
     if left and right:
@@ -162,7 +179,7 @@ def _covered(base: list[Span]):
 
 
 def _shaped(value: str) -> bool:
-    return MIN_LENGTH <= len(value) <= MAX_LENGTH and _SHAPED.search(value) is not None
+    return len(value) >= MIN_LENGTH and _SHAPED.search(value) is not None
 
 
 def identifiers(text: str, base: list[Span]) -> list[tuple[int, int]]:
@@ -172,7 +189,7 @@ def identifiers(text: str, base: list[Span]) -> list[tuple[int, int]]:
     meets, out = _covered(base), []
     for m in _IDENT.finditer(text):
         parts = [m.span()]
-        if meets(*m.span()) or m.end() - m.start() > MAX_LENGTH:
+        if meets(*m.span()):
             parts = [c.span() for c in _CORE.finditer(text, *m.span()) if not meets(*c.span())]
         out += [(s, e) for s, e in parts if _shaped(text[s:e])]
     return out
@@ -182,85 +199,67 @@ def labelled_values(text: str, base: list[Span]) -> list[tuple[str, str, int, in
     """(pattern, value, start, end, role) of every seed (role 2) and every value of an identifier's
     shape (role 1), once for each pattern around it."""
     found = [(s, e, 2) for s, _, e in base] + [(s, e, 1) for s, e in identifiers(text, base)]
-    return [(p, text[s:e], s, e, role) for s, e, role in found for p in patterns_at(text, s, e)]
+    return [(p, _name(text[s:e]), s, e, role) for s, e, role in found for p in patterns_at(text, s, e)]
 
 
-def _anchor(pattern: str) -> tuple[str, str]:
-    """('<' or '>', nearest word) of a pattern, by which texts are searched; '=' has none."""
-    if pattern[0] == "=":
-        return "=", ""
-    word = next(t for t in pattern[2:].split(" ") if t[0].isalnum() or t[0] == "_")
-    return pattern[0], word
+def _name(value: str) -> str:
+    return value if len(value) <= NAMED else hashlib.sha256(value.encode()).hexdigest()
+
+
+def _words(context: str) -> list[str]:
+    return [t for t in context.split(" ") if t[0].isalnum() or t[0] == "_"]
 
 
 class Others:
-    """Finds the words without an identifier's shape that patterns extract, each (pattern, word)
-    once, up to the number of words (``limits``) that rules a pattern out."""
-
-    def __init__(self, limits: dict[str, int]):
-        self.left = dict(limits)
-        self.seen: dict[str, set[str]] = {p: set() for p in limits}
-        self.anchors = Counter(_anchor(p) for p in limits)
-        self.quick: re.Pattern | None = None
-
-    def add(self, pattern: str, word: str) -> bool:
-        seen = self.seen.get(pattern)
-        if seen is None or word in seen:
-            return False
-        seen.add(word)
-        if len(seen) > self.left[pattern]:
-            del self.seen[pattern]
-            self.anchors[_anchor(pattern)] -= 1
-            if not self.anchors[_anchor(pattern)]:
-                del self.anchors[_anchor(pattern)]
-                self.quick = None
-        return True
-
-    def _quick(self) -> re.Pattern:
-        """Matches every text in lower case that can hold an anchor."""
-        words = {w for _, w in self.anchors}
-        # sigma depends on its place: such anchors match anywhere
-        if len(words) > 100 or any(c in w for w in words for c in "σς"):
-            return re.compile("")
-        some = [_DIGITS.sub(r"\\d+", re.escape(w)) for w in sorted(words) if w]
-        for p in self.seen:
-            if p[0] == "=":
-                before, after = p[2:].split(" ")
-                some.append((re.escape(before) if before else rf"(?:\A|{_BLANK.pattern[:-1]}{{{_WINDOW}}})")
-                            + f"{_BLANK.pattern}(?:{_WORD.pattern}){_BLANK.pattern}"
-                            + (re.escape(after) if after else rf"(?:\Z|{_BLANK.pattern[:-1]}{{{_WINDOW}}})"))
-        return re.compile("|".join(some))
-
-    def find(self, text: str, base: list[Span]) -> list[tuple[str, str]]:
-        if not self.seen:
-            return []
-        if self.quick is None:
-            self.quick = self._quick()
-        if not self.quick.search(text.lower()):
-            return []
-        out, meets = [], None
-        spans, words = [], []
-        for m in _WORD.finditer(text):
-            spans.append(m.span())
-            word = m.group().lower()
-            words.append(word if word.isalpha() else _DIGITS.sub("0", word))
-        n = len(words)
-        left = {w for side, w in self.anchors if side == "<"}
-        right = {w for side, w in self.anchors if side == ">"}
-        between = ("=", "") in self.anchors
-        for i in range(n):
-            if (i and words[i - 1] in left) or (i + 1 < n and words[i + 1] in right) or (
-                    between and (not i or not _BLANK.fullmatch(text, spans[i - 1][1], spans[i][0]))
-                    and (i + 1 == n or not _BLANK.fullmatch(text, spans[i][1], spans[i + 1][0]))):
-                if meets is None:
-                    taken = [(s, "", e) for s, e in identifiers(text, base)]
-                    meets = _covered([*base, *taken])
-                start, end = spans[i]
-                if not meets(start, end):
-                    for p in patterns_at(text, start, end):
-                        if self.add(p, words[i]):
-                            out.append((p, words[i]))
-        return out
+    """Counts the words without an identifier's shape that patterns extract.
+
+    A place is looked at only if the words next to it can belong to a pattern: the nearest two of
+    a context, or the nearest on both sides."""
+
+    def __init__(self, patterns: list[str]):
+        self.counts = dict.fromkeys(patterns, 0)
+        self.left: dict[str, set[str | None]] = {}
+        self.right: dict[str, set[str | None]] = {}
+        self.marks = any(p[0] == "=" for p in patterns)
+        for p in patterns:
+            if p[0] == "<":  # a pattern of both sides is found by its left one
+                near = _words(p[2:].split(" > ")[0])
+                self.left.setdefault(near[0], set()).add(near[1] if len(near) > 1 else None)
+            elif p[0] == ">":
+                near = _words(p[2:])
+                self.right.setdefault(near[0], set()).add(near[1] if len(near) > 1 else None)
+
+    def _places(self, words: list[str]) -> set[int]:
+        """Numbers of the words that a context of one side may extract."""
+        found, n = set(), len(words)
+        near = self.left.keys() | self.right.keys()
+        for j in [j for j, w in enumerate(words) if w in near]:
+            second = self.left.get(words[j])
+            if second and j + 1 < n and (None in second or (j and words[j - 1] in second)):
+                found.add(j + 1)
+            second = self.right.get(words[j])
+            if second and j and (None in second or (j + 1 < n and words[j + 1] in second)):
+                found.add(j - 1)
+        return found
+
+    def add(self, text: str, base: list[Span] | None = None) -> None:
+        words = [_plain(w) for w in _WORD.findall(text)]
+        places = self._places(words)
+        if not places and not self.marks:
+            return
+        spans = [m.span() for m in _WORD.finditer(text)]
+        if self.marks:  # words that stand between marks or at an end
+            free = [False] + [_BLANK.fullmatch(text, a[1], b[0]) is not None for a, b in zip(spans, spans[1:])] + [False]
+            places |= {i for i in range(len(spans)) if not (free[i] or free[i + 1])}
+        meets = None
+        for i in sorted(places):
+            here = [p for p in patterns_at(text, *spans[i]) if p in self.counts]
+            if here and meets is None:
+                base = base_spans(text) if base is None else base
+                meets = _covered([*base, *((s, "", e) for s, e in identifiers(text, base))])
+            if here and not meets(*spans[i]):
+                for p in here:
+                    self.counts[p] += 1
 
 
 def text_key(text: str) -> Column:
@@ -297,55 +296,90 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                  f"labelled array<{_VALUE}>")
 
 
-def count_others(texts: DataFrame, viable: DataFrame, scratch: Scratch) -> DataFrame:
-    """(pattern, others): how many distinct words without an identifier's shape each of the
-    ``viable`` (pattern, instances) extracts; ``texts`` holds one column."""
-    n = math.ceil(viable.count() / PASS_PATTERNS)
-    parts = viable.withColumn("part", F.expr(f"pmod(xxhash64(pattern), {max(n, 1)})"))
+def count_others(texts: DataFrame, patterns: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(pattern, others): how many words without an identifier's shape each of ``patterns``
+    (pattern, instances) extracts from ``texts`` (one column); exact unless it exceeds the
+    instances, where counting ends once that is seen."""
     column = texts.columns[0]
     texts = texts.filter(F.length(column) > 0)
-    found = None
-    for k in range(n):
-        share = parts.filter(F.col("part") == k).select("pattern", "instances").collect()
-        limits = texts.sparkSession.sparkContext.broadcast({r.pattern: 2 * r.instances for r in share})
-
-        def make(limits=limits):
-            others = Others(limits.value)
-
-            def fn(b: pa.RecordBatch) -> pa.RecordBatch:
-                rows = [r for t in strings(b.column(0)) for r in others.find(t, base_spans(t))]
-                return pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], names=["pattern", "word"])
-            return fn
-
-        some = scratch.write(map_arrow(texts, make, "pattern string, word string").distinct(), f"others-{k}")
-        found = some if found is None else found.unionByName(some)
-    if found is None:
-        return viable.select("pattern", F.lit(0).cast("long").alias("others"))
-    return scratch.write(found.groupBy("pattern").agg(F.count(F.lit(1)).alias("others")), "others")
-
-
-def score_instances(edges: DataFrame, others: DataFrame, scratch: Scratch,
+    open_, done = patterns, []
+    for share in SHARES:
+        n_parts = -(-open_.count() // PASS_PATTERNS)
+        part = F.pmod(F.xxhash64("pattern"), F.lit(max(n_parts, 1)))
+        some = texts.filter(F.pmod(F.xxhash64(column), F.lit(share)) == 0) if share > 1 else texts
+        counts = []
+        for k in range(n_parts):
+            names = [r.pattern for r in open_.filter(part == k).select("pattern").collect()]
+            counts.append(_counted(some, names))
+        if not counts:
+            break
+        counted = counts[0]
+        for more in counts[1:]:
+            counted = counted.unionByName(more)
+        counted = scratch.write(open_.join(counted, "pattern", "left").select(
+            "pattern", "instances", F.coalesce("others", F.lit(0)).cast("long").alias("others")), f"{name}-{share}")
+        over = F.col("others") > F.col("instances")
+        done.append(counted.filter(over) if share > 1 else counted)
+        open_ = counted.filter(~over).select("pattern", "instances")
+    found = texts.sparkSession.createDataFrame([], "pattern string, others long")
+    for some in done:
+        found = found.unionByName(some.select("pattern", "others"))
+    return found
+
+
+def _counted(texts: DataFrame, names: list[str]) -> DataFrame:
+    """(pattern, others) of the patterns that extract some word; a task gives one row for each."""
+    shared = texts.sparkSession.sparkContext.broadcast(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others = Others(shared.value)
+        for b in batches:
+            for t in strings(b.column(0)):
+                others.add(t)
+        rows = [(p, n) for p, n in others.counts.items() if n]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())],
+            names=["pattern", "others"])
+
+    return texts.mapInArrow(run, "pattern string, others long").groupBy("pattern").agg(
+        F.sum("others").alias("others"))
+
+
+def able(edges: DataFrame, scores: DataFrame | None, support: int, accept: float) -> DataFrame:
+    """(pattern, instances, good, worth) of the patterns that may reach ``MIN_CONFIDENCE``.
+
+    ``good`` sums the scores of the occurrences, ``worth`` counts them, those of an unscored value
+    by half, so that a pattern's own new instances do not lower it much.  With a of n occurrences
+    scored, good is at most a and worth is a + (n - a) / 2; good / (worth + others) reaches one half
+    only if others is at most 2 * good - worth, which is at most n."""
+    if scores is None:
+        known = edges.withColumn("score", (F.col("role") == 2).cast("double"))
+    else:
+        known = edges.join(scores, "value", "left").withColumn(
+            "score", F.when(F.col("role") == 2, 1.0).otherwise(F.coalesce("score", F.lit(0.0))))
+    worth = F.when((F.col("role") == 1) & (F.col("score") == 0), 0.5).otherwise(1.0)
+    return (known.groupBy("pattern").agg(
+        F.sum("times").alias("instances"), F.sum(F.col("score") * F.col("times")).alias("good"),
+        F.sum(worth * F.col("times")).alias("worth"),
+        F.sum((F.col("score") >= accept).cast("long")).alias("support"))
+        .filter((F.col("support") >= support) & (F.col("good") >= MIN_CONFIDENCE * F.col("worth")))
+        .drop("support"))
+
+
+def score_instances(edges: DataFrame, texts: DataFrame, scratch: Scratch,
                     support: int = MIN_SUPPORT, accept: float = ACCEPT) -> DataFrame:
     """(value, score) of the identifier-shaped instances that reach ``accept``; ``edges`` are
-    distinct (pattern, value, role), ``others`` the counts of further words by pattern."""
+    distinct (pattern, value) with their role and how often they occur."""
     scores, accepted, k = None, 0, 0
+    counted = edges.sparkSession.createDataFrame([], "pattern string, others long")
     while True:
-        known = edges
-        if scores is None:
-            known = known.withColumn("score", (F.col("role") == 2).cast("double"))
-        else:
-            known = (known.join(scores, "value", "left").withColumn(
-                "score", F.when(F.col("role") == 2, 1.0).otherwise(F.coalesce("score", F.lit(0.0)))))
-        # a pattern's own new instances must not lower it: shaped values without a score count half
-        worth = F.when((F.col("role") == 1) & (F.col("score") == 0), 0.5).otherwise(1.0)
-        patterns = (known.groupBy("pattern").agg(
-            F.sum("score").alias("good"), F.sum(worth).alias("worth"),
-            F.sum((F.col("score") >= accept).cast("long")).alias("support"))
-            .filter(F.col("support") >= support).join(others, "pattern", "left")
-            .withColumn("confidence", F.col("good") / (F.col("worth") + F.coalesce("others", F.lit(0))))
-            .filter(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "confidence"))
-        found = (edges.filter("role = 1").join(patterns, "pattern").groupBy("value").agg(
+        patterns = scratch.write(able(edges, scores, support, accept), f"patterns-{k}")
+        fresh = patterns.join(counted, "pattern", "left_anti").select("pattern", "instances")
+        counted = scratch.write(counted.unionByName(count_others(texts, fresh, scratch, f"others-{k}")), f"counted-{k}")
+        sure = (patterns.join(counted, "pattern")
+                .withColumn("confidence", F.col("good") / (F.col("worth") + F.col("others")))
+                .filter(F.col("confidence") >= MIN_CONFIDENCE).select("pattern", "confidence"))
+        found = (edges.filter("role = 1").join(sure, "pattern").groupBy("value").agg(
             (F.lit(1.0) - F.exp(F.sum(F.log(F.greatest(F.lit(1.0) - F.col("confidence"), F.lit(1e-9))))))
             .alias("score")))
         scores = scratch.write(found, f"scores-{k}")
@@ -358,14 +392,14 @@ def score_instances(edges: DataFrame, others: DataFrame, scratch: Scratch,
 def contextual_spans(scanned: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """(key, more) with the spans that the method adds, for texts that get any; ``texts`` are the
     texts that were scanned."""
-    values = scanned.filter(F.size("labelled") > 0).select("key", F.explode("labelled").alias("v"))
-    values = scratch.write(values.select("key", "v.*").distinct(), "values")
-    edges = scratch.write(values.groupBy("pattern", "value").agg(F.max("role").alias("role")), "edges")
-    viable = scratch.write(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
-                           .filter(F.col("instances") >= MIN_SUPPORT), "viable")
-    edges = edges.join(broadcast_if_small(viable.select("pattern"), 100), "pattern", "left_semi")
-    accepted = score_instances(edges, count_others(texts, viable, scratch), scratch)
-    spans = values.filter("role = 1").select("key", "value", "start", "end").distinct().join(accepted, "value").select(
+    values = scanned.filter(F.size("labelled") > 0).select("key", F.explode("labelled").alias("v")).select("key", "v.*")
+    edges = scratch.write(values.groupBy("pattern", "value").agg(
+        F.max("role").alias("role"), F.count(F.lit(1)).alias("times")), "edges")
+    viable = scratch.write(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+                           .filter(F.col("n") >= MIN_SUPPORT).select("pattern"), "viable")
+    edges = scratch.write(edges.join(broadcast_if_small(viable, 100), "pattern", "left_semi"), "graph")
+    accepted = broadcast_if_small(scratch.write(score_instances(edges, texts, scratch).select("value"), "accepted"), 100)
+    spans = values.filter("role = 1").join(accepted, "value", "left_semi").select(
         "key", F.struct("start", F.lit(METHOD_KIND).alias("kind"), "end").alias("span"))
     return scratch.write(spans.groupBy("key").agg(F.sort_array(F.collect_set("span")).alias("more")), "more")
 
@@ -389,11 +423,12 @@ def _joined(spans: str) -> Column:
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """id, counts per base kind, base_sha256 and spans."""
+    """id, counts per base kind, base_sha256, spans, and the count of all spans."""
     counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}")
               for k in KINDS]
     return found.select(id_col, *counts, F.sha2(_joined("base"), 256).alias("base_sha256"),
-                        _joined("concat(base, more)").alias("spans"))
+                        _joined("concat(base, more)").alias("spans"),
+                        F.expr("cast(size(base) + size(more) as long)").alias("n_all"))
 
 
 def mask(text: str, spans: list[Span]) -> str:

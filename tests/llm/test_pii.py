@@ -114,3 +114,76 @@ def test_words_rule_out_a_pattern(llm):
     rows += [(100 + k, f"we saw {'abcdefghijklmnopqrstuvwxyz'[k]}ord there") for k in range(26)]
     rows += [(200, "we saw AB-123456 there")]
     assert found_values(llm.createDataFrame(rows, "doc_id long, text string"))[200] == []
+
+
+def plain_bootstrap(texts, rounds=20):
+    """The scoring as plain loops over all words, all patterns and all values."""
+    edges, others = {}, {}
+    for text in texts:
+        base = pii.base_spans(text)
+        for p, v, _, _, role in pii.labelled_values(text, base):
+            old = edges.get((p, v), (0, 0))
+            edges[p, v] = (max(old[0], role), old[1] + 1)
+        taken = [(s, e) for s, _, e in base] + pii.identifiers(text, base)
+        for m in pii._WORD.finditer(text):
+            if not any(s < m.end() and m.start() < e for s, e in taken):
+                for p in pii.patterns_at(text, *m.span()):
+                    others[p] = others.get(p, 0) + 1
+    width = {}
+    for p, _ in edges:
+        width[p] = width.get(p, 0) + 1
+    edges = {k: v for k, v in edges.items() if width[k[0]] >= pii.MIN_SUPPORT}
+    scores, accepted = {}, -1
+    for _ in range(rounds):
+        sums = {}
+        for (p, v), (role, times) in edges.items():
+            score = 1.0 if role == 2 else scores.get(v, 0.0)
+            good, worth, support = sums.get(p, (0, 0, 0))
+            sums[p] = (good + score * times, worth + times * (0.5 if role == 1 and not score else 1.0),
+                       support + (score >= pii.ACCEPT))
+        sure = {p: g / (w + others.get(p, 0)) for p, (g, w, s) in sums.items() if s >= pii.MIN_SUPPORT}
+        left = {}
+        for (p, v), (role, _) in edges.items():
+            if role == 1 and sure.get(p, 0) >= pii.MIN_CONFIDENCE:
+                left[v] = left.get(v, 1.0) * max(1 - sure[p], 1e-9)
+        scores = {v: 1 - x for v, x in left.items()}
+        now = sum(s >= pii.ACCEPT for s in scores.values())
+        if now <= max(accepted, 0):
+            break
+        accepted = now
+    return {v for v, s in scores.items() if s >= pii.ACCEPT}
+
+
+def test_spans_equal_plain_loops(llm):
+    """Several rounds, common contexts, copies, contexts of marks and of both sides."""
+    rng = random.Random(11)
+    words = ["the", "of", "member", "no", "card", "on", "call", "|", "-", ":", "x1", "ΟΔΟΣ", "会", "12", '"']
+    texts = []
+    for k in range(500):
+        parts = []
+        for _ in range(rng.randint(1, 14)):
+            parts.append(rng.choice(words))
+            kind = rng.random()
+            if parts[-1] in ("no", ":", "|") and kind < 0.7:
+                parts.append(rng.choice([f"u{rng.randrange(40)}@m.example.org", f"ID-{rng.randrange(30):05}",
+                                         f"10.1.2.{rng.randrange(99)}", "9" * 90 + str(rng.randrange(3))]))
+            elif kind < 0.02:
+                parts.append(f"REF-{rng.randrange(9):06}")
+        texts.append(" ".join(parts))
+    texts += texts[:120] + ["member no ID-00001 " * 200]
+    want = plain_bootstrap(texts)
+    assert 5 < len(want)
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    got = found_values(docs)
+    for k, text in enumerate(texts):
+        all_ = [text[s:e] for s, e in pii.identifiers(text, pii.base_spans(text))
+                if pii._name(text[s:e]) in want and pii.patterns_at(text, s, e)]
+        assert got[k] == all_, text
+
+
+def test_growth_of_counted_rows(llm):
+    """A task gives one row for each pattern, however many words follow it."""
+    texts = llm.createDataFrame([(f"call the w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} now",) for i in range(600)],
+                                "text string")
+    rows = pii._counted(texts.coalesce(1), ["< the", "< the call", "> now", "< never"]).collect()
+    assert sorted(map(tuple, rows)) == [("< the", 600), ("< the call", 600), ("> now", 600)]
