@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -71,10 +73,23 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
                 out = fn(b)
                 if out is not None and out.num_rows:
                     yield out
+        del fn
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Returns the memory of a finished task to the system: Python workers are used again by
+    later stages, and each would otherwise keep the most that any stage before it needed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Bounds what one batch of the reader and one Arrow batch hold, as documents may be long."""
     from ..session import configure

@@ -9,8 +9,16 @@ on a bounded sample of training rows (``SAMPLE_ROWS``, chosen by a hash of the i
 of which only sets the temperature.  Prediction reads whole texts: long ones are counted
 chunk by chunk.
 
+A text in a language outside the learned ones still gets one of them.  ``rarity`` tells it apart:
+the mean inverse document frequency of its n-grams, each occurrence counted.  A learned language
+spends most of its occurrences on n-grams that most training texts hold; foreign text falls on
+buckets as they come.  The largest rarity of the calibration rows, and as much again as it lies
+above their median, is the bound ``foreign``; it follows from shares and not from the number of
+rows, so it is alike at every size.
+
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so is every
-text when no training row has a language.  Rows with a null language train nothing; rows
+text when no training row has a language.  Very long texts are read whole; of equal
+probabilities the language that comes first by name is taken.  Rows with a null language train nothing; rows
 with a null id are never held out.  Repeated rows keep their rows; extra columns are
 ignored by ``identify`` and never reach the model.
 """
@@ -75,6 +83,12 @@ def weights(counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, v / norm if norm else v
 
 
+def rarity(counts: np.ndarray, idf: np.ndarray) -> float:
+    """Mean inverse document frequency of the n-grams of a text (0 without any)."""
+    total = counts.sum()
+    return float(counts @ idf) / float(total) if total else 0.0
+
+
 def document_frequencies(training: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
     """Rows that hold each bucket, and the row count, over all of ``training``."""
 
@@ -137,6 +151,7 @@ class Model:
     idf: np.ndarray
     matrix: np.ndarray  # the last row is the bias
     temperature: float = 1.0
+    foreign: float = np.inf
 
     def logits(self, counts: np.ndarray) -> np.ndarray:
         at, v = weights(counts, self.idf)
@@ -177,15 +192,17 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def make():
         def fn(b: pa.RecordBatch) -> pa.RecordBatch:
-            found = [weights(term_counts(t or ""), idf) for t in b.column(2).to_pylist()]
+            counts = [term_counts(t or "") for t in b.column(2).to_pylist()]
+            found = [weights(c, idf) for c in counts]
             return pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1),
                  pa.array([a.astype("<u2").tobytes() for a, _ in found], pa.binary()),
-                 pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary())],
-                names=["at", "lang", "buckets", "values"])
+                 pa.array([v.astype("<f4").tobytes() for _, v in found], pa.binary()),
+                 pa.array([rarity(c, idf) for c in counts], pa.float64())],
+                names=["at", "lang", "buckets", "values", "rarity"])
         return fn
 
-    sample = map_arrow(picked, make, "at long, lang string, buckets binary, values binary")
+    sample = map_arrow(picked, make, "at long, lang string, buckets binary, values binary, rarity double")
     data = sorted(sample.collect())
     languages = sorted({r["lang"] for r in data})
     if not languages:
@@ -199,6 +216,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         for i in rng.permutation(np.flatnonzero(~holds)):
             learner.step(*x[i], y[i])
     model = Model(languages, idf, learner.rows(np.arange((1 << BITS) + 1)))
+    rare = np.array([r["rarity"] for r in data])[holds if holds.any() else slice(None)]
+    model.foreign = float(2 * rare.max() - np.median(rare))
     if holds.any() and len(languages) > 1:
         logits = np.array([v @ model.matrix[a] + model.matrix[-1]
                            for (a, v), h in zip(x, holds) if h])
@@ -207,20 +226,26 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None,
-             lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
+             lang_out: str = "lang_pred", score_out: str = "score", rarity_out: str | None = None) -> DataFrame:
     """The columns ``keep`` (all by default; those named like an output go), the predicted
-    language and its calibrated probability."""
-    kept = [c for c in keep or docs.columns if c not in (lang_out, score_out)]
+    language and its calibrated probability; ``rarity_out``, if given, its text's rarity."""
+    kept = [c for c in keep or docs.columns if c not in (lang_out, score_out, rarity_out)]
     schema = docs.select(*kept).schema.add(lang_out, "string").add(score_out, "double")
+    if rarity_out:
+        schema = schema.add(rarity_out, "double")
     n = len(kept)
 
     def make():
         def fn(b: pa.RecordBatch) -> pa.RecordBatch:
             found = [model.predict(t) for t in b.column(n).to_pylist()]
+            more, names = [], [*b.schema.names[:n], lang_out, score_out]
+            if rarity_out:
+                more = [pa.array([rarity(term_counts(t or ""), model.idf) for t in b.column(n).to_pylist()],
+                                 pa.float64())]
+                names.append(rarity_out)
             return pa.RecordBatch.from_arrays(
                 [*b.columns[:n], pa.array([x for x, _ in found], pa.string()),
-                 pa.array([p for _, p in found], pa.float64())],
-                names=[*b.schema.names[:n], lang_out, score_out])
+                 pa.array([p for _, p in found], pa.float64()), *more], names=names)
         return fn
 
     return map_arrow(docs.select(*kept, F.col(text_col).alias("text to read")), make, schema)

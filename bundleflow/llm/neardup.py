@@ -22,8 +22,9 @@ similarity 0.85 shares none with probability 3e-7; the signature test keeps four
 deviations below the threshold.
 
 Defined results: rows without words are linked with nothing; component_id is the least id of
-the component, null ids do not count, and kept is ``id <=> component_id``; repeated rows keep
-their rows; extra columns are ignored.
+the component, null ids do not count, and kept is ``id <=> component_id``; very long texts are
+hashed whole; repeated rows keep their rows (``drop_near_duplicates`` keeps one row of a group even
+where ids are null or shared); ties go to the smaller hash; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -306,7 +307,10 @@ def straggler_pairs(rows: DataFrame, setting: Setting, best: int | None) -> Data
 
 def judged_rows(docs: DataFrame, id_col: str, text_col: str, setting: Setting,
                 scratch: Scratch) -> DataFrame:
-    """id, n_shingles, text_key, component_id, kept for every row."""
+    """id, n_shingles, text_key, component_id, kept, survivor for every row.
+
+    ``survivor`` names one text of each component: the least (id, text_key), null ids last; rows
+    without words are survivors each."""
     rows = scratch.write(sketch(docs, id_col, text_col, setting), "sketch")
     classes = scratch.write(
         rows.filter("node IS NOT NULL").groupBy("node").agg(
@@ -337,11 +341,14 @@ def judged_rows(docs: DataFrame, id_col: str, text_col: str, setting: Setting,
     placed = rows.select("id", "n_shingles", "text_key", "node").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     # only components of several rows need their least id looked up
-    least = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("component_id"))
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "text_key")
+    least = placed.filter("label IS NOT NULL").groupBy("label").agg(
+        F.min("id").alias("component_id"), F.min(place).alias("first"))
     out = placed.join(least, "label", "left").withColumn(
         "component_id", F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("component_id")))
     return out.select("id", "n_shingles", "text_key", "component_id",
-                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+                      (F.col("label").isNull() | place.eqNullSafe(F.col("first"))).alias("survivor"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -353,7 +360,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          setting: Setting = Setting()) -> DataFrame:
-    """The rows of ``docs`` that are kept, repeated rows (equal id and text) once.
+    """One row of every component (``survivor``), repeated rows (equal id and text) once.
 
     Rows are told apart by id and text hash; the lists of rows to leave out are narrow and
     broadcast only when they are small.
@@ -368,9 +375,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return (F.xxhash64(docs[text_col]).eqNullSafe(few["listed key"])
                 & docs[id_col].eqNullSafe(few["listed id"]))
 
-    gone = broadcast_if_small(listed(rows.filter("NOT kept").distinct(), "gone"), 24)
+    gone = broadcast_if_small(listed(rows.filter("NOT survivor").distinct(), "gone"), 24)
     out = docs.join(gone, same(gone), "left_anti")
-    again = listed(rows.filter("kept").groupBy("id", "text_key").count().filter("count > 1"), "again")
+    again = listed(rows.filter("survivor").groupBy("id", "text_key").count().filter("count > 1"), "again")
     if not again.count():
         return out
     again = broadcast_if_small(again, 24)

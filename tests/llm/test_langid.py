@@ -50,3 +50,59 @@ def test_temperature_is_calibrated():
     p = langid.softmax(logits)
     y = np.array([rng.choice(3, p=q) for q in p])
     assert 3.0 < langid._temperature(logits * 4, y) < 5.3
+
+
+def test_rarity_and_prediction_equal_plain_sums(llm):
+    """Document frequencies, TF-IDF, rarity and the logit by plain loops over n-grams."""
+    docs = llm.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.fit(docs)
+    texts = [r.text for r in docs.filter("text IS NOT NULL AND lang IS NOT NULL").collect()]
+
+    def grams(text):
+        found = {}
+        for b in langid.ngram_buckets(text).tolist():
+            found[b] = found.get(b, 0) + 1
+        return found
+
+    df = {}
+    for t in texts:
+        for b in grams(t):
+            df[b] = df.get(b, 0) + 1
+    idf = {b: float(np.log((1 + len(texts)) / (1 + df.get(b, 0))) + 1) for b in range(1 << langid.BITS)}
+    assert np.allclose(model.idf, [idf[b] for b in range(1 << langid.BITS)])
+    rows = langid.identify(docs.filter("text IS NOT NULL"), model, rarity_out="rarity").limit(25).collect()
+    for r in rows:
+        if not langid.has_letter(r.text):
+            continue
+        found = grams(r.text)
+        assert np.isclose(r.rarity, sum(c * idf[b] for b, c in found.items()) / sum(found.values()))
+        v = {b: (1 + np.log(c)) * idf[b] for b, c in found.items()}
+        norm = sum(x * x for x in v.values()) ** 0.5
+        logits = [sum(x / norm * model.matrix[b, k] for b, x in v.items()) + model.matrix[-1, k]
+                  for k in range(len(model.languages))]
+        e = np.exp((np.array(logits) - max(logits)) / model.temperature)
+        assert r.lang_pred == model.languages[int(np.argmax(e))] and np.isclose(r.score, (e / e.sum()).max(), atol=1e-6)
+
+
+def test_learner_step_by_hand():
+    """Two steps of FTRL-proximal, weight by weight."""
+    learner = langid.Ftrl(3, alpha=0.3, beta=1.0, l1=1e-3, l2=1e-2)
+    z, n = {}, {}
+
+    def weight(i, k):
+        a, b = z.get((i, k), 0.0), n.get((i, k), 0.0)
+        return 0.0 if abs(a) <= 1e-3 else -(a - np.sign(a) * 1e-3) / ((1.0 + b ** 0.5) / 0.3 + 1e-2)
+
+    for at, v, y in (([3, 9], [0.6, 0.8], 1), ([3, 4], [1.0, 0.2], 2), ([3, 9], [0.5, 0.5], 1)):
+        learner.step(np.array(at), np.array(v), y)
+        full = list(zip(at + [1 << langid.BITS], v + [1.0]))
+        w = {(i, k): weight(i, k) for i, _ in full for k in range(3)}
+        p = langid.softmax(np.array([sum(x * w[i, k] for i, x in full) for k in range(3)]))
+        for i, x in full:
+            for k in range(3):
+                g = x * (p[k] - (k == y))
+                old = n.get((i, k), 0.0)
+                z[i, k] = z.get((i, k), 0.0) + g - ((old + g * g) ** 0.5 - old ** 0.5) / 0.3 * w[i, k]
+                n[i, k] = old + g * g
+    for (i, k), value in z.items():
+        assert np.isclose(learner.z[i, k], value) and np.isclose(learner.n[i, k], n[i, k])

@@ -48,7 +48,29 @@ def test_language_stage_keeps_clean_documents(llm):
     assert langid.UNKNOWN == "und"
 
 
+def test_language_stage_rejects_a_foreign_language(llm):
+    """Two learned languages: texts of a third script or spelling go, mixtures stay."""
+    docs = llm.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("lang IN ('en', 'es')")
+    foreign = ["Съешь же ещё этих мягких французских булок да выпей чаю " * 3, "这是一种没有人学过的语言所以应该被拒绝" * 4,
+               "zażółć gęślą jaźń źdźbło chrząszcz brzmi w trzcinie wszczebrzeszynie " * 3]
+    mixed = [" ".join(r.text.split(" ")[:30]) for r in docs.filter("length(text) > 900").orderBy("lang", "doc_id").collect()]
+    mixed = [mixed[0] + " " + mixed[-1]]
+    planted = llm.createDataFrame([(-1 - i, t, None, "p", len(t)) for i, t in enumerate(foreign + mixed)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(llm, docs.unionByName(planted), "").collect()}
+    assert {i for i in kept if i < 0} == {-4}
+    assert len(kept) == docs.filter(F.col("text").rlike(r"\p{L}")).count() + 1
+
+
+def test_dedup_stage_keeps_one_of_a_group_without_ids(llm):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(None, text), (None, text + " end"), (None, text), (7, text.replace("60", "61") + " x"), (7, text + " y"),
+            (None, "another text of its own that nobody else has")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    for some, want in ((docs, 2), (docs.filter("doc_id IS NULL"), 2), (docs.filter("doc_id = 7"), 1)):
+        assert corpus_pipeline.near_dedup(llm, some, "").count() == want
+
+
 def test_registration():
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
     assert "pipeline" in names and set(queries.ORACLES) <= set(names)
