@@ -73,8 +73,10 @@ _WORD = re.compile(rf"[{_CJK}]|[^\W{_CJK}]+")
 _TOKEN = re.compile(rf"[{_CJK}]|[^\W{_CJK}]+|[^\w\x20\t\"']")
 _DIGITS = re.compile(r"\d+")
 _BLANK = re.compile(r"[\x20\t\"']*")
-# Characters left and right of a value that its patterns may come from.
+# Characters left and right of a value that its patterns may come from.  A window of them without a
+# whole token holds such a run.
 _WINDOW = 120
+_RUN = re.compile(rf"\w{{{_WINDOW // 3}}}|[\x20\t\"']{{{_WINDOW // 3}}}")
 
 Span = tuple[int, str, int]
 
@@ -124,16 +126,18 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def _side(tokens: list[str], width: int) -> list[str]:
-    """Contexts of 1 to ``width`` words, from the value outwards, punctuation between kept."""
-    out, words = [], 0
-    for i, t in enumerate(tokens):
+def _side(tokens: list[str]) -> tuple[list[str], str]:
+    """Contexts of 1 to ``WIDTH`` words of one side, from the value outwards, punctuation between
+    kept, and the nearest token."""
+    out, held, words = [], [], 0
+    for t in tokens:
+        held.append(_plain(t))
         if t[0].isalnum() or t[0] == "_":
             words += 1
-            out.append(" ".join(tokens[:i + 1]))
-            if words == width:
+            out.append(" ".join(held))
+            if words == WIDTH:
                 break
-    return out
+    return out, held[0] if held else ""
 
 
 def _plain(token: str) -> str:
@@ -151,14 +155,12 @@ def patterns_at(text: str, start: int, end: int) -> list[str]:
         before = before[:-1]
     if end + _WINDOW < len(text):
         after = after[:-1]
-    before, after = [_plain(t) for t in before], [_plain(t) for t in after]
-    left, right = _side(before, WIDTH), _side(after, WIDTH)
+    (left, near_left), (right, near_right) = _side(before), _side(after)
     out = [f"< {c}" for c in left] + [f"> {c}" for c in right]
     if left and right:
         out.append(f"< {left[0]} > {right[0]}")
-    marks = [(side[0] if side else "") for side in (before, after)]
-    if not any(m[:1].isalnum() or m[:1] == "_" for m in marks):
-        out.append(f"= {marks[0]} {marks[1]}")
+    if not any(m[:1].isalnum() or m[:1] == "_" for m in (near_left, near_right)):
+        out.append(f"= {near_left} {near_right}")
     return out
 
 
@@ -220,7 +222,7 @@ class Others:
         self.counts = dict.fromkeys(patterns, 0)
         self.left: dict[str, set[str | None]] = {}
         self.right: dict[str, set[str | None]] = {}
-        self.marks = any(p[0] == "=" for p in patterns)
+        marks: list[set[str]] = [set(), set()]
         for p in patterns:
             if p[0] == "<":  # a pattern of both sides is found by its left one
                 near = _words(p[2:].split(" > ")[0])
@@ -228,12 +230,22 @@ class Others:
             elif p[0] == ">":
                 near = _words(p[2:])
                 self.right.setdefault(near[0], set()).add(near[1] if len(near) > 1 else None)
+            else:
+                for side, mark in zip(marks, p[2:].split(" ")):
+                    side.add(mark)
+        self.near = self.left.keys() | self.right.keys()
+        # words at an end of the text have no mark there; a mark may have another form in lower case
+        self.edges = any("" in side for side in marks)
+        self.between = None
+        if marks[0] - {""} and marks[1] - {""}:
+            first, last = ("|".join(re.escape(m) for m in sorted(side - {""})) for side in marks)
+            self.between = re.compile(rf"(?:{first}){_BLANK.pattern}({_WORD.pattern})(?={_BLANK.pattern}(?:{last}))",
+                                      re.IGNORECASE)
 
     def _places(self, words: list[str]) -> set[int]:
         """Numbers of the words that a context of one side may extract."""
         found, n = set(), len(words)
-        near = self.left.keys() | self.right.keys()
-        for j in [j for j, w in enumerate(words) if w in near]:
+        for j in [j for j, w in enumerate(words) if w in self.near]:
             second = self.left.get(words[j])
             if second and j + 1 < n and (None in second or (j and words[j - 1] in second)):
                 found.add(j + 1)
@@ -242,22 +254,37 @@ class Others:
                 found.add(j - 1)
         return found
 
-    def add(self, text: str, base: list[Span] | None = None) -> None:
-        words = [_plain(w) for w in _WORD.findall(text)]
-        places = self._places(words)
-        if not places and not self.marks:
-            return
-        spans = [m.span() for m in _WORD.finditer(text)]
-        if self.marks:  # words that stand between marks or at an end
-            free = [False] + [_BLANK.fullmatch(text, a[1], b[0]) is not None for a, b in zip(spans, spans[1:])] + [False]
-            places |= {i for i in range(len(spans)) if not (free[i] or free[i + 1])}
+    def _ranges(self, text: str) -> set[tuple[int, int]]:
+        """Ranges of the words that some pattern may extract."""
+        found: set[tuple[int, int]] = set()
+        if self.near:
+            places = self._places([_plain(w) for w in _WORD.findall(text)])
+            if places:
+                spans = [m.span() for m in _WORD.finditer(text)]
+                found = {spans[i] for i in places}
+        if self.between:
+            found |= {m.span(1) for m in self.between.finditer(text)}
+        if self.edges:
+            if _RUN.search(text):  # a window may hold no whole token: any word can be at an end
+                found |= {m.span() for m in _WORD.finditer(text)}
+            else:
+                first = _WORD.search(text)
+                ends = [first.span()] if first else []
+                for m in _WORD.finditer(text, max(0, len(text) - 4 * _WINDOW)):
+                    ends[1:] = [m.span()]
+                found |= set(ends)
+                if len(text) > 4 * _WINDOW and len(ends) < 2:
+                    found |= {m.span() for m in _WORD.finditer(text)}
+        return found
+
+    def add(self, text: str) -> None:
         meets = None
-        for i in sorted(places):
-            here = [p for p in patterns_at(text, *spans[i]) if p in self.counts]
+        for start, end in self._ranges(text):
+            here = [p for p in patterns_at(text, start, end) if p in self.counts]
             if here and meets is None:
-                base = base_spans(text) if base is None else base
+                base = base_spans(text)
                 meets = _covered([*base, *((s, "", e) for s, e in identifiers(text, base))])
-            if here and not meets(*spans[i]):
+            if here and not meets(start, end):
                 for p in here:
                     self.counts[p] += 1
 
