@@ -8,18 +8,19 @@ conversations groups by the conversation's id, as a conversation is one record.
 
 Defined results: null roles count as ``user``, null texts as empty; the end mark inside a text
 is broken up, so a text cannot close its own turn; equal conversations have empty completions
-and are not usable; empty conversations have an empty prompt; turns are ordered by turn
+and are not usable; empty conversations have an empty prompt; very long conversations are one record
+each; turns are ordered by turn
 number, then role, then text, and repeated turns stay; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # The marks of the rendered format.
 OPEN, CLOSE, END = "<|", "|>", "<|end|>"
-BROKEN = "<​|"
+BROKEN = "<\u200b|"
 ASSISTANT = "assistant"
 _TURNS = "array<struct<role:string,text:string>>"
 
@@ -73,15 +74,23 @@ def preference_pairs(pairs: DataFrame, id_col: str, chosen: str = "chosen",
 
 
 def reply_pairs(conversations: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """(id, chosen, rejected) from single conversations: chosen ends with the last assistant
-    turn; rejected gives in its place the assistant's previous reply, which answers another
-    question, or an empty one.  Conversations without an assistant turn give no pair."""
-    rows = gather(conversations, id_col)
-    rows = rows.withColumn("at", F.expr(
-        f"filter(transform(turns, (t, i) -> if(t.role = '{ASSISTANT}', i, null)), x -> x is not null)"))
-    rows = rows.filter(F.size("at") > 0)
-    return rows.select(
-        id_col, F.expr("slice(turns, 1, element_at(at, -1) + 1)").alias("chosen"),
-        F.expr("concat(slice(turns, 1, element_at(at, -1)), array(named_struct("
-               f"'role', '{ASSISTANT}', 'text', if(size(at) > 1, turns[at[size(at) - 2]].text, ''))))")
-        .alias("rejected"))
+    """(id, chosen, rejected) from single conversations, one row each.
+
+    ``chosen`` is the whole conversation.  In ``rejected`` every assistant turn gives the assistant's
+    reply before it, which answers another question; the first reply stays, unless it is the only
+    one, which becomes empty.  So the common prefix ends at the first reply that differs from the one
+    before, and every later turn is in both completions.  Conversations without an assistant turn,
+    or with equal replies only, give a pair of equal sides, which is not usable."""
+    role, text = F.coalesce("role", F.lit("user")), F.coalesce("text", F.lit(""))
+    rows = conversations.select(F.col(id_col), "turn", role.alias("role"), text.alias("text"))
+    reply = F.when(F.col("role") == ASSISTANT, F.col("text"))
+    whole = Window.partitionBy(id_col)
+    so_far = whole.orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({"before": F.last(reply, ignorenulls=True).over(so_far), "replies": F.count(reply).over(whole)})
+    other = (F.when(F.col("role") != ASSISTANT, F.col("text")).when(F.col("before").isNotNull(), F.col("before"))
+             .when(F.col("replies") == 1, "").otherwise(F.col("text")))
+    turns = rows.withColumn("other", other).groupBy(id_col).agg(
+        F.sort_array(F.collect_list(F.struct("turn", "role", "text", "other"))).alias("t"))
+    return turns.select(
+        id_col, F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("chosen"),
+        F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["other"].alias("text"))).alias("rejected"))

@@ -12,13 +12,17 @@ The three masks leave no such window without a hit: for every window length from
 stays whole (a test enumerates them), so the search finds all alignments that verification
 would accept.
 
+Items below ``MIN_ITEM`` words are leaked by documents that hold their whole word run: hashes of
+all runs of their lengths are joined to the hashes of the items, and every word must agree.
+
 Words are lower-cased runs of letters and digits.  Documents are identified by a hash and the
 length of their text while hits are gathered, so copies are searched and verified once and
 null or repeated ids do no harm.
 
-Defined results: null or empty texts and items leak nothing; items below ``MIN_ITEM`` words
-are too short to tell a leak and are not searched; repeated rows keep their rows; extra
-columns are carried by ``drop_leaks`` and ignored by ``leaks``.
+Defined results: null or empty texts and items, and items without a word, leak nothing; very
+long texts are searched whole; items with equal text or a null id are reported each; of several
+alignments the one with most equal words counts; repeated rows keep their rows; an empty table
+gives an empty result; extra columns are carried by ``drop_leaks`` and ignored by ``leaks``.
 """
 
 from __future__ import annotations
@@ -52,6 +56,14 @@ def seeds(rows: DataFrame, keep: list[str]) -> DataFrame:
             .filter("seed IS NOT NULL"))
 
 
+def runs(rows: DataFrame, keep: list[str], lengths: list[int]) -> DataFrame:
+    """(*keep, at, seed) for every run of ``lengths`` words of the word hashes ``h``."""
+    spots = rows.select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("at"))
+    each = [F.when(F.col("at") + n <= F.size("h"),
+                   F.xxhash64(F.lit(-n), *[F.get("h", F.col("at") + o) for o in range(n)])) for n in lengths]
+    return spots.select(*keep, "at", F.explode(F.array(*each)).alias("seed")).filter("seed IS NOT NULL")
+
+
 def hashed(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     return (df.select(*keep, F.transform(words(text), lambda w: F.xxhash64(w)).alias("h"))
             .filter(F.size("h") > 0))
@@ -68,10 +80,10 @@ def aligned() -> Column:
 
 
 def holds_window() -> Column:
-    """Some window of the alignment ``m`` agrees in ``PERCENT`` of its words."""
+    """Some window of the alignment ``m`` agrees in ``PERCENT`` of its words (short items: in all)."""
     width = f"least({WINDOW}, size(m))"
-    return F.expr(f"exists(sequence(0, size(m) - {width}), i -> "
-                  f"100 * aggregate(slice(m, i + 1, {width}), 0, (s, x) -> s + x) >= {PERCENT} * {width})")
+    return F.expr(f"exists(sequence(0, size(m) - {width}), i -> 100 * aggregate(slice(m, i + 1, {width}), 0, "
+                  f"(s, x) -> s + x) >= if(size(m) < {MIN_ITEM}, 100, {PERCENT}) * {width})")
 
 
 def leaking_texts(docs: DataFrame, items: DataFrame, text_col: str = "text",
@@ -81,13 +93,20 @@ def leaking_texts(docs: DataFrame, items: DataFrame, text_col: str = "text",
     scratch = Scratch(docs.sparkSession, "leaks")
     tests = scratch.write(
         items.select(F.col(item_text).alias("text"), F.col(item_col).alias("item_id"))
-        .groupBy("text").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
-        .filter(F.size(words("text")) >= MIN_ITEM)
+        .groupBy("text").agg(F.collect_set(F.struct("item_id")).alias("ids"))  # structs: null ids count
+        .filter(F.size(words("text")) > 0)
         .select(F.xxhash64("text").alias("item"), "ids", "text", words("text").alias("iw")), "items")
-    index = scratch.write(seeds(hashed(tests, ["item"]), ["item"])
-                          .select("seed", "item", F.col("at").alias("item_at")).distinct(), "index")
+    short = [r.n for r in tests.filter(F.size("iw") < MIN_ITEM).select(F.size("iw").alias("n")).distinct().collect()]
+    hashes = hashed(tests, ["item"])
+    found = seeds(hashes.filter(F.size("h") >= MIN_ITEM), ["item"])
+    for n in short:  # at most MIN_ITEM - 1 lengths
+        found = found.unionByName(runs(hashes.filter(F.size("h") == n), ["item"], [n]))
+    index = scratch.write(found.select("seed", "item", F.col("at").alias("item_at")).distinct(), "index")
     texts = docs.select(F.col(text_col).alias("text"))
-    found = seeds(hashed(texts.select(text_key("text").alias("key"), "text"), ["key"]), ["key"])
+    hashes = hashed(texts.select(text_key("text").alias("key"), "text"), ["key"])
+    found = seeds(hashes, ["key"])
+    if short:
+        found = found.unionByName(runs(hashes, ["key"], sorted(short)))
     hits = scratch.write(
         found.join(broadcast_if_small(index, SEED_BYTES, 32 << 20), "seed")
         .select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "hits")
@@ -100,7 +119,7 @@ def leaking_texts(docs: DataFrame, items: DataFrame, text_col: str = "text",
         hits.join(hit_texts, "key").join(tests.select("item", "ids", "iw"), "item")
         .select("key", "ids", aligned().alias("m")), "aligned").filter(holds_window())
     return scratch.write(
-        pairs.select("key", F.explode("ids").alias("item_id"),
+        pairs.select("key", F.explode("ids.item_id").alias("item_id"),
                      F.expr("aggregate(m, 0, (s, x) -> s + x)").alias("matched"))
         .groupBy("key", "item_id").agg(F.max("matched").alias("matched")), "found")
 

@@ -157,12 +157,14 @@ class Model:
         at, v = weights(counts, self.idf)
         return v @ self.matrix[at] + self.matrix[-1]
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """Language, its probability, and the text's rarity."""
         if not self.languages or not text or not has_letter(text):
-            return UNKNOWN, 0.0
-        p = softmax(self.logits(term_counts(text)) / self.temperature)
+            return UNKNOWN, 0.0, 0.0
+        counts = term_counts(text)
+        p = softmax(self.logits(counts) / self.temperature)
         k = int(p.argmax())
-        return self.languages[k], float(p[k])
+        return self.languages[k], float(p[k]), rarity(counts, self.idf)
 
 
 def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
@@ -228,7 +230,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None,
              lang_out: str = "lang_pred", score_out: str = "score", rarity_out: str | None = None) -> DataFrame:
     """The columns ``keep`` (all by default; those named like an output go), the predicted
-    language and its calibrated probability; ``rarity_out``, if given, its text's rarity."""
+    language and its calibrated probability; ``rarity_out``, if given, its text's rarity (0 where
+    the language is unknown)."""
     kept = [c for c in keep or docs.columns if c not in (lang_out, score_out, rarity_out)]
     schema = docs.select(*kept).schema.add(lang_out, "string").add(score_out, "double")
     if rarity_out:
@@ -240,12 +243,11 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
             found = [model.predict(t) for t in b.column(n).to_pylist()]
             more, names = [], [*b.schema.names[:n], lang_out, score_out]
             if rarity_out:
-                more = [pa.array([rarity(term_counts(t or ""), model.idf) for t in b.column(n).to_pylist()],
-                                 pa.float64())]
+                more = [pa.array([x for _, _, x in found], pa.float64())]
                 names.append(rarity_out)
             return pa.RecordBatch.from_arrays(
-                [*b.columns[:n], pa.array([x for x, _ in found], pa.string()),
-                 pa.array([p for _, p in found], pa.float64()), *more], names=names)
+                [*b.columns[:n], pa.array([x for x, _, _ in found], pa.string()),
+                 pa.array([p for _, p, _ in found], pa.float64()), *more], names=names)
         return fn
 
     return map_arrow(docs.select(*kept, F.col(text_col).alias("text to read")), make, schema)

@@ -43,12 +43,12 @@ WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{
 b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS iw
       FROM benchmark WHERE text IS NOT NULL),
 dp AS (SELECT doc_id, unnest(dw) AS w, generate_subscripts(dw, 1) AS p FROM d),
-bp AS (SELECT item_id, len(iw) AS n, unnest(iw) AS w, generate_subscripts(iw, 1) AS q FROM b WHERE len(iw) >= 8),
+bp AS (SELECT item_id, len(iw) AS n, unnest(iw) AS w, generate_subscripts(iw, 1) AS q FROM b),
 al AS (SELECT doc_id, item_id, n, p - q AS shift, list(q) AS qs
-       FROM dp JOIN bp USING (w) GROUP BY ALL HAVING count(*) * 100 >= 80 * least(13, n)),
+       FROM dp JOIN bp USING (w) GROUP BY ALL HAVING count(*) * 100 >= CASE WHEN n < 8 THEN 100 ELSE 80 END * least(13, n)),
 ok AS (SELECT doc_id, item_id, len(qs) AS matched FROM al
        WHERE len(list_filter(range(1, n - least(13, n) + 2), lambda i:
-             100 * len(list_filter(qs, lambda x: x >= i AND x < i + least(13, n))) >= 80 * least(13, n))) > 0)
+             100 * len(list_filter(qs, lambda x: x >= i AND x < i + least(13, n))) >= CASE WHEN n < 8 THEN 100 ELSE 80 END * least(13, n))) > 0)
 SELECT doc_id, item_id, max(matched)::INT AS matched FROM ok GROUP BY ALL
 """
 
@@ -115,25 +115,28 @@ WITH t AS (SELECT conv_id, coalesce(role, 'user') AS role, coalesce(text, '') AS
                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'),
                                      coalesce(text, '')) AS p
            FROM conversations),
-a AS (SELECT conv_id, max(p) AS last, max(p) FILTER (p < top) AS before FROM
-      (SELECT *, max(p) OVER (PARTITION BY conv_id) AS top FROM t WHERE role = 'assistant') GROUP BY 1),
-r AS (SELECT a.conv_id, a.last, coalesce(b.text, '') AS reply FROM a
-      LEFT JOIN t b ON b.conv_id IS NOT DISTINCT FROM a.conv_id AND b.p = a.before),
-s AS (SELECT t.conv_id, p, last, reply, text, '<|' || role || '|>' || chr(10) || replace(text, '<|', '<' || chr(8203) || '|') || '<|end|>' || chr(10) AS out
-      FROM t JOIN r ON t.conv_id IS NOT DISTINCT FROM r.conv_id WHERE p <= last),
-f AS (SELECT conv_id, any_value(last) AS last, any_value(replace(reply, '<|', '<' || chr(8203) || '|')) AS reply,
-             any_value(reply) AS raw, max(text) FILTER (p = last) AS final,
-             max(replace(text, '<|', '<' || chr(8203) || '|')) FILTER (p = last) AS said,
-             coalesce(string_agg(out, '' ORDER BY p) FILTER (p < last), '') AS head,
-             max(out) FILTER (p = last) AS tail FROM s GROUP BY 1)
-SELECT conv_id, (CASE WHEN raw = final THEN last ELSE last - 1 END)::INT AS n_common,
-       CASE WHEN raw = final THEN head || tail ELSE head END AS prompt,
-       CASE WHEN raw = final THEN '' ELSE tail END AS chosen,
-       CASE WHEN raw = final THEN '' ELSE '<|assistant|>' || chr(10) || reply || '<|end|>' || chr(10) END AS rejected,
-       CASE WHEN raw = final THEN '' ELSE '14:' || (21 + length(said)) END AS chosen_mask,
-       CASE WHEN raw = final THEN '' ELSE '14:' || (21 + length(reply)) END AS rejected_mask,
-       raw <> final AS usable
-FROM f
+a AS (SELECT *, last_value(CASE WHEN role = 'assistant' THEN text END IGNORE NULLS) OVER (
+                  PARTITION BY conv_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+             count(*) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS k FROM t),
+s AS (SELECT conv_id, p, role, text, CASE WHEN role <> 'assistant' THEN text WHEN before IS NOT NULL THEN before
+             WHEN k = 1 THEN '' ELSE text END AS alt FROM a),
+n AS (SELECT conv_id, coalesce(min(p) FILTER (text <> alt), max(p) + 1) - 1 AS n FROM s GROUP BY 1),
+o AS (SELECT s.conv_id, p, n, role,
+             '<|' || role || '|>' || chr(10) || replace(text, '<|', '<' || chr(8203) || '|') || '<|end|>' || chr(10) AS c,
+             '<|' || role || '|>' || chr(10) || replace(alt, '<|', '<' || chr(8203) || '|') || '<|end|>' || chr(10) AS r
+      FROM s JOIN n ON s.conv_id IS NOT DISTINCT FROM n.conv_id),
+m AS (SELECT *, sum(CASE WHEN p > n THEN length(c) ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY p) AS ce,
+                sum(CASE WHEN p > n THEN length(r) ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY p) AS re FROM o)
+SELECT conv_id, any_value(n)::INT AS n_common,
+       coalesce(string_agg(c, '' ORDER BY p) FILTER (p <= n), '') AS prompt,
+       coalesce(string_agg(c, '' ORDER BY p) FILTER (p > n), '') AS chosen,
+       coalesce(string_agg(r, '' ORDER BY p) FILTER (p > n), '') AS rejected,
+       coalesce(string_agg((ce - length(c) + length(role) + 5)::BIGINT || ':' || (ce - 1)::BIGINT, ',' ORDER BY p)
+                FILTER (p > n AND role = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg((re - length(r) + length(role) + 5)::BIGINT || ':' || (re - 1)::BIGINT, ',' ORDER BY p)
+                FILTER (p > n AND role = 'assistant'), '') AS rejected_mask,
+       max(p) > any_value(n) AS usable
+FROM m GROUP BY conv_id
 """
 
 

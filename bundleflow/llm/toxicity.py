@@ -15,6 +15,8 @@ Lexicon and model are fitted on a bounded sample of labelled rows (``SAMPLE_ROWS
 of the id; rows that share their least shingle hash count once); scoring reads whole texts.
 
 Defined results: null and empty texts have no hits and get the score of a text without hits;
+very long texts and tokens are read whole; of several matches of a token the one of fewest edits
+counts, and equal scores stay equal;
 without labels of both kinds the lexicon is empty; null labels and null ids train nothing;
 repeated rows keep their rows; extra columns are ignored.
 """
@@ -37,11 +39,11 @@ MIN_DOCS = 3  # and more where so many rows of one kind could be chance
 MAX_CLEAN_SHARE = 0.01
 STEM_LENGTHS = range(4, 9)
 STEM_WORDS = 3
-MAX_ENTRIES = 2_000
 WINDOW = 8
 TOKEN_CACHE = 200_000
 STATES = 100_000
-MAX_TOKEN = 64
+# Longer tokens are matched whole like all others, but not remembered.
+KEPT_TOKEN = 64
 PUNCTUATION = " \t.,;:!?\"'()[]{}<>|*#$%&-_=+~`/\\“”«»„‚‘’…"
 QUOTES = "\"“”«»„"
 # Words that report speech.
@@ -134,7 +136,7 @@ class LexiconAutomaton:
 
 
 def clean_token(raw: str) -> str:
-    return raw.strip(PUNCTUATION)[:MAX_TOKEN]
+    return raw.strip(PUNCTUATION)
 
 
 @dataclass
@@ -155,9 +157,11 @@ class Scorer:
 
         class Tokens(dict):
             def __missing__(self, raw: str) -> int:
-                if len(self) >= TOKEN_CACHE:
-                    self.clear()
-                code = self[raw] = scorer._code(raw)
+                code = scorer._code(raw)
+                if len(raw) <= KEPT_TOKEN:
+                    if len(self) >= TOKEN_CACHE:
+                        self.clear()
+                    self[raw] = code
                 return code
 
         self.tokens = Tokens()
@@ -282,8 +286,7 @@ def learn_lexicon(sample: DataFrame) -> tuple[list[str], list[str]]:
         if not any(s.startswith(k) for k in kept):
             kept.append(s)
     words = {t[1:]: n for t, n in good.items() if t[0] == "=" and not any(t[1:].startswith(k) for k in kept)}
-    best = sorted(words, key=lambda w: (-words[w], w))[:MAX_ENTRIES]
-    return sorted(best), sorted(kept, key=lambda s: (-stems[s], s))[:MAX_ENTRIES]
+    return sorted(words), sorted(kept, key=lambda s: (-stems[s], s))  # bounded by the sample
 
 
 def _spared(sample: DataFrame, words: list[str], stems: list[str]) -> frozenset[str]:

@@ -20,13 +20,12 @@ def brute(docs, items):
     for i, t in items:
         iw = split(t)
         width = min(d.WINDOW, len(iw))
-        if len(iw) < d.MIN_ITEM:
-            continue
+        percent = d.PERCENT if len(iw) >= d.MIN_ITEM else 100
         for doc, text in docs:
             dw = split(text)
             for shift in range(-len(iw) + 1, len(dw)):
                 m = [int(0 <= k + shift < len(dw) and dw[k + shift] == w) for k, w in enumerate(iw)]
-                if any(100 * sum(m[k:k + width]) >= d.PERCENT * width for k in range(len(m) - width + 1)):
+                if any(100 * sum(m[k:k + width]) >= percent * width for k in range(len(m) - width + 1) if iw):
                     out[doc, i] = max(out.get((doc, i), 0), sum(m))
     return out
 
@@ -68,3 +67,14 @@ def test_native(odd_docs, llm):
     items = llm.createDataFrame([(1, "quick brown fox leaps over the lazy dog")], "item_id long, text string")
     plan = d.leaks(odd_docs, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_items_and_null_ids(llm):
+    """Items below the seeds' length leak by their whole word run; null ids are reported."""
+    docs = llm.createDataFrame([(1, "well, To be or not to be it is"), (2, "to be or not be"), (3, "Yes"), (4, None),
+                                (5, "a b c d e f g h i j k l m n o p")], "doc_id long, text string")
+    items = llm.createDataFrame([(1, "to be, or NOT to be"), (2, "yes"), (None, "d e f g h i j k l m"), (3, ""), (None, "yes")],
+                                "item_id long, text string")
+    got = sorted((r.doc_id, str(r.item_id), r.matched) for r in d.leaks(docs, items).collect())
+    assert got == [(1, "1", 6), (3, "2", 1), (3, "None", 1), (5, "None", 10)]
+    assert sorted(r.doc_id for r in d.drop_leaks(docs, items).collect()) == [2, 4]

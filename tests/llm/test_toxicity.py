@@ -75,3 +75,21 @@ def test_odd_rows(odd_docs, no_docs, llm):
     rows = got.collect()
     assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
     assert got.filter(F.col("doc_id").isin(2, 3)).select("score").distinct().count() == 1
+
+
+def test_long_tokens_and_large_lexicons(llm):
+    """Tokens that share 64 characters stay apart, and every entry of a lexicon is used."""
+    long = "x" * 80
+    automaton = t.LexiconAutomaton([long + "bad", *(f"entry{i}" for i in range(5000))], [])
+    scorer = t.Scorer(t.Model([long + "bad"], []))
+    assert scorer._code(long + "bad") == 1 and scorer._code(long + "completely") == 0
+    assert scorer.features(f"{long}bad {long}completely")[1] > 0
+    assert all(automaton.distance(f"entry{i}") == 0 for i in range(5000))
+    rows = [(i, " ".join(f"foul{chr(97 + i % 26)}{k}z" for k in range(i % 7 * 400, i % 7 * 400 + 400)) + " text", 1) for i in range(84)]
+    rows += [(1000 + i, f"clean words of row {i} and more text", 0) for i in range(200)]
+    docs = llm.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = llm.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = t.fit(docs, labels)
+    assert len(model.words) + len(model.stems) > 0
+    found = t.score(docs, model, keep=["doc_id"]).collect()
+    assert all((r.score > 0.5) == (r.doc_id < 1000) for r in found)
