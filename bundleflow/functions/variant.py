@@ -23,6 +23,36 @@ def parse(text: ColumnOrName, strict: bool = False) -> Column:
     return F.parse_json(_col(text)) if strict else F.try_parse_json(_col(text))
 
 
+# The elements of a bundle beside its entries, and a sender's extension, whose name
+# differs from one of them by case only and so needs a struct of its own.
+HEADER_FIELDS = ("resourceType", "id", "type", "timestamp", "identifier", "total", "link", "signature", "issues",
+                 "implicitRules", "language", "meta")
+EXTENSION_FIELDS = ("Meta",)
+
+
+def parse_parts(text: ColumnOrName) -> Column:
+    """struct<header, entries> of a bundle's text, for documents beyond the size that one VARIANT
+    value may have: every entry becomes a VARIANT of its own, straight from the text, and the header
+    an object of the elements in ``HEADER_FIELDS`` and ``EXTENSION_FIELDS``.  NULL unless ``entry``
+    is an array whose entries all parse.
+
+    The fields are read from a lambda's variable: read from the column, each would be pruned to a
+    parse of the whole text for itself.
+    """
+    fields = ", ".join(f"`{f}`: variant" for f in HEADER_FIELDS)
+    whole = F.from_json(_col(text), f"struct<{fields}, entry: array<variant>, `_unread`: string>",
+                        {"columnNameOfCorruptRecord": "_unread"})
+    more = F.from_json(_col(text), "struct<" + ", ".join(f"`{f}`: variant" for f in EXTENSION_FIELDS) + ">")
+
+    def read(x: Column) -> Column:
+        pairs = [(f, x["whole"][f]) for f in HEADER_FIELDS] + [(f, x["more"][f]) for f in EXTENSION_FIELDS]
+        found = F.map_filter(F.create_map(*[y for f, v in pairs for y in (F.lit(f), v)]), lambda _, v: v.isNotNull())
+        return F.when(x["whole"]["_unread"].isNull() & x["whole"]["entry"].isNotNull(), F.struct(
+            F.to_variant_object(found).alias("header"), x["whole"]["entry"].alias("entries")))
+
+    return F.get(F.transform(F.array(F.struct(whole.alias("whole"), more.alias("more"))), read), F.lit(0))
+
+
 _SIMPLE = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -96,15 +126,6 @@ def typed(v: ColumnOrName, ddl: str) -> Column:
     return F.try_variant_get(_col(v), "$", ddl)
 
 
-def typed_via_json(v: ColumnOrName, ddl: str) -> Column:
-    """V21 as the reference writes it: ``from_json(to_json(v), ddl)``."""
-    return F.from_json(F.to_json(_col(v)), ddl)
-
-
-def is_json_null(v: ColumnOrName) -> Column:
-    return F.is_variant_null(_col(v))
-
-
 def decode_base64_text(c: ColumnOrName) -> Column:
     """base64 payload to UTF-8 text."""
     return F.unbase64(_col(c)).cast("string")

@@ -1,7 +1,7 @@
 """Text bronze and variant bronze.
 
-Bronze row: (file_metadata, ingest_time, bundle_uuid, value).  Variant bronze
-adds ``fhir`` = ``try_parse_json(value)`` (NULL when malformed) and drops the text.
+Bronze row: (file_metadata, ingest_time, bundle_uuid, value).  Variant bronze holds the parsed
+document in ``fhir`` (and ``parts``, see ``variant_bronze``) and keeps the text of malformed rows only.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.variant import parse
+from ..functions.variant import parse, parse_parts
 
 BRONZE_COLUMNS = ["file_metadata", "ingest_time", "bundle_uuid", "value"]
 
@@ -42,15 +42,28 @@ def bronze_from_text(df: DataFrame, id_mode: str = "hash", source_key: Column |
 
 
 def variant_bronze(bronze: DataFrame) -> DataFrame:
-    """Parse once; malformed text becomes NULL ``fhir`` (kept for quarantine)."""
-    return bronze.select("bundle_uuid", "ingest_time", "file_metadata", parse("value").alias("fhir"))
-
-
-def valid(variant_bronze_df: DataFrame) -> DataFrame:
-    """Rows whose text parsed."""
-    return variant_bronze_df.where(F.col("fhir").isNotNull())
-
-
-def quarantine(bronze: DataFrame) -> DataFrame:
-    """V23 complement: bronze rows whose text does not parse, with their text kept."""
-    return bronze.where(parse("value").isNull())
+    """Parse once.
+
+    ``fhir`` is the whole document, and ``parts`` NULL.  A document beyond the size of one VARIANT
+    value is cut: ``fhir`` is its header and ``parts`` its entries, each a VARIANT (``entry_array``
+    reads either form).  Text that is no JSON has neither and stays in ``unparsed`` for the
+    quarantine; no row is dropped here.
+    """
+    rows = bronze.select("bundle_uuid", "ingest_time", "file_metadata", "value", parse("value").alias("_whole"))
+    # the second look is only taken at rows that the first could not read
+    rows = rows.withColumn("_cut", parse_parts(F.when(F.col("_whole").isNull(), F.col("value"))))
+    fhir = F.coalesce("_whole", "_cut.header")
+    return rows.select("bundle_uuid", "ingest_time", "file_metadata", fhir.alias("fhir"),
+                       F.col("_cut.entries").alias("parts"), F.when(fhir.isNull(), F.col("value")).alias("unparsed"))
+
+
+def entry_array(fhir: str = "fhir", parts: str = "parts") -> Column:
+    """The entries of a variant-bronze row as ARRAY<VARIANT>; NULL where there are none."""
+    return F.coalesce(F.col(parts), F.try_variant_get(F.col(fhir), "$.entry", "array<variant>"))
+
+
+def quarantine(variant_rows: DataFrame) -> DataFrame:
+    """The bronze rows whose text does not parse, with their text, from the variant bronze
+    (nothing is parsed a second time)."""
+    return variant_rows.where(F.col("fhir").isNull()).select(
+        "file_metadata", "ingest_time", "bundle_uuid", F.col("unparsed").alias("value"))

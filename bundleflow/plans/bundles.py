@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.variant import as_array, get, to_variant
 from ..operators.pivot import pivot_fixed
+from .bronze import entry_array
 
 # The keys of the Meta object and the shape of a bundle's meta.
 META_KEYS = ["Destinations", "Transmission", "DataModel", "EventType", "Logs"]
@@ -19,8 +20,7 @@ def bundle_header(vb: DataFrame) -> DataFrame:
     # pivot of a single-object explode); keys equal up to case (meta / Meta)
     # never become same-named intermediate columns.
     return vb.where(F.col("fhir").isNotNull()).select(
-        "bundle_uuid", "file_metadata",
-        get("fhir", "$['entry']").alias("entry"),
+        "bundle_uuid", "file_metadata", entry_array().alias("entry"),
         get("fhir", "$['id']", "string").alias("bundle_id"),
         get("fhir", "$['resourceType']", "string").alias("bundle_resourceType"),
         get("fhir", "$['type']", "string").alias("bundle_type"),
@@ -34,7 +34,7 @@ def entry_table(header: DataFrame) -> DataFrame:
     """One row per entry with the request struct and the resource variant."""
     e = header.select(
         *[c for c in header.columns if c != "entry"],
-        F.posexplode(as_array("entry")).alias("entry_pos", "entry_value"))
+        F.posexplode("entry").alias("entry_pos", "entry_value"))
     return e.select(
         *[c for c in header.columns if c != "entry"], "entry_pos",
         get("entry_value", "$.fullUrl", "string").alias("fullUrl"),
@@ -61,24 +61,29 @@ def nested_resources(entries: DataFrame, inner_type: str) -> DataFrame:
 
 
 def resource_arrays(vb: DataFrame, types: list[str]) -> DataFrame:
-    """Per bundle, one VARIANT array per resource type, entries in bundle order.
+    """Per bundle, one array of VARIANT entries per resource type, in bundle order.
 
     The reference explodes the entries, pivots on resource type and regroups by
     bundle (two aggregations).  All entries of a bundle live in one bronze row,
     so the same arrays are a per-row filter of that row's ``entry`` array: no
-    shuffle at all.  A type absent from a bundle gives an empty array.
+    shuffle at all.  A type absent from a bundle gives an empty array.  The arrays stay arrays, as
+    those of a large bundle do not fit one VARIANT; ``array_heads`` makes one of their first entries.
     """
-    arr = F.try_variant_get("fhir", "$.entry", "array<variant>")
-    staged = vb.where(F.col("fhir").isNotNull()).select("bundle_uuid", arr.alias("_entries"))
+    staged = vb.where(F.col("fhir").isNotNull()).select("bundle_uuid", entry_array().alias("_entries"))
 
     def of_type(t: str) -> Column:
         kept = F.filter(F.coalesce(F.col("_entries"), F.array().cast("array<variant>")),
                         lambda e: F.try_variant_get(e, "$.resource.resourceType", "string") == t)
-        return to_variant(kept).alias(t)
+        return kept.alias(t)
 
     return staged.select("bundle_uuid", *[of_type(t) for t in types])
 
 
+def array_heads(arrays: DataFrame, types: list[str], n: int) -> DataFrame:
+    """The first ``n`` entries of each type's array as one VARIANT, for root-array paths."""
+    return arrays.select("bundle_uuid", *[to_variant(F.slice(t, 1, n)).alias(t) for t in types])
+
+
 def resource_arrays_grouped(entries: DataFrame, types: list[str]) -> DataFrame:
     """C20 in the reference's shape (explode, pivot by type, regroup by bundle) over entry rows.
 
@@ -92,6 +97,6 @@ def resource_arrays_grouped(entries: DataFrame, types: list[str]) -> DataFrame:
 
     def ordered(c: str) -> Column:
         arr = F.array_sort(F.col(f"`{c}`"), lambda a, b: (a["entry_pos"] - b["entry_pos"]).cast("int"))
-        return to_variant(F.transform(arr, lambda x: x["e"])).alias(c)
+        return F.transform(arr, lambda x: x["e"]).alias(c)
 
     return p.select("bundle_uuid", *[ordered(t) for t in types])

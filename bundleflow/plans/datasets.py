@@ -31,6 +31,11 @@ def bronze_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
                        lambda: bronze.variant_bronze(bronze_text(spark, sf_dir)))
 
 
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bundles that did not parse, with their text (V23), read from the stored hop."""
+    return bronze.quarantine(bronze_variant(spark, sf_dir))
+
+
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entry rows, partitioned by ``resourceType``.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variant import as_object, get, object_to_struct, schema_agg
+from .bronze import entry_array
 
 
 def bundle_meta(vb: DataFrame) -> DataFrame:
@@ -29,25 +30,26 @@ def meta_exploded(vb: DataFrame) -> DataFrame:
 def entries(vb: DataFrame) -> DataFrame:
     """One row per bundle entry (V12): the entry-level form of the long table.
 
-    ``dup_url`` flags entries whose ``fullUrl`` occurs more than once in the same
-    bundle; it is computed inside the bundle row (sort + neighbour compare), so no
-    shuffle is needed to find them.  Bundles without ``entry`` give no rows.
+    ``dup_url`` flags entries whose ``fullUrl`` occurs more than once in the same bundle.  The flags
+    are found inside the bundle row, before it is exploded (urls sorted with their places, compared
+    with their neighbours, put back in order), so they need no shuffle and no row carries the urls
+    of its bundle.  Bundles without ``entry`` give no rows.
     """
-    arr = F.try_variant_get("fhir", "$.entry", "array<variant>")
-    # all fullUrls of the bundle in one cast (no per-element lambda), sorted
-    urls_of = F.try_variant_get("fhir", "$.entry", "array<struct<fullUrl: string>>")["fullUrl"]
-    staged = vb.where(F.col("fhir").isNotNull()).select(
-        "bundle_uuid", arr.alias("_arr"), F.array_sort(urls_of).alias("_urls"))
-    urls = F.col("_urls")
-    present = F.array_compact(urls)
-    # neighbour compare on the sorted list, only for bundles that do hold a repeat
-    dups = F.when(F.size(F.array_distinct(present)) < F.size(present), F.array_distinct(F.filter(
-        urls, lambda u, i: F.when(i > 0, u == F.element_at(urls, i)).otherwise(F.lit(False))))
-    ).otherwise(F.array().cast("array<string>"))
+    # all fullUrls of the bundle in one cast (no per-element lambda unless it was cut)
+    urls = F.coalesce(F.transform("parts", lambda e: F.try_variant_get(e, "$.fullUrl", "string")),
+                      F.try_variant_get("fhir", "$.entry", "array<struct<fullUrl: string>>")["fullUrl"])
+    staged = vb.where(F.col("fhir").isNotNull()).select("bundle_uuid", entry_array().alias("_arr"), urls.alias("_urls"))
     # NULL urls group together in the reference's pivot, so several of them count as duplicates
-    null_urls = F.size(urls) - F.size(present)
-    e = staged.select("bundle_uuid", dups.alias("_dups"), null_urls.alias("_nulls"),
-                      F.posexplode("_arr").alias("entry_pos", "entry"))
+    repeats = F.size(F.array_distinct("_urls")) < F.size("_urls")
+    staged = staged.withColumn("_sorted", F.when(repeats, F.sort_array(
+        F.transform("_urls", lambda u, i: F.struct(u.alias("url"), i.alias("place"))))))
+    flags = F.expr("transform(_sorted, (x, i) -> struct(x.place, (i > 0 and get(_sorted, i - 1).url <=> x.url) "
+                   "or (i + 1 < size(_sorted) and get(_sorted, i + 1).url <=> x.url) as dup))")
+    staged = staged.withColumn("_flags", flags)
+    staged = staged.select("bundle_uuid", "_arr", F.coalesce(
+        F.transform(F.sort_array("_flags"), lambda x: x["dup"]), F.transform("_arr", lambda _: F.lit(False))).alias("_dup"))
+    e = staged.select("bundle_uuid", F.posexplode(F.arrays_zip(F.col("_arr").alias("entry"), F.col("_dup").alias("dup_url")))
+                      .alias("entry_pos", "_x")).select("bundle_uuid", "entry_pos", "_x.*")
     full_url = get("entry", "$.fullUrl", "string")
     return e.select(
         "bundle_uuid",
@@ -55,9 +57,7 @@ def entries(vb: DataFrame) -> DataFrame:
         full_url.alias("fullUrl"),
         get("entry", "$.resource.resourceType", "string").alias("resourceType"),
         F.sha2(F.concat(F.col("bundle_uuid"), full_url), 256).alias("resource_uuid"),
-        # never NULL: a NULL flag would drop the entry from both silver branches
-        F.coalesce(F.when(full_url.isNull(), F.col("_nulls") > 1)
-                   .otherwise(F.array_contains("_dups", full_url)), F.lit(False)).alias("dup_url"),
+        "dup_url",
         get("entry", "$.request").alias("request"),
         get("entry", "$.resource").alias("resource"),
     )

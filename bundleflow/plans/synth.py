@@ -9,8 +9,9 @@ bundles that Spark derives from them:
   bundles (nested bundles, C17-C19).
 
 One rule holds at every size: an order is one bundle, a customer is one outer bundle,
-however many rows they have, as a bundle is one document.  Its size is bounded by what a
-VARIANT value may hold; a larger document fails to parse and is quarantined.
+however many rows they have, as a bundle is one document.  A document beyond the size of one
+VARIANT value is parsed entry by entry (``bronze.variant_bronze``); the bound is that of a text
+value, 2 GB.
 
 Scale notes
 -----------
@@ -173,25 +174,38 @@ def file_metadata(path: Column, name: Column, value: Column, mtime: Column) -> C
     )
 
 
+# Entries of a cut inner bundle that one entry of the outer bundle carries.
+PART_ENTRIES = 1000
+
+
 def customer_bundles_variant(vb: DataFrame) -> DataFrame:
     """Variant-bronze rows of per-customer ``batch`` bundles built straight from stored order
-    bundles: the inner bundles stay VARIANT (no JSON text round trip)."""
-    ref = F.try_variant_get("fhir", "$.entry[0].resource.customer.reference", "string")
+    bundles: the inner bundles stay VARIANT (no JSON text round trip).
+
+    The entries of the outer bundle are values of their own (``parts``), so that a customer's
+    orders may exceed one VARIANT together; an inner bundle that was cut is carried by several
+    entries of the same url, each with ``PART_ENTRIES`` of its entries.
+    """
+    first = F.coalesce(F.try_variant_get(F.get("parts", F.lit(0)), "$.resource.customer.reference", "string"),
+                       F.try_variant_get("fhir", "$.entry[0].resource.customer.reference", "string"))
     b = vb.where(F.col("fhir").isNotNull()).select(
         F.try_variant_get("fhir", "$.id", "string").alias("bundle_id"),
-        F.element_at(F.split(ref, "/"), -1).cast("long").alias("o_custkey"),
-        "fhir",
-    )
-    g = (b.where(F.col("o_custkey").isNotNull()).groupBy("o_custkey")
-         .agg(F.collect_list(F.struct("bundle_id", "fhir")).alias("inner")))
+        F.element_at(F.split(first, "/"), -1).cast("long").alias("o_custkey"), "fhir", "parts")
+    slices = F.expr(f"transform(sequence(0, (size(parts) - 1) div {PART_ENTRIES}), "
+                    f"i -> slice(parts, cast(i * {PART_ENTRIES} + 1 as int), {PART_ENTRIES}))")
+    head = [F.try_variant_get("fhir", f"$.{f}", "variant").alias(f) for f in ("resourceType", "type", "id", "timestamp")]
+    inner = F.when(F.col("parts").isNull(), F.array("fhir")).otherwise(
+        F.transform(slices, lambda e: F.to_variant_object(F.struct(*head, e.alias("entry")))))
+    pieces = b.where(F.col("o_custkey").isNotNull()).select(
+        "bundle_id", "o_custkey", F.posexplode(inner).alias("part", "piece"))
+    g = pieces.groupBy("o_custkey").agg(F.collect_list(F.struct("bundle_id", "part", "piece")).alias("inner"))
     ordered = F.array_sort("inner", lambda x, y: F.when(x["bundle_id"] < y["bundle_id"], -1)
-                           .when(x["bundle_id"] > y["bundle_id"], 1).otherwise(0))
-    entries = F.transform(ordered, lambda x: F.struct(
-        F.concat(F.lit("Bundle/"), x["bundle_id"]).alias("fullUrl"), x["fhir"].alias("resource")))
+                           .when(x["bundle_id"] > y["bundle_id"], 1).otherwise(x["part"] - y["part"]))
+    entries = F.transform(ordered, lambda x: F.to_variant_object(F.struct(
+        F.concat(F.lit("Bundle/"), x["bundle_id"]).alias("fullUrl"), x["piece"].alias("resource"))))
     outer_id = F.concat(F.lit("customer-"), F.col("o_custkey").cast("string"))
     fhir = F.to_variant_object(F.struct(
-        F.lit("Bundle").alias("resourceType"), F.lit(OUTER_BUNDLE_TYPE).alias("type"),
-        outer_id.alias("id"), entries.alias("entry")))
+        F.lit("Bundle").alias("resourceType"), F.lit(OUTER_BUNDLE_TYPE).alias("type"), outer_id.alias("id")))
     meta = F.struct(
         F.concat(F.lit("bundles/customers/"), outer_id, F.lit(".json")).alias("file_path"),
         F.concat(outer_id, F.lit(".json")).alias("file_name"),
@@ -200,4 +214,5 @@ def customer_bundles_variant(vb: DataFrame) -> DataFrame:
         F.lit(None).cast("timestamp").alias("file_modification_time"))
     return g.select(
         F.sha2(F.concat(F.lit("bundle:"), outer_id), 256).alias("bundle_uuid"),
-        F.current_timestamp().alias("ingest_time"), meta.alias("file_metadata"), fhir.alias("fhir"))
+        F.current_timestamp().alias("ingest_time"), meta.alias("file_metadata"), fhir.alias("fhir"),
+        entries.alias("parts"), F.lit(None).cast("string").alias("unparsed"))

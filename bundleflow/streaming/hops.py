@@ -120,18 +120,20 @@ def _schema_of(spark: SparkSession, layout: Layout, name: str) -> StructType:
     return spark.read.parquet(layout.table(name)).schema
 
 
-def quarantine_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None):
-    """V23/ST7: bronze -> quarantine, the rows whose text does not parse, with their text."""
-    s = read_stream_table(spark, layout, "bronze", _schema_of(spark, layout, "bronze"), max_files_per_trigger)
-    return refresh(bronze.quarantine(s), "quarantine", layout)
-
-
 def variant_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None):
     """Bronze -> bronze_variant (parse once)."""
     s = read_stream_table(spark, layout, "bronze", _schema_of(spark, layout, "bronze"), max_files_per_trigger)
     return refresh(bronze.variant_bronze(s), "bronze_variant", layout)
 
 
+def quarantine_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None):
+    """V23/ST7: bronze_variant -> quarantine, the rows whose text did not parse, with their text;
+    the parse of the hop before decides, no text is parsed again."""
+    s = read_stream_table(spark, layout, "bronze_variant", _schema_of(spark, layout, "bronze_variant"),
+                          max_files_per_trigger)
+    return refresh(bronze.quarantine(s), "quarantine", layout)
+
+
 def meta_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None):
     """bronze_variant -> bundle_meta."""
     s = read_stream_table(spark, layout, "bronze_variant", _schema_of(spark, layout, "bronze_variant"),
@@ -334,7 +336,7 @@ def drop_all(spark: SparkSession, layout: Layout) -> None:
 def run(spark: SparkSession, landing: str, root: str, full_refresh: bool = False, id_mode: str = "hash",
         max_files_per_trigger: int | None = None, glob: str = "*.json",
         drift_log: list | None = None, timings: dict | None = None, rebuild_on_drift: bool = True) -> Layout:
-    """Optional full refresh (ST3) -> bronze -> quarantine, variant -> meta and entries ->
+    """Optional full refresh (ST3) -> bronze -> variant -> quarantine, meta and entries ->
     schemas -> silver; wide tables that met new keys are rebuilt (D8) unless told otherwise."""
     layout, bound = Layout(root), max_files_per_trigger
 
@@ -350,8 +352,8 @@ def run(spark: SparkSession, landing: str, root: str, full_refresh: bool = False
     step("bronze", bronze_hop, spark, landing, layout, id_mode, bound, glob)
     if not path_exists(spark, layout.table("bronze")):
         return layout  # nothing landed yet
-    step("quarantine", quarantine_hop, spark, layout, bound)
     step("variant", variant_hop, spark, layout, bound)
+    step("quarantine", quarantine_hop, spark, layout, bound)
     step("meta", meta_hop, spark, layout, bound)
     step("entries", entries_hop, spark, layout, bound)
     if not list_dirs(spark, layout.table("entries")):

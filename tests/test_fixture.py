@@ -55,7 +55,7 @@ def test_claim_review_paths(spark, vb):
               ,Organization:[1].resource.name::string AS org_2
               ,Patient:[0].resource.birthDate::date AS birth
               ,Patient:[0].resource.gender::string AS gender
-        FROM {arr}""", arr=arr).first()
+        FROM {arr}""", arr=bundles.array_heads(arr, types, 3)).first()
     assert r.claim_id == "e95745e2-1e43-4b18-aef8-22f243a9494d"
     assert r.created == dt.datetime(2025, 1, 24, 12, 2, 13, 985000)
     assert r.diag_3 == "M23.201"

@@ -57,22 +57,42 @@ def test_hot_order_and_customer(spark, hot, name):
     _check(spark, hot, name)
 
 
-@pytest.mark.parametrize("name", ["resource_counts", "silver_lineitem", "bundle_meta", "meta_pivot", "event_type_counts",
-                                  "resources_long", "prior_auth_arrays", "silver_order", "nested_bundle"])
+@pytest.mark.parametrize("name", BUNDLE_QUERIES)
 def test_lines_without_an_order(spark, cut, name):
     _check(spark, cut, name)
 
 
-# The oracles of these start from orders (or count two entries before the lines), so they say
-# nothing about bundles without an order.
-ORACLE_NEEDS_ORDERS = {"bundle_header", "claim_review", "entry_table", "urgent_bundles"}
-
+@pytest.fixture(scope="module")
+def huge(spark, tmp_path_factory):
+    """One order has so many lines that its document exceeds the size of one VARIANT value."""
+    lines = 330_000
 
-# the queries that the list above leaves out
-@pytest.mark.parametrize("name", [q for q in BUNDLE_QUERIES if q not in ORACLE_NEEDS_ORDERS
-                                  and q not in test_lines_without_an_order.pytestmark[0].args[1]])
-def test_lines_without_an_order_in_every_other_query(spark, cut, name):
-    _check(spark, cut, name)
+    def change(t, df):
+        if t != "lineitem":
+            return df.orderBy("o_orderkey").limit(300) if t == "orders" else df
+        first = df.select(F.min("l_orderkey")).first()[0]
+        one = df.where(F.col("l_orderkey") == first).limit(1)
+        many = one.drop("l_linenumber").crossJoin(spark.range(lines).select(
+            F.col("id").cast(df.schema["l_linenumber"].dataType).alias("l_linenumber"))).withColumn(
+            "l_returnflag", F.repeat("l_returnflag", F.lit(300)))
+        return df.unionByName(many.select(*df.columns))
+    return _copy(spark, os.path.join(str(tmp_path_factory.mktemp("huge")), "sf"), change)
+
+
+def test_the_document_exceeds_one_value(spark, huge):
+    from bundleflow.plans import datasets as ds
+    size = ds.bronze_text(spark, huge).select(F.max(F.length("value"))).first()[0]
+    assert size > 143_000_000
+    rows = ds.bronze_variant(spark, huge)
+    assert rows.where("parts IS NOT NULL").count() == 1 and rows.where("fhir IS NULL").count() == 0
+    assert ds.quarantine(spark, huge).count() == 0
+
+
+@pytest.mark.parametrize("name", ["resource_counts", "silver_lineitem", "silver_order", "entry_table", "bundle_meta",
+                                  "bundle_header", "nested_bundle", "prior_auth_arrays", "claim_review", "array_paths",
+                                  "event_type_profile", "reference_join", "resources_long"])
+def test_document_above_the_size_of_one_value(spark, huge, name):
+    _check(spark, huge, name)
 
 
 def test_reference_join_without_customers(spark, tmp_path_factory):
