@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.variant import as_array, decode_base64_text, get, parse
-from ..operators.pivot import pivot_fixed
 
 
 def count_and_mean_age(df: DataFrame, group_col: str, id_col: str, date_col: str,
@@ -31,16 +30,28 @@ def distinct_count_by(df: DataFrame, group_col: str, id_col: str) -> DataFrame:
 
 
 def coordinates(silver_customer: DataFrame, id_cols: list[str]) -> DataFrame:
-    """C16 (V15, A15): address -> extension -> extension, then pivot latitude/longitude."""
+    """C16 (V15, A15): address -> extension -> the two values of its extension, as columns."""
     a = silver_customer.select(*id_cols, F.explode(as_array("address")).alias("address"))
     e = a.select(*id_cols, F.explode(as_array(get("address", "$.extension"))).alias("extension"))
-    c = e.select(*id_cols, F.explode(as_array(get("extension", "$.extension"))).alias("coordinates"))
-    fixed = c.select(
-        *id_cols,
-        get("coordinates", "$.url", "string").alias("coordinate_type"),
-        get("coordinates", "$.valueDecimal", "double").alias("coordinates"),
-    )
-    return pivot_fixed(fixed, id_cols, "coordinate_type", ["latitude", "longitude"], F.first("coordinates"))
+    # the pivot of one geolocation: its two values are looked up in its own array, nothing is shuffled
+    parts = F.try_variant_get("extension", "$.extension", "array<struct<url: string, valueDecimal: double>>")
+
+    def value(kind: str):
+        return F.get(F.filter("parts", lambda x: x["url"] == kind), F.lit(0))["valueDecimal"].alias(kind)
+
+    c = e.select(*id_cols, parts.alias("parts")).where(F.size("parts") > 0)
+    return c.select(*id_cols, value("latitude"), value("longitude"))
+
+
+def price_spans(usage: DataFrame, keys: list[str], date_col: str, amount_col: str, qty_col: str,
+                first_day: int) -> DataFrame:
+    """(*keys, price, since, until): monthly prices per key, each valid from ``first_day`` of its month
+    to the day before the next one; the last period of a key is open (NULL)."""
+    price = F.round(F.sum(amount_col).cast("double") / F.sum(qty_col).cast("double"), 2).cast("decimal(18,2)")
+    months = usage.groupBy(*keys, F.trunc(date_col, "month").alias("month")).agg(price.alias("price"))
+    later = F.lead("month").over(Window.partitionBy(*keys).orderBy("month"))  # the months of a key: the calendar
+    return months.select(*keys, "price", F.date_add("month", first_day - 1).alias("since"),
+                         F.date_add(later, first_day - 2).alias("until"))
 
 
 def price_periods(usage: DataFrame, keys: list[str], date_col: str, amount_col: str, qty_col: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql.types import StructType
 from ..operators.keys import KeyCollisionError
 from ..plans import bronze, resources
 from ..session import join_path
-from ..sinks.store import delete_path, list_dirs, path_exists, with_comments, write_table_info
+from ..sinks.store import delete_path, list_dirs, path_exists, write_table_info
 
 FILE_METADATA_FIELDS = ["file_path", "file_name", "file_size", "file_block_start",
                         "file_block_length", "file_modification_time"]
@@ -214,16 +214,6 @@ def read_silver(spark: SparkSession, layout: Layout, resource_type: str) -> Data
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
-def silver_comments(resource_type: str) -> dict[str, str]:
-    """Comments of the fixed columns of a wide table."""
-    t = resource_type.lower()
-    return {
-        f"{t}_uuid": f"Unique identifier of the {resource_type} resource in a bundle.",
-        "bundle_uuid": "Unique identifier of the bundle.",
-        f"{t}_url": f"fullUrl of the {resource_type} entry; joins related resources within a bundle.",
-    }
-
-
 class SilverTypeError(RuntimeError):
     """Some types could not be written as wide tables; the others were committed."""
 
@@ -245,12 +235,13 @@ def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = Non
     raises ``SilverTypeError`` with every such type.
     """
     from ..operators.keys import existing_columns, new_keys, ordered_key_list
+    from ..plans.declare import declarations, with_declaration
     from ..plans.silver import fixed_columns, silver_table
 
     stream = read_stream_table(spark, layout, "entries", read_entries(spark, layout).schema, max_files_per_trigger)
     failed: dict[str, str] = {}
 
-    def one_type(batch: DataFrame, batch_id: int, registry: DataFrame, t: str) -> None:
+    def one_type(batch: DataFrame, batch_id: int, registry: DataFrame, declared: dict, t: str) -> None:
         existing = existing_columns(spark, t, silver_columns(spark, layout, t), skip=fixed_columns(t))
         if drift_log is not None:
             added = [r.column_name for r in new_keys(registry.where(F.col("resourceType") == t), existing).collect()]
@@ -259,7 +250,7 @@ def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = Non
         keys = ordered_key_list(registry, existing, t)
         folder = f"batch_id={batch_id:09d}"
         try:
-            wide = with_comments(silver_table(batch, t, keys), silver_comments(t))
+            wide = with_declaration(silver_table(batch, t, keys), declared.get(t, StructType([])))
         except KeyCollisionError as e:
             failed[t] = str(e)
             batch.where(F.col("resourceType") == t).write.mode("overwrite").parquet(
@@ -269,11 +260,12 @@ def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = Non
 
     def write(batch: DataFrame, batch_id: int) -> None:
         registry = latest_schemas(spark, layout)
+        declared = declarations(spark, registry)
         types = sorted(r[0] for r in batch.select("resourceType").where(F.col("resourceType").isNotNull())
                        .distinct().collect())  # C6: bounded by the number of resource types
         # ST10: the per-type writes are independent jobs; run them concurrently
         with ThreadPoolExecutor(max_workers=max(1, min(parallel_types, len(types) or 1))) as pool:
-            for f in [pool.submit(one_type, batch, batch_id, registry, t) for t in types]:
+            for f in [pool.submit(one_type, batch, batch_id, registry, declared, t) for t in types]:
                 f.result()
 
     q = refresh(stream, "silver", layout, foreach_batch=write)
@@ -299,7 +291,9 @@ def rebuild_silver(spark: SparkSession, layout: Layout, resource_type: str) -> l
         return []
     old = spark.read.option("mergeSchema", True).parquet(silver_path(spark, layout, resource_type))
     batch = F.lpad(F.col("batch_id").cast("string"), 9, "0").alias("batch_id")
-    rows = with_comments(old.select(*[F.col(f"`{c}`") for c in columns], batch), silver_comments(resource_type))
+    from ..plans.declare import declarations, with_declaration
+    declared = declarations(spark, latest_schemas(spark, layout)).get(resource_type, StructType([]))
+    rows = with_declaration(old.select(*[F.col(f"`{c}`") for c in columns], batch), declared)
     base = layout.silver(resource_type)
     new, tmp = join_path(base, f"v={now + 1}"), join_path(base, f"_building-{now + 1}")
     delete_path(spark, tmp)

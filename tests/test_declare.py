@@ -1,0 +1,76 @@
+"""Declared types: the lattice, the declaration of a table, types by group."""
+
+import json
+import os
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, NullType, StringType, StructField, StructType,
+                               VariantType)
+
+from bundle_rows import bronze_rows
+from bundleflow.plans import bronze, resources
+from bundleflow.plans.declare import (castable, common, declarations, declared_schema, infer_by_group, parse_type, typed_groups,
+                                      with_declaration)
+from bundleflow.plans.silver import silver_table
+
+LEAVES = st.sampled_from([NullType(), LongType(), DoubleType(), StringType(), BooleanType(), VariantType()])
+TYPES = st.recursive(LEAVES, lambda t: st.one_of(
+    t.map(ArrayType), st.dictionaries(st.sampled_from("abc"), t, max_size=3).map(
+        lambda d: StructType([StructField(k, v) for k, v in sorted(d.items())]))), max_leaves=6)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TYPES, TYPES, TYPES)
+def test_lattice_laws(a, b, c):
+    assert common(a, a) == a and common(a, b) == common(b, a)
+    assert common(common(a, b), c) == common(a, common(b, c))
+    assert common(a, NullType()) == a and common(a, VariantType()) == VariantType()
+
+
+def test_parsed_types(spark):
+    t = parse_type("OBJECT<b: ARRAY<DECIMAL(5,2)>, a: BIGINT, `OBJECT<`: VOID>")
+    assert t.simpleString() == "struct<OBJECT<:void,a:bigint,b:array<double>>"
+    assert castable(t)["OBJECT<"].dataType == VariantType()
+    assert parse_type("VOID") == NullType()
+
+
+def test_declared_schema(spark):
+    s = declared_schema("Claim", ["id", "item", "odd"], {"id": ["STRING"], "odd": ["BIGINT", "STRING"], "item": [
+        "ARRAY<OBJECT<n: BIGINT>>", "ARRAY<OBJECT<n: DECIMAL(3,1), t: STRING>>"]}, {"item": "Order"})
+    assert [f.dataType.simpleString() for f in s.fields] == [
+        "string", "string", "string", "string", "array<struct<n:double,t:string>>", "variant"]
+    assert s["claim_uuid"].metadata["key"] == "primary" and s["item"].metadata["references"] == "Order"
+
+
+def _bundle(entries):
+    return json.dumps({"resourceType": "Bundle", "entry": [
+        {"fullUrl": f"{r['resourceType']}/{i}", "resource": r} for i, r in enumerate(entries)]})
+
+
+def test_typed_by_group(spark, tmp):
+    texts = [_bundle([{"resourceType": "A", "v": 1}, {"resourceType": "A", "v": 2.5}, {"resourceType": "B", "v": {"w": "x"}}]),
+             _bundle([{"resourceType": "B", "v": None}, {"resourceType": "C"}])]
+    ent = resources.entries(bronze.variant_bronze(bronze_rows(spark, texts))).select("resourceType", "resource")
+    ddl = infer_by_group(ent, "resourceType", ["resource"])
+    assert set(ddl) == {"A", "B", "C"} and "DECIMAL" in ddl["A"]["resource"] and "w: STRING" in ddl["B"]["resource"]
+    path = os.path.join(tmp, "typed")
+    typed_groups(ent, "resourceType", "resource", ddl).write.partitionBy("resourceType").parquet(path)
+    back = spark.read.parquet(path)
+    assert [float(r.v) for r in back.where("resourceType = 'A'").select("A.v").orderBy("v").collect()] == [1.0, 2.5]
+    assert [r.w for r in back.where("resourceType = 'B'").select(F.col("B.v.w").alias("w")).collect()].count("x") == 1
+    assert back.where("B IS NOT NULL AND resourceType <> 'B'").count() == 0
+
+
+def test_wide_table_carries_its_declaration(spark, tmp):
+    texts = [_bundle([{"resourceType": "A", "v": 1, "to": {"reference": "B/1"}}])]
+    ent = resources.entries(bronze.variant_bronze(bronze_rows(spark, texts)))
+    registry = resources.resource_schemas(resources.resources_long(ent))
+    schema = declarations(spark, registry)["A"]
+    wide = silver_table(ent, "A", ["to", "v"])
+    with_declaration(wide, schema).write.parquet(os.path.join(tmp, "wide"))
+    stored = spark.read.parquet(os.path.join(tmp, "wide")).schema
+    assert stored["v"].metadata["declared"] == "bigint" and stored["a_uuid"].metadata["key"] == "primary"
+    typed = with_declaration(wide, schema, typed=True).first()
+    assert typed.v == 1 and typed.to.reference == "B/1"
