@@ -118,7 +118,8 @@ def object_to_struct(schema: ColumnOrName) -> Column:
 
 
 def object_to_struct_text(schema: str) -> str:
-    return _OBJECT.sub("STRUCT<", schema)
+    parts = re.split(r"(`(?:[^`]|``)*`)", schema)  # quoted field names stay as they are
+    return "".join(p if p.startswith("`") else _OBJECT.sub("STRUCT<", p) for p in parts)
 
 
 def typed(v: ColumnOrName, ddl: str) -> Column:

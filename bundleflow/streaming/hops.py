@@ -151,9 +151,35 @@ def entries_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int
     salts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     s = read_stream_table(spark, layout, "bronze_variant", _schema_of(spark, layout, "bronze_variant"),
                           max_files_per_trigger)
-    ent = resources.entries(s).repartition(
-        F.col("resourceType"), F.pmod(F.xxhash64("bundle_uuid"), F.lit(salts)))
-    return refresh(ent, "entries", layout, partition_by=["resourceType"])
+    # counted while the rows pass by, so that checking costs no further scan
+    checked = resources.entries(s).observe(
+        CONSTRAINTS, F.count(F.lit(1)).alias("rows"),
+        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"not_null:{c}") for c in ENTRY_NOT_NULL])
+    ent = checked.repartition(F.col("resourceType"), F.pmod(F.xxhash64("bundle_uuid"), F.lit(salts)))
+    q = refresh(ent, "entries", layout, partition_by=["resourceType"])
+    store_metrics(spark, layout, "entries", q)
+    return q
+
+
+# D3 in the stream: the declared constraints of the entries, and the name of their metrics.
+ENTRY_NOT_NULL = ("fullUrl", "resourceType")
+CONSTRAINTS = "constraints"
+
+
+def store_metrics(spark: SparkSession, layout: Layout, hop: str, query) -> None:
+    """Writes the observed constraint counts of every batch of a hop's run to ``constraint_metrics``
+    (hop, batch_id, check_name, rows, violations): one row per batch and check.  Spark keeps the
+    progress of the last ``spark.sql.streaming.numRecentProgressUpdates`` batches."""
+    rows = []
+    for p in query.recentProgress:
+        seen = (p.observedMetrics or {}).get(CONSTRAINTS)
+        if seen is not None and p.numInputRows:
+            counts = seen.asDict()
+            total = counts.pop("rows")
+            rows += [(hop, p.batchId, name, total, n) for name, n in counts.items()]
+    if rows:
+        spark.createDataFrame(rows, "hop string, batch_id long, check_name string, rows long, violations long").coalesce(
+            1).write.mode("append").parquet(layout.table("constraint_metrics"))
 
 
 def read_entries(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -67,11 +67,24 @@ def test_reference_key_and_segments(spark):
 
 
 def test_constraints(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k int, v string")
-    parent = spark.createDataFrame([(1,)], "k int")
-    rep = {(r.check_name): r.violations for r in C.report(spark, [
-        C.not_null(df, "t", ["v"]), C.primary_key(df, "t", ["k"]), C.foreign_key(df, parent, "t", "k", "k")]).collect()}
-    assert rep == {"not_null:v": 1, "primary_key:k": 1, "foreign_key:k": 1}
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "c"), (None, "c")], "k int, v string")
+    parent = spark.createDataFrame([(1,), (None,), (7,), (7,)], "k int")
+    checks = {"t": (df, C.Checks(not_null=["v"], keys=[["k"], ["k", "v"]], refers={"k": "p"})),
+              "p": (parent, C.Checks(not_null=["k"], keys=[["k"]], referred={"k": "p"}))}
+    rep = {(r.table_name, r.check_name): r.violations for r in C.report(spark, checks).collect()}
+    assert rep == {("t", "not_null:v"): 1, ("t", "primary_key:k"): 2, ("t", "primary_key:k,v"): 1, ("t", "foreign_key:k"): 1,
+                   ("p", "not_null:k"): 1, ("p", "primary_key:k"): 1}
+    empty = {t: (d.limit(0), c) for t, (d, c) in checks.items()}
+    assert {r.violations for r in C.report(spark, empty).collect()} == {0} and C.report(spark, {}).count() == 0
+
+
+def test_constraint_report_scans_each_table_once(spark, tmp):
+    for name in ("a", "b"):
+        spark.range(50).selectExpr("id", "id % 7 AS k").write.parquet(f"{tmp}/{name}")
+    a, b = (spark.read.parquet(f"{tmp}/{name}") for name in ("a", "b"))
+    plan = C.report(spark, {"a": (a, C.Checks(not_null=["id", "k"], keys=[["id"], ["k"]], refers={"k": "b"})),
+                            "b": (b, C.Checks(keys=[["id"]], referred={"k": "b"}))})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
 
 
 def test_emitted_responses_and_typed_paths(spark, tmp):

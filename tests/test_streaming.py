@@ -217,3 +217,33 @@ def test_archive_older_than(spark, tmp):
     assert sorted(r.dst.split("archive/")[1] for r in rows) == ["old1.json", "sub/old2.json"]
     assert all(r.copied["status"] == "success" and r.removed["status"] == "success" for r in rows)
     assert sorted(os.listdir(src)) == ["new.json", "sub"] and os.listdir(os.path.join(src, "sub")) == []
+
+
+def test_constraints_are_observed_per_batch(spark, tmp):
+    landing, root = os.path.join(tmp, "landing"), os.path.join(tmp, "root")
+    _land(landing, "a.json", [{"resourceType": "Patient", "id": "1"}, {"resourceType": "Patient", "id": "2"}])
+    layout = run(spark, landing, root)
+    with open(os.path.join(landing, "b.json"), "w") as f:
+        json.dump({"resourceType": "Bundle", "entry": [{"resource": {"id": "x"}}, {"fullUrl": "P/3", "resource": {"resourceType": "P"}}]}, f)
+    run(spark, landing, root)
+    rows = spark.read.parquet(layout.table("constraint_metrics")).orderBy("batch_id", "check_name").collect()
+    assert [(r.check_name, r.rows, r.violations) for r in rows] == [
+        ("not_null:fullUrl", 2, 0), ("not_null:resourceType", 2, 0), ("not_null:fullUrl", 2, 1), ("not_null:resourceType", 2, 1)]
+
+
+def test_documents_above_one_value_in_the_stream(spark, tmp, monkeypatch):
+    """A document that does not parse as one value is cut, and only broken text is quarantined."""
+    from bundleflow.plans import bronze
+    landing, root = os.path.join(tmp, "landing"), os.path.join(tmp, "root")
+    _land(landing, "a.json", [{"resourceType": "Patient", "id": "1"}])
+    _land(landing, "big.json", [{"resourceType": "Patient", "id": "2", "text": "large " * 20}])
+    with open(os.path.join(landing, "bad.json"), "w") as f:
+        f.write('{"entry": [')
+    whole = bronze.parse
+    monkeypatch.setattr(bronze, "parse", lambda c: F.when(F.length(c) < 180, whole(c)))
+    layout = run(spark, landing, root)
+    vb = spark.read.parquet(layout.table("bronze_variant"))
+    assert vb.where("parts IS NOT NULL").count() == 1 and vb.where("unparsed IS NOT NULL").count() == 1
+    assert [r.value for r in spark.read.parquet(layout.table("quarantine")).collect()] == ['{"entry": [']
+    assert read_silver(spark, layout, "Patient").count() == 2
+    assert spark.read.parquet(layout.table("bundle_meta")).where("bundle_resourceType = 'Bundle'").count() == 2
