@@ -49,8 +49,14 @@ def build_session(
     return spark
 
 
+# State of the input folders that the present query has looked at (``sinks.store.input_state``).
+INPUT_STATES: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session (driver-made ones too)."""
+    """Apply the runtime SQL settings to an existing session (driver-made ones too); called at the
+    start of every query, so input folders are looked at once a query."""
+    INPUT_STATES.clear()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import join_path, work_dir
+from ..session import INPUT_STATES, join_path, work_dir
 
 STORE_VERSION = "v3"
 
@@ -53,6 +53,8 @@ def code_version() -> str:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         h = hashlib.sha1(STORE_VERSION.encode())
         for base, _dirs, files in sorted(os.walk(root)):
+            if os.path.relpath(base, root).split(os.sep)[0] == "llm":  # stores nothing here
+                continue
             for f in sorted(files):
                 if f.endswith(".py"):
                     with open(os.path.join(base, f), "rb") as fh:
@@ -63,13 +65,16 @@ def code_version() -> str:
 
 def input_state(spark: SparkSession, folder: str) -> str:
     """Digest of name, length and modification time of every file below ``folder``, so that a
-    hop stored for other data is never read back."""
+    hop stored for other data is never read back.  The folder is listed once a query."""
+    if folder in INPUT_STATES:
+        return INPUT_STATES[folder]
     fs, p = _fs(spark, folder)
     found, files = [], fs.listFiles(p, True)
     while files.hasNext():
         f = files.next()
         found.append(f"{f.getPath().toString()} {f.getLen()} {f.getModificationTime()}")
-    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()[:16]
+    INPUT_STATES[folder] = hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()[:16]
+    return INPUT_STATES[folder]
 
 
 def dataset_root(spark: SparkSession, sf_dir: str) -> str:

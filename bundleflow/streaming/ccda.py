@@ -3,8 +3,9 @@
 Stream of whole text files -> ``foreachBatch``: each row's file is copied to the staging folder
 (below it at the same relative path as below the landing folder) by the executor that holds the
 row, which adds the ``{status, message}`` map; the batch is written to
-``documents_bronze/batch_id=<n>`` (overwrite: replay-safe).  Copies that failed are tried again
-at the start of the next run; their new status replaces the stored one on reading.
+``documents_bronze/batch_id=<n>`` (overwrite: replay-safe), the paths of its failed copies to
+``documents_failed/batch_id=<n>``.  Those are tried again at the start of the next run, which reads
+that small table alone; their new status replaces the stored one on reading.
 """
 
 from __future__ import annotations
@@ -39,22 +40,36 @@ def stage_documents(spark: SparkSession, landing: str, stage_dir: str, root: str
         rows = batch.select(
             "file_metadata", F.current_timestamp().alias("ingest_time"), "value", path.alias("source_path"),
             F.concat(F.lit(stage_dir.rstrip("/") + "/"), relative_path(spark, landing, path)).alias("stage_path"))
-        if cluster_by:  # D2 cluster_by, before the copy: the range sampling must not copy files
-            rows = rows.repartitionByRange(F.col(cluster_by)).sortWithinPartitions(cluster_by)
+        if cluster_by:  # D2: sorted where the rows lie, so no text is read twice or shuffled
+            rows = rows.sortWithinPartitions(cluster_by)
         copied = copy_status.asNondeterministic()("source_path", "stage_path")
-        rows.withColumn("copy_status", copied).write.mode("overwrite").parquet(
-            join_path(out, f"batch_id={batch_id:09d}"))
+        folder = f"batch_id={batch_id:09d}"
+        rows.withColumn("copy_status", copied).write.mode("overwrite").parquet(join_path(out, folder))
+        failed = spark.read.parquet(join_path(out, folder)).where(F.col("copy_status")["status"] == "error")
+        failed.select("source_path", "stage_path").write.mode("overwrite").parquet(
+            join_path(layout.table("documents_failed"), folder))
 
     refresh(stream, "documents_bronze", layout, foreach_batch=write)
     return layout
 
 
+def _last_retries(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    retries = layout.table("documents_retries")
+    if not path_exists(spark, retries):
+        return None
+    return spark.read.parquet(retries).groupBy("source_path").agg(
+        F.max_by("retry_status", "retry_time").alias("retry_status"))
+
+
 def retry_failed(spark: SparkSession, layout: Layout) -> int:
-    """Copies again what the stored statuses call an error; returns the number of files."""
-    if not list_dirs(spark, layout.table("documents_bronze")):
+    """Copies again what failed and was not mended since; returns the number of files."""
+    if not list_dirs(spark, layout.table("documents_failed")):
         return 0
-    failed = read_documents(spark, layout).where(F.col("copy_status")["status"] == "error").select(
-        "source_path", "stage_path")
+    failed = spark.read.parquet(layout.table("documents_failed")).select("source_path", "stage_path").distinct()
+    last = _last_retries(spark, layout)
+    if last is not None:
+        mended = last.where(F.col("retry_status")["status"] != "error").select("source_path")
+        failed = failed.join(mended, "source_path", "left_anti")
     if failed.isEmpty():
         return 0
     again = failed.withColumn("retry_status", copy_status.asNondeterministic()("source_path", "stage_path"))
@@ -66,11 +81,9 @@ def retry_failed(spark: SparkSession, layout: Layout) -> int:
 def read_documents(spark: SparkSession, layout: Layout) -> DataFrame:
     """The documents with the newest status of their copy."""
     docs = spark.read.parquet(layout.table("documents_bronze")).drop("batch_id")
-    retries = layout.table("documents_retries")
-    if not path_exists(spark, retries):
+    last = _last_retries(spark, layout)
+    if last is None:
         return docs
-    last = spark.read.parquet(retries).groupBy("source_path").agg(
-        F.max_by("retry_status", "retry_time").alias("retry_status"))
     return (docs.join(last, "source_path", "left")
             .withColumn("copy_status", F.coalesce("retry_status", "copy_status"))
             .select(*docs.columns))
