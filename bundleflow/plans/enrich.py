@@ -88,6 +88,30 @@ def describe_codes(df: DataFrame, code_cols: list[str], lookup: DataFrame, key_c
     return out
 
 
+def describe_positions(df: DataFrame, id_cols: list[str], codes: dict[str, str], lookup: DataFrame) -> DataFrame:
+    """U7 for any number of codes: ``codes`` names array columns of codes by kind; ``lookup`` has kind,
+    code and description.  Returns the ids with one array of (code, description) per kind, in order.
+
+    All arrays are exploded with their positions, joined once, and regrouped: one row per code
+    travels, whatever the number of columns.  The table of codes is broadcast if its bytes allow; if
+    not, AQE splits the rows of a hot code.  Ids whose arrays are empty or NULL keep a row.
+    """
+    def placed(kind: str, column: str):
+        return F.transform(F.coalesce(F.col(column), F.array().cast("array<string>")), lambda x, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("place"), x.alias("code")))
+
+    rows = df.select(*id_cols, F.concat(*[placed(k, c) for k, c in codes.items()]).alias("all codes"))
+    rows = rows.select(*id_cols, F.explode_outer("all codes").alias("c")).select(*id_cols, "c.*")
+    side = small_side(lookup.select(F.col("kind").alias("look kind"), F.col("code").alias("look code"), "description"))
+    found = rows.join(side, (F.col("kind") == F.col("look kind")) & (F.col("code") == F.col("look code")), "left")
+    held = [F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("place", "code", "description")))).alias(kind)
+            for kind in codes]
+    grouped = found.groupBy(*id_cols).agg(*held)
+    return grouped.select(*id_cols, *[
+        F.transform(kind, lambda x: F.struct(x["code"].alias("code"), x["description"].alias("description"))).alias(kind)
+        for kind in codes])
+
+
 REQUEST_FUNCTION_SQL = """
 CREATE OR REPLACE TEMPORARY FUNCTION fhir_request(method STRING, resource STRING, action STRING, data STRING)
 RETURNS STRING
