@@ -217,27 +217,39 @@ def silver_version(spark: SparkSession, layout: Layout, resource_type: str) -> i
 
 
 def silver_path(spark: SparkSession, layout: Layout, resource_type: str) -> str:
+    """Where new batches go."""
     return join_path(layout.silver(resource_type), f"v={silver_version(spark, layout, resource_type)}")
 
 
-def silver_columns(spark: SparkSession, layout: Layout, resource_type: str) -> list[str] | None:
-    """Column list of the stored wide table (None when it does not exist).
+def silver_batches(spark: SparkSession, layout: Layout, resource_type: str) -> dict[str, str]:
+    """The folder of every batch of the wide table.  A version holds the batches that were rewritten
+    or came with it; of a batch the highest version counts.  Version folders appear by one rename, so
+    a reader meets all of a rewrite or nothing of it."""
+    found: dict[str, str] = {}
+    for k in range(silver_version(spark, layout, resource_type) + 1):
+        base = join_path(layout.silver(resource_type), f"v={k}")
+        found |= {d: join_path(base, d) for d in list_dirs(spark, base) if d.startswith("batch_id=")}
+    return dict(sorted(found.items()))
 
-    Columns only ever widen, so the newest batch folder holds the full ordered
-    list; reading one footer keeps this constant-cost as batches accumulate.
-    """
-    p = silver_path(spark, layout, resource_type)
-    done = sorted(d for d in list_dirs(spark, p) if d.startswith("batch_id="))
-    if not done:
-        return None
-    return spark.read.parquet(join_path(p, done[-1])).columns
+
+def _widest(spark: SparkSession, layout: Layout, resource_type: str) -> StructType | None:
+    """Schema of the newest batch, which holds the full ordered column list, as columns only ever
+    widen; reading one footer keeps this constant-cost as batches accumulate."""
+    batches = silver_batches(spark, layout, resource_type)
+    return spark.read.parquet(batches[max(batches)]).schema if batches else None
+
+
+def silver_columns(spark: SparkSession, layout: Layout, resource_type: str) -> list[str] | None:
+    """Column list of the stored wide table (None when it does not exist)."""
+    schema = _widest(spark, layout, resource_type)
+    return None if schema is None else schema.names
 
 
 def read_silver(spark: SparkSession, layout: Layout, resource_type: str) -> DataFrame:
-    """Wide table of one type: all batches, older ones widened with NULL for later keys."""
-    cols = silver_columns(spark, layout, resource_type) or []
-    df = spark.read.option("mergeSchema", True).parquet(silver_path(spark, layout, resource_type))
-    return df.select(*[F.col(f"`{c}`") for c in cols])
+    """Wide table of one type: all batches under the widest schema, so what older batches lack reads
+    as NULL; no footers are merged."""
+    return spark.read.schema(_widest(spark, layout, resource_type)).parquet(
+        *silver_batches(spark, layout, resource_type).values())
 
 
 class SilverTypeError(RuntimeError):
@@ -303,34 +315,43 @@ def silver_hop(spark: SparkSession, layout: Layout, drift_log: list | None = Non
     return q
 
 
+def lacking_batches(spark: SparkSession, layout: Layout, resource_type: str) -> dict[str, str]:
+    """The batches whose files lack a column of the present table, by one footer each."""
+    columns = set(silver_columns(spark, layout, resource_type) or [])
+    return {b: p for b, p in silver_batches(spark, layout, resource_type).items()
+            if columns - set(spark.read.parquet(p).columns)}
+
+
 def rebuild_silver(spark: SparkSession, layout: Layout, resource_type: str) -> list[str]:
-    """Rebuild one wide table with every known key in every row (between runs).
+    """Gives every file of one wide table every known key (between runs); returns the batches
+    that were rewritten.
 
-    The rows are rewritten batch by batch into the next version folder, which becomes the
-    table by one rename; readers see the old or the new version, never none.  Rows keep the
-    batch they came with, so a later replay of a batch replaces that batch alone.  The version
-    before stays for readers that have it open, older ones go.
+    For consumers that read the files without the table's schema: ``read_silver`` needs it never.
+    Only the batches that lack a column are rewritten, into the next version folder, which appears by
+    one rename; rows keep the batch they came with, so a later replay of a batch replaces that batch
+    alone.  Of a rewritten batch the folder before stays for readers that have it open, older ones go.
     """
-    now = silver_version(spark, layout, resource_type)
-    columns = silver_columns(spark, layout, resource_type)
-    if columns is None:
-        return []
-    old = spark.read.option("mergeSchema", True).parquet(silver_path(spark, layout, resource_type))
-    batch = F.lpad(F.col("batch_id").cast("string"), 9, "0").alias("batch_id")
     from ..plans.declare import declarations, with_declaration
+    lacking = lacking_batches(spark, layout, resource_type)
+    if not lacking:
+        return []
+    schema, now = _widest(spark, layout, resource_type), silver_version(spark, layout, resource_type)
     declared = declarations(spark, latest_schemas(spark, layout)).get(resource_type, StructType([]))
-    rows = with_declaration(old.select(*[F.col(f"`{c}`") for c in columns], batch), declared)
+    batch = F.regexp_extract("_metadata.file_path", r"batch_id=(\d+)", 1).alias("batch_id")
+    old = spark.read.schema(schema).parquet(*lacking.values()).select(*[F.col(f"`{c}`") for c in schema.names], batch)
     base = layout.silver(resource_type)
     new, tmp = join_path(base, f"v={now + 1}"), join_path(base, f"_building-{now + 1}")
     delete_path(spark, tmp)
-    rows.write.partitionBy("batch_id").parquet(tmp)
+    with_declaration(old, declared).write.partitionBy("batch_id").parquet(tmp)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(tmp).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.rename(path(tmp), path(new)):
         raise OSError(f"cannot rename {tmp} to {new}")
-    for k in range(now):
-        delete_path(spark, join_path(base, f"v={k}"))
-    return columns[3:]
+    for b in lacking:
+        versions = [k for k in range(now + 1) if path_exists(spark, join_path(base, f"v={k}", b))]
+        for k in versions[:-1]:
+            delete_path(spark, join_path(base, f"v={k}", b))
+    return sorted(lacking)
 
 
 def drop_silver(spark: SparkSession, layout: Layout) -> list[str]:
@@ -355,9 +376,10 @@ def drop_all(spark: SparkSession, layout: Layout) -> None:
 
 def run(spark: SparkSession, landing: str, root: str, full_refresh: bool = False, id_mode: str = "hash",
         max_files_per_trigger: int | None = None, glob: str = "*.json",
-        drift_log: list | None = None, timings: dict | None = None, rebuild_on_drift: bool = True) -> Layout:
+        drift_log: list | None = None, timings: dict | None = None, rebuild_on_drift: bool = False) -> Layout:
     """Optional full refresh (ST3) -> bronze -> variant -> quarantine, meta and entries ->
-    schemas -> silver; wide tables that met new keys are rebuilt (D8) unless told otherwise."""
+    schemas -> silver.  New keys widen a wide table without touching its history; with
+    ``rebuild_on_drift`` the files that lack them are rewritten as well (D8)."""
     layout, bound = Layout(root), max_files_per_trigger
 
     def step(name, fn, *args, **kwargs):

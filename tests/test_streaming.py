@@ -104,21 +104,37 @@ def test_uuid_and_hash_ids(spark):
     assert h1 == h2 and len(h1[0]) == 64
 
 
-def test_rebuild_silver_after_drift(spark, tmp):
-    from bundleflow.streaming.hops import silver_columns, silver_path, silver_version
+def _files(root):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
+
+
+def test_drift_leaves_the_history_alone(spark, tmp):
+    """New keys rewrite no file in a run; a rebuild rewrites only the batches that lack a column."""
+    from bundleflow.streaming.hops import rebuild_silver, silver_batches, silver_columns, silver_version
     landing, root = os.path.join(tmp, "landing"), os.path.join(tmp, "root")
+    silver = os.path.join(root, "tables", "silver", "patient")
     _land(landing, "a.json", [{"resourceType": "Patient", "id": "1", "gender": "male"}])
     layout = run(spark, landing, root)
-    assert silver_version(spark, layout, "Patient") == 0
-    _land(landing, "b.json", [{"resourceType": "Patient", "id": "2", "active": True}])
-    run(spark, landing, root)  # new keys: the runner rebuilds the table
-    assert silver_version(spark, layout, "Patient") == 1
+    for n, key in (("b", "active"), ("c", "gender")):
+        before = _files(silver)
+        _land(landing, f"{n}.json", [{"resourceType": "Patient", "id": n, key: "x"}])
+        run(spark, landing, root)
+        assert before.items() <= _files(silver).items() and silver_version(spark, layout, "Patient") == 0
     assert silver_columns(spark, layout, "Patient")[3:] == ["gender", "id", "resourceType", "active"]
-    s = spark.read.parquet(silver_path(spark, layout, "Patient"))  # no mergeSchema needed any more
-    assert s.count() == 2 and "active" in s.columns
-    _land(landing, "c.json", [{"resourceType": "Patient", "id": "3"}])
-    run(spark, landing, root)  # the stream keeps appending after the rebuild
-    assert read_silver(spark, layout, "Patient").count() == 3
+    rows = read_silver(spark, layout, "Patient")
+    assert rows.count() == 3 and rows.where("active IS NOT NULL").count() == 1
+    before = _files(silver)
+    rewritten = rebuild_silver(spark, layout, "Patient")
+    assert len(rewritten) == 1 and silver_version(spark, layout, "Patient") == 1
+    assert before.items() <= _files(silver).items()  # the folder before stays for open readers
+    batches = silver_batches(spark, layout, "Patient")
+    assert [p.split("/v=")[1][0] for p in batches.values()] == ["1", "0", "0"]
+    assert all("active" in spark.read.parquet(p).columns for p in batches.values())
+    assert read_silver(spark, layout, "Patient").count() == 3 and rebuild_silver(spark, layout, "Patient") == []
+    _land(landing, "d.json", [{"resourceType": "Patient", "id": "4", "name": "n"}])
+    run(spark, landing, root, rebuild_on_drift=True)
+    assert read_silver(spark, layout, "Patient").count() == 4
+    assert all("name" in spark.read.parquet(p).columns for p in silver_batches(spark, layout, "Patient").values())
 
 
 def test_replay_after_rebuild_keeps_all_rows(spark, tmp):
