@@ -32,8 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.variant import object_to_struct_text
 from ..operators.keys import KeyCollisionError
 from ..plans import bronze, resources
+from ..plans.declare import merged_schema
 from ..session import join_path
 from ..sinks.store import delete_path, list_dirs, path_exists, write_table_info
 
@@ -187,27 +189,47 @@ def read_entries(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def schemas_hop(spark: SparkSession, layout: Layout, max_files_per_trigger: int | None = None):
-    """C7/ST5: streaming aggregation without watermark, complete mode.
+    """C7/ST5: the registry of (type, key, inferred schema), kept up without a state store.
 
-    Each batch writes the whole registry to a new ``version=<batch>`` folder and
-    only then a ``_SUCCESS`` marker; readers take the highest complete version,
-    so nothing is overwritten while being read.
+    Each batch infers the schemas of its own rows (a partial aggregate, then one row per key), merges
+    their texts with the registry before it, and writes the result, whose size the width of the
+    schemas bounds, to a new ``version=<batch>`` folder with a ``_SUCCESS`` marker; readers take the
+    highest complete version.  The merge is associative, so the registry equals one inference over
+    all rows, whatever the batches; a replayed batch starts again from the version before it.
     """
     ent = read_stream_table(spark, layout, "entries", read_entries(spark, layout).schema, max_files_per_trigger)
-    agg = resources.resource_schemas(resources.resources_long(ent))
     out = layout.table("resource_schemas")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(join_path(out, f"version={batch_id:09d}"))
+        found = {(r.resourceType, r.column_name): r.schema_of_variant
+                 for r in resources.resource_schemas(resources.resources_long(batch)).collect()}
+        before = [v for v in schema_versions(spark, layout) if v < batch_id]
+        if before:
+            for r in spark.read.parquet(join_path(out, f"version={before[-1]:09d}")).collect():
+                key = (r.resourceType, r.column_name)
+                found[key] = merged_schema(r.schema_of_variant, found.get(key, "VOID"))
+        rows = [(t, k, s, object_to_struct_text(s)) for (t, k), s in found.items()]
+        spark.createDataFrame(rows, REGISTRY).coalesce(1).write.mode("overwrite").parquet(
+            join_path(out, f"version={batch_id:09d}"))
+        for v in before[:-1]:  # the version before stays for open readers
+            delete_path(spark, join_path(out, f"version={v:09d}"))
 
-    return refresh(agg, "resource_schemas", layout, output_mode="complete", foreach_batch=write)
+    return refresh(ent, "resource_schemas", layout, foreach_batch=write)
 
 
-def latest_schemas(spark: SparkSession, layout: Layout) -> DataFrame | None:
+REGISTRY = "resourceType string, column_name string, schema_of_variant string, schema_as_struct string"
+
+
+def schema_versions(spark: SparkSession, layout: Layout) -> list[int]:
+    """The complete versions of the registry, oldest first."""
     out = layout.table("resource_schemas")
-    done = sorted(d for d in list_dirs(spark, out)
+    return sorted(int(d.split("=")[1]) for d in list_dirs(spark, out)
                   if d.startswith("version=") and path_exists(spark, join_path(out, d, "_SUCCESS")))
-    return spark.read.parquet(join_path(out, done[-1])) if done else None
+
+
+def latest_schemas(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    done = schema_versions(spark, layout)
+    return spark.read.parquet(join_path(layout.table("resource_schemas"), f"version={done[-1]:09d}")) if done else None
 
 
 def silver_version(spark: SparkSession, layout: Layout, resource_type: str) -> int:

@@ -11,7 +11,8 @@ from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, Nul
 
 from bundle_rows import bronze_rows
 from bundleflow.plans import bronze, resources
-from bundleflow.plans.declare import (castable, common, declarations, declared_schema, infer_by_group, parse_type, typed_groups,
+from bundleflow.plans.declare import (castable, common, declarations, declared_schema, infer_by_group, merged_schema,
+                                      parse_type, typed_groups,
                                       with_declaration)
 from bundleflow.plans.silver import silver_table
 
@@ -74,3 +75,25 @@ def test_wide_table_carries_its_declaration(spark, tmp):
     assert stored["v"].metadata["declared"] == "bigint" and stored["a_uuid"].metadata["key"] == "primary"
     typed = with_declaration(wide, schema, typed=True).first()
     assert typed.v == 1 and typed.to.reference == "B/1"
+
+
+JSON = st.recursive(st.one_of(st.none(), st.booleans(), st.integers(-10**19, 10**19), st.integers(-99, 99), st.sampled_from(
+    [0.5, 12.25, 1e300, 123456789.123456, 0.0000001]), st.sampled_from(["s", "2024-01-01"])), lambda v: st.one_of(
+        st.lists(v, max_size=3), st.dictionaries(st.sampled_from(["a", "b", "x y", "OBJECT<", "7"]), v, max_size=3)), max_leaves=5)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(JSON, min_size=2, max_size=7), st.integers(0, 1000))
+def test_merged_schemas_equal_one_inference(spark, values, seed):
+    """Whatever the batches and their order, the merged text is that of one inference over all values."""
+    import random
+    from functools import reduce
+    texts = [json.dumps(v) for v in values]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").selectExpr("i", "parse_json(t) AS v")
+    rows = df.selectExpr("i", "schema_of_variant(v) AS one").collect()
+    whole = df.selectExpr("schema_of_variant_agg(v) AS s").first().s
+    order = [r.one for r in sorted(rows, key=lambda r: r.i)]
+    random.Random(seed).shuffle(order)
+    cut = seed % len(order)
+    parts = [reduce(merged_schema, p, "VOID") for p in (order[:cut], order[cut:])]
+    assert merged_schema(*parts) == merged_schema(*parts[::-1]) == whole
