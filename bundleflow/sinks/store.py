@@ -172,14 +172,16 @@ def write_table(df: DataFrame, path: str, schema=None, comment: str | None = Non
                 properties: dict[str, str] | None = None, cluster_by: list[str] | None = None,
                 partition_by: list[str] | None = None, mode: str = "overwrite") -> DataFrame:
     """A declared table.  ``schema`` (a StructType whose fields may carry comments)
-    fixes column order, types and comments; ``cluster_by`` range-partitions and sorts
-    so files cluster on those columns; comment/properties go to the table info file."""
+    fixes column order, types and comments; ``cluster_by`` deals and sorts
+    the rows so that files cluster on every one of those columns (``sinks.cluster``); comment/properties go to the table info file."""
     from pyspark.sql import functions as F
+
+    from .cluster import clustered
     if schema is not None:
         df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
         df = with_comments(df, {f.name: f.metadata["comment"] for f in schema.fields if "comment" in f.metadata})
     if cluster_by:
-        df = df.repartitionByRange(*[F.col(c) for c in cluster_by]).sortWithinPartitions(*cluster_by)
+        df = clustered(df, cluster_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
