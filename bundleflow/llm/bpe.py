@@ -36,8 +36,8 @@ LONG_PIECE = 1024
 CACHE_PIECES = 250_000
 NONE = np.int32(2**31 - 1)
 MATRIX_CELLS = 1 << 20
-# Fixed value: odd multiplier of the multiplicative hash (2^32 over the golden ratio).
-GOLDEN = np.uint32(2654435769)
+# Fixed value: odd multiplier of the multiplicative hash (2^64 over the golden ratio).
+GOLDEN = np.uint64(11400714819323198485)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -66,13 +66,13 @@ class PairTable:
     """Open-addressing table of (left id, right id) -> rank of the joined token."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        found = [(ranks[t[:i]] << 16 | ranks[t[i:]], r) for t, r in ranks.items()
+        found = [(ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items()
                  for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        keys = np.array([k for k, _ in found], dtype=np.uint32)
+        keys = np.array([k for k, _ in found], dtype=np.uint64)
         vals = np.array([v for _, v in found], dtype=np.int32)
         self.bits = max(4, int(np.ceil(np.log2(max(len(keys), 1) * 4 + 1))))
-        self.mask = np.uint32((1 << self.bits) - 1)
-        self.keys = np.zeros(1 << self.bits, dtype=np.uint32)
+        self.mask = np.uint64((1 << self.bits) - 1)
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
         self.vals = np.full(1 << self.bits, NONE, dtype=np.int32)  # NONE: free slot
         at = self._slot(keys)
         todo = np.arange(len(keys))
@@ -83,22 +83,22 @@ class PairTable:
             slots, first = np.unique(at[free], return_index=True)
             self.keys[slots], self.vals[slots] = keys[free[first]], vals[free[first]]
             todo = np.setdiff1d(todo, free[first], assume_unique=True)
-            at[todo] = (at[todo] + np.uint32(1)) & self.mask
+            at[todo] = (at[todo] + np.uint64(1)) & self.mask
             self.probes += 1
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * GOLDEN) >> np.uint32(32 - self.bits)
+        return (keys * GOLDEN) >> np.uint64(64 - self.bits)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, NONE where it is no token."""
-        keys = (left.astype(np.uint32) << np.uint32(16)) | right.astype(np.uint32)
+        keys = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
         at = self._slot(keys)
         out = np.where(self.keys[at] == keys, self.vals[at], NONE)
         todo = np.flatnonzero((self.keys[at] != keys) & (self.vals[at] != NONE))
         for _ in range(self.probes):
             if not len(todo):
                 break
-            at[todo] = (at[todo] + np.uint32(1)) & self.mask
+            at[todo] = (at[todo] + np.uint64(1)) & self.mask
             slot = at[todo]
             hit = self.keys[slot] == keys[todo]
             out[todo[hit]] = self.vals[slot[hit]]
@@ -107,11 +107,9 @@ class PairTable:
 
 
 class BytePairTokenizer:
-    """Encodes and decodes by a rank file; ids must be below 65,536."""
+    """Encodes and decodes by a rank file."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        if max(ranks.values()) >= 1 << 16:
-            raise ValueError("pair keys hold 16 bits per id")
         self.whole = ranks
         self.pairs = PairTable(ranks)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)

@@ -76,6 +76,13 @@ def test_encode_decode_keep_columns(odd_docs, no_docs):
     assert bpe.decode(bpe.encode(no_docs)).count() == 0
 
 
-def test_ids_above_16_bits_are_refused():
-    with pytest.raises(ValueError):
-        bpe.BytePairTokenizer({bytes([b]): b for b in range(256)} | {b"ab": 1 << 16}, "a")
+def test_ids_beyond_16_bits():
+    """A vocabulary whose ids need more than 16 bits, against the public library."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    wide = {t: r * 41 + 70_000 for t, r in ranks.items()}
+    mine = bpe.BytePairTokenizer(wide, public_tokenizers.PATTERN)
+    theirs = tiktoken.Encoding("wide", pat_str=public_tokenizers.PATTERN, mergeable_ranks=wide, special_tokens={})
+    for text in ("The quick brown fox's naïve 12345 jumps...   over", "漢字 und Straße\n\n  x" * 40, "a" * 500):
+        want = theirs.encode_ordinary(text)
+        got = ids_of(mine, text)
+        assert got == want and max(got) > 1 << 16 and mine.decode(np.array(got, "<u4").tobytes()) == text.encode()

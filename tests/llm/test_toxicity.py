@@ -93,3 +93,34 @@ def test_long_tokens_and_large_lexicons(llm):
     assert len(model.words) + len(model.stems) > 0
     found = t.score(docs, model, keep=["doc_id"]).collect()
     assert all((r.score > 0.5) == (r.doc_id < 1000) for r in found)
+
+
+def test_scores_equal_plain_counting(llm):
+    """Features and score of whole documents, counted token by token in their windows."""
+    docs = llm.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = t.fit(docs, llm.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    model = t.Model(model.words + ["worthless"], model.stems, model.spared, model.coef)
+    automaton = t.LexiconAutomaton(model.words, model.stems)
+    texts = [r.text or "" for r in docs.limit(60).collect()]
+    texts += ['He said "you are worthles, friend" and left', "worthless worthless2 the word worthless", "", "worthless"]
+
+    def plain(text):
+        raw, counts = text.lower().split(), {"abuse": 0, "misspelt": 0, "quoted": 0}
+        for i, token in enumerate(raw):
+            core = token.strip(t.PUNCTUATION)
+            d = automaton.distance(core)
+            if d < 0 or (d > 0 and core in model.spared):
+                continue
+            opened = any(w[:1] in t.QUOTES for w in raw[max(0, i - t.WINDOW):i + 1])
+            ends = [w.rstrip(".,;:!?") for w in raw[i:i + t.WINDOW + 1]]
+            closed = any(w and w[-1] in t.QUOTES for w in ends)
+            told = any(w.strip(t.PUNCTUATION) in t.REPORTING for w in raw[max(0, i - 3):i + 4])
+            counts["quoted" if (opened and closed) or told else "abuse" if d == 0 else "misspelt"] += 1
+        share = 100 * (counts["abuse"] + counts["misspelt"]) / max(len(raw), 1)
+        x = [1, *(np.log(1 + counts[k]) for k in ("abuse", "misspelt", "quoted")), np.log(1 + share)]
+        return 1 / (1 + np.exp(-max(-40, min(40, sum(a * b for a, b in zip(x, model.coef))))))
+
+    rows = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in t.score(rows, model, keep=["doc_id"]).collect()}
+    assert len(got) == len(texts) and all(np.isclose(got[i], plain(x)) for i, x in enumerate(texts))
+    assert got[len(texts) - 1] > 0.5 > got[len(texts) - 2]
