@@ -99,11 +99,6 @@ def to_variant(c: ColumnOrName) -> Column:
     return _col(c).cast("variant")
 
 
-def schema_of(v: ColumnOrName) -> Column:
-    """Per-value schema text."""
-    return F.schema_of_variant(_col(v))
-
-
 def schema_agg(v: ColumnOrName) -> Column:
     """Merged schema of all values in a group (partial + final aggregation)."""
     return F.schema_of_variant_agg(_col(v))

@@ -48,16 +48,16 @@ def nested_resources(entries: DataFrame, inner_type: str) -> DataFrame:
     """C19 first half: entries that are bundles, exploded again, keeping ``inner_type``."""
     b = entries.where(F.col("resourceType") == "Bundle")
     e = b.select(
-        "bundle_uuid", "bundle_id", F.col("fullUrl").alias("first_pass_url"),
-        F.col("resourceType").alias("first_pass_resourceType"),
-        F.posexplode(as_array(get("resource", "$.entry"))).alias("second_pass_pos", "second_pass_entry"))
+        "bundle_uuid", "bundle_id", F.col("fullUrl").alias("outer_url"),
+        F.col("resourceType").alias("outer_type"),
+        F.posexplode(as_array(get("resource", "$.entry"))).alias("inner_pos", "inner_entry"))
     e = e.select(
-        "bundle_uuid", "bundle_id", "first_pass_url", "first_pass_resourceType", "second_pass_pos",
-        get("second_pass_entry", "$.fullUrl", "string").alias("second_pass_url"),
-        get("second_pass_entry", "$.resource.resourceType", "string").alias("second_pass_resourceType"),
-        get("second_pass_entry", "$.resource").alias("second_pass_resource"),
+        "bundle_uuid", "bundle_id", "outer_url", "outer_type", "inner_pos",
+        get("inner_entry", "$.fullUrl", "string").alias("inner_url"),
+        get("inner_entry", "$.resource.resourceType", "string").alias("inner_resource_type"),
+        get("inner_entry", "$.resource").alias("inner_resource"),
     )
-    return e.where(F.col("second_pass_resourceType") == inner_type)
+    return e.where(F.col("inner_resource_type") == inner_type)
 
 
 def resource_arrays(vb: DataFrame, types: list[str]) -> DataFrame:

@@ -54,14 +54,6 @@ def silver_table(ent: DataFrame, resource_type: str, keys: list[str]) -> DataFra
     return direct.unionByName(merged.select(uuid_c, bundle_c, url_c, *[F.col(f"`{k}`") for k in keys]))
 
 
-def typed_silver(silver: DataFrame, types: dict[str, str]) -> DataFrame:
-    """V9/V10 on a wide table: cast chosen key columns (NULL when not castable)."""
-    return silver.select(*[
-        F.try_variant_get(F.col(f"`{c}`"), "$", types[c]).alias(c) if c in types else F.col(f"`{c}`")
-        for c in silver.columns
-    ])
-
-
 def silver_table_legacy(ent: DataFrame, resource_type: str, keys: list[str]) -> DataFrame:
     """C10 as the older pipeline generation builds it: no resource uuid, one row per
     (bundle_uuid, ``{Type}_url``) (semantic trap 9), merging duplicates the same way."""
