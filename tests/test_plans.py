@@ -49,3 +49,30 @@ def test_batch_entries_write_is_rebalanced(spark):
     df = resources.entries(ds.bronze_variant(spark, SF)).hint("rebalance", "resourceType")
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in p or "RebalancePartitions" in p or "rebalance" in p.lower()
+
+
+@pytest.mark.parametrize("name", ["meta_pivot", "reference_join"])
+def test_look_ups_in_one_object_do_not_shuffle(spark, name):
+    assert "Exchange" not in plan(spark, name)
+
+
+def test_coordinates_shuffle_nothing_but_duplicates(spark):
+    assert plan(spark, "triple_explode_pivot").count("Exchange hashpartitioning") == 1  # as in silver_order
+
+
+def test_exploded_rows_carry_no_list_of_their_bundle(spark):
+    """The explode of entries keeps the bundle's id only; a list beside it would be quadratic."""
+    from bundleflow.plans import datasets as ds, resources
+    entries = resources.entries(ds.bronze_variant(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    kept = entries.split("Generate posexplode")[1].split("), [")[1].split("]")[0]
+    assert kept.startswith("bundle_uuid#") and "," not in kept
+
+
+def test_declared_older_tables_hold_no_rows(spark):
+    """Key drift reads the columns of the stored tables; their rows are never written for it."""
+    from bundleflow.plans import datasets as ds
+    from bundleflow.session import join_path
+    from bundleflow.sinks.store import dataset_root
+    se.queries()["new_keys"](spark, SF).count()
+    stored = spark.read.parquet(join_path(dataset_root(spark, SF), "silver_before_lineitem"))
+    assert stored.count() == 0 and len(stored.columns) > 3 and ds.silver(spark, SF, "LineItem").count() > 0
