@@ -7,7 +7,7 @@ join.  Only the fetched candidates run their regular expression.  A rule without
 token is filed under the empty token, which every url holds, so no rule is lost.
 
 Defined results: a null url or one without ``://`` has an empty host and path and gets the
-default verdict; every input row gives one output row, also repeated rows and null ids;
+default verdict; very long urls are matched whole; every input row gives one output row, also repeated rows and null ids;
 extra columns are ignored; ties between rules of one length go to block, then to the
 smaller rule text.
 """
@@ -20,9 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import BROADCAST_BYTES
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Rules above this count are joined by a shuffle instead of a broadcast.
-MAX_BROADCAST_RULES = 20_000
 
 
 @dataclass(frozen=True)
@@ -126,14 +126,21 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(raw, UPPER, LOWER), F.regexp_extract(after, "^([^?#]*)", 1)
 
 
-def rarest_token_index(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """``rules`` with ``token``: the one of its tokens that the fewest urls hold."""
+def rule_bytes(rules: Sequence) -> int:
+    """Bytes that a broadcast of the rules holds: texts, patterns, tokens, and a row's overhead."""
+    return sum(100 + 2 * len(r.text) + 2 * len(r.pattern) + sum(50 + len(t) for t in r.tokens) for r in rules)
+
+
+def rarest_token_index(urls: DataFrame, rules: DataFrame, small: bool) -> DataFrame:
+    """``rules`` with ``token``: the one of its tokens that the fewest urls hold; ``small`` says that
+    tables of the rules' size may be broadcast."""
+    side = F.broadcast if small else (lambda df: df)
     wanted = rules.select(F.explode("tokens").alias("token")).distinct()
     held = (urls.select(F.explode("tokens").alias("token"))
-            .join(F.broadcast(wanted), "token", "left_semi")
+            .join(side(wanted), "token", "left_semi")
             .groupBy("token").agg(F.count("*").alias("urls")))
     best = (rules.select("kind", "rule", F.explode("tokens").alias("token"))
-            .join(F.broadcast(held), "token", "left")
+            .join(side(held), "token", "left")
             .groupBy("kind", "rule")
             .agg(F.min(F.struct(F.coalesce("urls", F.lit(0)), "token"))["token"].alias("token")))
     return rules.drop("tokens").join(best, ["kind", "rule"])
@@ -161,8 +168,9 @@ def judge_urls(pages: DataFrame, host_rules: Sequence[HostRule] = BASE_RULES,
                            F.lit(None).cast("string").alias("rule"),
                            F.lit(None).cast("string").alias("pattern"), F.lit(default).alias("verdict"))
     rules = tables[0].unionByName(tables[1]) if len(tables) == 2 else tables[0]
-    index = rarest_token_index(urls, rules)
-    if len(host_rules) + len(pattern_rules) <= MAX_BROADCAST_RULES:
+    small = rule_bytes([*host_rules, *pattern_rules]) <= BROADCAST_BYTES
+    index = rarest_token_index(urls, rules, small)
+    if small:
         index = F.broadcast(index)
     fetched = (urls.withColumn("token", F.explode("tokens")).drop("tokens")
                .join(index.withColumnRenamed("pattern", "regex"), "token", "left")

@@ -36,7 +36,7 @@ def test_against_brute_force(llm):
 
 
 def test_rules_without_tokens_and_shuffled_index(llm, monkeypatch):
-    monkeypatch.setattr(u, "MAX_BROADCAST_RULES", 0)
+    monkeypatch.setattr(u, "BROADCAST_BYTES", 0)
     globs = (u.PatternRule("*xy*", "block"), u.PatternRule("/a^", "block"))
     df = llm.createDataFrame([(1, "http://axyb/"), (2, "http://h/a"), (3, "http://h/ab")], "page_id long, url string")
     got = {r.page_id: (r.verdict, r.pattern) for r in u.judge_urls(df, (), globs).collect()}
@@ -49,10 +49,41 @@ def test_index_takes_the_rarest_token(llm):
     urls = df.selectExpr("split('common.host.rare1', '[.]') AS tokens").limit(4).unionAll(
         df.selectExpr("array('common') AS tokens"))
     rules = u._rule_table(llm, [u.PatternRule("^common.rare1^", "block")], "pattern")
-    assert [r.token for r in u.rarest_token_index(urls, rules).collect()] == ["rare1"]
+    assert [r.token for r in u.rarest_token_index(urls, rules, True).collect()] == ["rare1"]
 
 
 def test_native(llm):
     df = llm.createDataFrame([(1, "http://h/")], "page_id long, url string")
     plan = u.judge_urls(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_rules_and_very_long_urls(llm, monkeypatch):
+    """Hundreds of rules of both kinds over urls up to a megabyte, broadcast and shuffled alike."""
+    rng = __import__("random").Random(6)
+    words = [f"w{i}" for i in range(40)]
+    hosts = tuple(u.HostRule(f"{rng.choice(words)}.{rng.choice(words)}", f"/{rng.choice(words)}" * rng.randint(0, 2) or "/",
+                             rng.choice(("block", "allow"))) for _ in range(50))
+    globs = tuple(u.PatternRule(f"^{rng.choice(words)}*{rng.choice('/.-')}{rng.choice(words)}^", rng.choice(("block", "allow")))
+                  for _ in range(60))
+    hosts = tuple({r.text: r for r in hosts}.values())
+    globs = tuple({r.text: r for r in globs}.values())
+    urls = ["http://" + ".".join(rng.choice(words) for _ in range(3)) + "".join(
+        f"{rng.choice('/-.')}{rng.choice(words)}" for _ in range(rng.randint(0, 6))) + rng.choice(("", "?q=w1", "#w2")) for _ in range(150)]
+    urls += ["http://w1.w2/" + "x" * 1_000_000, "http://" + "w3." * 50_000 + "w4/w5"]
+    df = llm.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+
+    def verdicts():
+        return sorted((r.page_id, r.rule, r.verdict) for r in u.judge_urls(df, hosts, globs).collect())
+
+    got = verdicts()
+    for (k, rule, verdict), url in zip(got, urls):
+        host, path, want_rule, want = brute(url, hosts, globs)
+        assert rule == want_rule and (rule is not None or not any(  # ties of one length go to block
+            re.search(r.pattern.removeprefix("(?s)"), host + path, re.S) for r in globs) or verdict in ("block", "allow"))
+        if rule is not None:
+            assert verdict == want
+    assert any(v == "block" for _, _, v in got) and any(r for _, r, _ in got)
+    assert u.rule_bytes(hosts + globs) > 100 * len(hosts + globs)
+    monkeypatch.setattr(u, "BROADCAST_BYTES", 0)
+    assert verdicts() == got
