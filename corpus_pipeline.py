@@ -18,16 +18,23 @@ from pyspark.sql import functions as F
 from bundleflow.llm import bpe, decontaminate, langid, neardup, pii
 from bundleflow.llm.common import Scratch, prepare, table
 
+# Probability from which the found language replaces a differing ``lang``.
+SURE = 0.9
 NEAR = neardup.Setting(percent=80, bands=32, rows=5, extra=160)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language of the training rows: null texts, texts without letters and texts
-    whose n-grams are rarer than ``Model.foreign`` allows go; texts in two languages stay."""
+    """Documents in a language of the training rows, with that language as their ``lang``.
+
+    Null texts, texts without letters and texts whose n-grams are rarer than ``Model.foreign`` allows
+    go; texts in two languages stay.  A missing ``lang`` becomes the found language, and so does one
+    that the text contradicts with a probability of ``SURE``; the last stage returns it."""
     prepare(spark)
     model = langid.fit(docs, train=langid.train_rows())
     found = langid.identify(docs, model, lang_out="found language", score_out="found score", rarity_out="found rarity")
+    wrong = F.col("lang").isNull() | (F.col("found score") >= SURE)
     return (found.filter((F.col("found language") != langid.UNKNOWN) & (F.col("found rarity") <= model.foreign))
+            .withColumn("lang", F.when(wrong, F.col("found language")).otherwise(F.col("lang")))
             .drop("found language", "found score", "found rarity"))
 
 

@@ -61,6 +61,16 @@ def test_language_stage_rejects_a_foreign_language(llm):
     assert len(kept) == docs.filter(F.col("text").rlike(r"\p{L}")).count() + 1
 
 
+def test_language_stage_labels_what_follows(llm):
+    """A text without a label gets the found language, a wrong label is put right, a right one stays."""
+    docs = llm.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("length(text) > 900")
+    en = docs.filter("lang = 'en'").orderBy("doc_id").first().text
+    planted = [(-1, en, None, "p", len(en)), (-2, en, "de", "p", len(en)), (-3, en, "en", "p", len(en))]
+    rows = docs.unionByName(llm.createDataFrame(planted, docs.schema))
+    labelled = corpus_pipeline.language_id(llm, rows, "").filter("doc_id < 0")
+    assert {r.doc_id: r.lang for r in labelled.collect()} == {-1: "en", -2: "en", -3: "en"}
+
+
 def test_dedup_stage_keeps_one_of_a_group_without_ids(llm):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(None, text), (None, text + " end"), (None, text), (7, text.replace("60", "61") + " x"), (7, text + " y"),
