@@ -4,7 +4,9 @@ Stream of whole text files -> ``foreachBatch``: each row's file is copied to the
 (below it at the same relative path as below the landing folder) by the executor that holds the
 row, which adds the ``{status, message}`` map; the batch is written to
 ``documents_bronze/batch_id=<n>`` (overwrite: replay-safe), the paths of its failed copies to
-``documents_failed/batch_id=<n>``.  Those are tried again at the start of the next run, which reads
+``documents_failed/batch_id=<n>``.  A scan deals small files out some thirty at a time; such shares
+are joined to a few per core, so a landing of many small files gives neither a task nor a stored file
+for every thirty of them.  Failed copies are tried again at the start of the next run, which reads
 that small table alone; their new status replaces the stored one on reading.
 """
 
@@ -20,6 +22,9 @@ from ..sinks.files import copy_status, relative_path
 from ..sinks.store import list_dirs, path_exists
 from .hops import Layout, refresh, text_files_stream
 
+# Tasks of a batch per core; a batch is bounded by bytes (``hops.MAX_BYTES``), so is a task.
+TASKS_PER_CORE = 4
+
 
 def _decoded(path: Column) -> Column:
     """File metadata holds percent-encoded paths; a plus sign stands for itself in them."""
@@ -40,6 +45,8 @@ def stage_documents(spark: SparkSession, landing: str, stage_dir: str, root: str
         rows = batch.select(
             "file_metadata", F.current_timestamp().alias("ingest_time"), "value", path.alias("source_path"),
             F.concat(F.lit(stage_dir.rstrip("/") + "/"), relative_path(spark, landing, path)).alias("stage_path"))
+        if not max_files_per_trigger:  # no shuffle: a task reads several of the scan's shares
+            rows = rows.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
         if cluster_by:  # D2: sorted where the rows lie, so no text is read twice or shuffled
             rows = rows.sortWithinPartitions(cluster_by)
         copied = copy_status.asNondeterministic()("source_path", "stage_path")

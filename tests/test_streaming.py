@@ -263,3 +263,24 @@ def test_documents_above_one_value_in_the_stream(spark, tmp, monkeypatch):
     assert [r.value for r in spark.read.parquet(layout.table("quarantine")).collect()] == ['{"entry": [']
     assert read_silver(spark, layout, "Patient").count() == 2
     assert spark.read.parquet(layout.table("bundle_meta")).where("bundle_resourceType = 'Bundle'").count() == 2
+
+
+def test_many_small_documents_give_few_stored_files(spark, tmp):
+    """The scan deals small files out a few at a time; a batch stores a few files per core only."""
+    import os
+
+    from bundleflow.streaming import ccda
+    os.makedirs(f"{tmp}/landing")
+    for i in range(100):
+        with open(f"{tmp}/landing/{i}.txt", "w", encoding="utf-8") as f:
+            f.write(f"text {i}")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")
+    try:
+        layout = ccda.stage_documents(spark, f"{tmp}/landing", f"{tmp}/staged", f"{tmp}/out", glob="*.txt")
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    stored = spark.read.parquet(layout.table("documents_bronze"))
+    assert {r.value for r in stored.collect()} == {f"text {i}" for i in range(100)}
+    assert len(stored.inputFiles()) <= ccda.TASKS_PER_CORE * spark.sparkContext.defaultParallelism < 50
+    assert len(os.listdir(f"{tmp}/staged")) == 100
