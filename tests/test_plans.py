@@ -76,3 +76,31 @@ def test_declared_older_tables_hold_no_rows(spark):
     se.queries()["new_keys"](spark, SF).count()
     stored = spark.read.parquet(join_path(dataset_root(spark, SF), "silver_before_lineitem"))
     assert stored.count() == 0 and len(stored.columns) > 3 and ds.silver(spark, SF, "LineItem").count() > 0
+
+
+def test_bundle_texts_are_built_after_the_last_shuffle(spark):
+    """Columns travel through the joins of the input; no JSON text does."""
+    from bundleflow.plans import datasets as ds
+    lines = ds.bronze_text(spark, SF)._jdf.queryExecution().executedPlan().toString().split("\n")
+    texts = [i for i, x in enumerate(lines) if "to_json" in x.lower() or "structstojson" in x.lower()]
+    shuffles = [i for i, x in enumerate(lines) if "Exchange" in x]
+    assert texts and shuffles and max(texts) < min(shuffles)  # the plan's root comes first
+
+
+def test_entries_are_stored_without_a_shuffle(spark, monkeypatch):
+    from bundleflow.plans import datasets as ds
+    se.queries()["resource_types"](spark, SF).count()
+    path = ds._path(spark, SF, "entries")
+    stored = spark.read.parquet(path)
+    assert "resource_uuid" not in stored.columns and "dup_url" in stored.columns
+    assert all(".zstd." in f for f in stored.inputFiles())
+    import pyarrow.parquet as pq
+    assert "typed_value" not in str(pq.ParquetFile(stored.inputFiles()[0].removeprefix("file:")).schema)  # values lie whole
+    built = {}
+    keep = ds.materialize
+    monkeypatch.setattr(ds, "materialize", lambda s, p, build, **k: built.setdefault(p, build) and keep(s, p, build, **k))
+    whole = ds.entries(spark, SF)
+    plan_text = built[path]()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan_text and "ebalance" not in plan_text
+    assert whole.where("resource_uuid <> sha2(concat(bundle_uuid, fullUrl), 256)").count() == 0
+    assert whole.where("resource_uuid IS NULL").count() == 0
