@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.variant import as_array, get, to_variant
+from ..functions.variant import get, to_variant
 from ..operators.pivot import pivot_fixed
 from .bronze import entry_array
 
@@ -46,16 +46,19 @@ def entry_table(header: DataFrame) -> DataFrame:
 
 def nested_resources(entries: DataFrame, inner_type: str) -> DataFrame:
     """C19 first half: entries that are bundles, exploded again, keeping ``inner_type``."""
+    # one cast reads what is kept of all inner entries: a resource is copied once, not with its bundle,
+    # its entry array and its entry first
+    kept = "array<struct<fullUrl: string, resource: variant>>"
     b = entries.where(F.col("resourceType") == "Bundle")
     e = b.select(
         "bundle_uuid", "bundle_id", F.col("fullUrl").alias("outer_url"),
         F.col("resourceType").alias("outer_type"),
-        F.posexplode(as_array(get("resource", "$.entry"))).alias("inner_pos", "inner_entry"))
+        F.posexplode(get("resource", "$.entry", kept)).alias("inner_pos", "inner_entry"))
     e = e.select(
         "bundle_uuid", "bundle_id", "outer_url", "outer_type", "inner_pos",
-        get("inner_entry", "$.fullUrl", "string").alias("inner_url"),
-        get("inner_entry", "$.resource.resourceType", "string").alias("inner_resource_type"),
-        get("inner_entry", "$.resource").alias("inner_resource"),
+        F.col("inner_entry.fullUrl").alias("inner_url"),
+        get("inner_entry.resource", "$.resourceType", "string").alias("inner_resource_type"),
+        F.col("inner_entry.resource").alias("inner_resource"),
     )
     return e.where(F.col("inner_resource_type") == inner_type)
 

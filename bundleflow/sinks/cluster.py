@@ -37,16 +37,26 @@ def curve(df: DataFrame, columns: list[str]) -> Column:
     borders = df.agg(*[F.percentile_approx(o, shares, 10 * RANKS).alias(f"b{i}") for i, o in enumerate(ordinals)]).first()
     place = F.lit(0).cast("long")
     for i, o in enumerate(ordinals):
-        cuts = sorted(set(borders[i] or []))
-        # the number of borders below the value; every row finds it among a bounded list
-        rank = F.coalesce(F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda x: x < o)) + 1, F.lit(0)) if cuts else F.lit(0)
-        rank = F.least(rank, F.lit(RANKS - 1)).cast("long")
-        for b in range(BITS):
-            bit = F.shiftright(rank, b).bitwiseAND(F.lit(1).cast("long"))
-            place = place.bitwiseOR(F.shiftleft(bit, b * len(columns) + i))
+        # the bits of a rank, spread to the column's turns on the curve
+        ranks = [min(below + 1, RANKS - 1) for below in range(RANKS)]
+        spread = [sum((r >> b & 1) << (b * len(columns) + i) for b in range(BITS)) for r in ranks]
+        below = _borders_below(o, sorted(set(borders[i] or [])))
+        place = place.bitwiseOR(F.when(o.isNotNull(), F.get(_numbers(spread, "bigint"), below)).otherwise(F.lit(0).cast("long")))
     return place
 
 
+def _numbers(values: list, kind: str) -> Column:
+    return F.array(*[F.lit(x).cast(kind) for x in values])
+
+
+def _borders_below(value: Column, cuts: list[float]) -> Column:
+    """How many of the sorted ``cuts`` lie below the value, by halving: ``BITS`` comparisons a row.
+    The list is filled up to ``RANKS - 1`` with NaN, which lies below nothing."""
+    filled = _numbers(cuts + [float("nan")] * (RANKS - 1 - len(cuts)), "double")
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(BITS))])
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(filled, n + step - 1) < value, n + step).otherwise(n))
+
+
 def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
     """``df`` dealt and sorted by the curve (one column: by the column itself)."""
     if len(columns) == 1:

@@ -48,3 +48,21 @@ def test_nulls_and_empty_tables(spark, tmp):
     assert sorted(map(str, spark.read.parquet(f"{tmp}/n").collect())) == sorted(map(str, df.collect()))
     write_table(df.limit(0), f"{tmp}/e", cluster_by=["a", "b"])
     assert spark.read.parquet(f"{tmp}/e").count() == 0
+
+
+def test_ranks_are_found_by_halving(spark):
+    """The place of a row is that of its ranks among the borders, without a walk along all of them."""
+    from bundleflow.sinks.cluster import RANKS, curve
+    df = spark.range(2_000).select((F.col("id") % 700).alias("a"), F.when(F.col("id") % 9 > 0, F.col("id") % 31).alias("b"))
+    place = curve(df, ["a", "b"])
+    plan = df.select(place.alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan and plan.count("aggregate(") == 2
+    shares = F.array(*[F.lit(i / RANKS) for i in range(1, RANKS)])
+    cuts = {c: sorted(set(df.agg(F.percentile_approx(F.col(c).cast("double"), shares, 10 * RANKS)).first()[0])) for c in ("a", "b")}
+
+    def bits(value, borders, turn):
+        rank = 0 if value is None else min(sum(x < value for x in borders) + 1, RANKS - 1)
+        return sum((rank >> i & 1) << (2 * i + turn) for i in range(8))
+
+    for r in df.select("a", "b", place.alias("p")).collect():
+        assert r.p == bits(r.a, cuts["a"], 0) | bits(r.b, cuts["b"], 1)

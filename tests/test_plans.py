@@ -104,3 +104,41 @@ def test_entries_are_stored_without_a_shuffle(spark, monkeypatch):
     assert "Exchange" not in plan_text and "ebalance" not in plan_text
     assert whole.where("resource_uuid <> sha2(concat(bundle_uuid, fullUrl), 256)").count() == 0
     assert whole.where("resource_uuid IS NULL").count() == 0
+
+
+def test_lines_of_an_order_are_gathered_in_one_pass(spark):
+    """One shuffle of the lines, as columns, and one sort; no partial arrays are hashed and written."""
+    from bundleflow.plans import synth
+    from bundleflow.session import configure
+    from bundleflow.sources.tables import table
+    df = synth.line_groups(table(configure(spark), SF, "lineitem").select("l_orderkey", *synth.LINE_SORT_COLS))
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange") == 1 and p.count("Sort [") == 1 and p.count("SortAggregate") == 1
+    assert "ObjectHashAggregate" not in p and "partial_" not in p
+
+
+def test_a_resource_is_read_from_its_bundle_by_one_cast(spark):
+    """Neither the entry nor, in a nested bundle, the bundle and its entries are copied on the way."""
+    from bundleflow.plans import datasets as ds, resources
+    from bundleflow.plans.bundles import bundle_header, entry_table, nested_resources
+    p = resources.entries(ds.bronze_variant(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert "array<variant>" not in p.lower() and "variant_get(entry" not in p.replace("#", "")
+    nested = nested_resources(entry_table(bundle_header(ds.nested_variant(spark, SF))), "Order")
+    p = nested._jdf.queryExecution().optimizedPlan().toString()
+    assert "VariantType" not in p.split("inner_pos")[0] or "try_variant_get(inner_entry" not in p
+
+
+def test_odd_entries_keep_their_rows(spark):
+    """Entries that are no objects, lack a resource or hold a null request give the rows they gave."""
+    from pyspark.sql import functions as F
+    from bundleflow.plans import bronze, resources
+    text = ('{"entry":[7,null,{"fullUrl":5},{"fullUrl":"a","resource":{"resourceType":"X"},"request":null},'
+            '{"fullUrl":"a","resource":"t"},{"resource":{"resourceType":"Y","n":[1]}}]}')
+    b = spark.createDataFrame([("u", text), ("v", '{"entry":{}}')], "bundle_uuid string, value string").select(
+        "bundle_uuid", F.current_timestamp().alias("ingest_time"), F.lit(None).cast("string").alias("file_metadata"), "value")
+    rows = resources.entries(bronze.variant_bronze(b)).orderBy("entry_pos").select(
+        "fullUrl", "resourceType", "dup_url", F.to_json("request"), F.to_json("resource")).collect()
+    assert [tuple(r) for r in rows] == [
+        (None, None, True, None, None), (None, None, True, None, None), ("5", None, False, None, None),
+        ("a", "X", True, "null", '{"resourceType":"X"}'), ("a", None, True, None, '"t"'),
+        (None, "Y", True, None, '{"n":[1],"resourceType":"Y"}')]
