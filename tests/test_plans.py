@@ -131,3 +131,32 @@ def test_odd_entries_keep_their_rows(spark):
         (None, None, True, None, None), (None, None, True, None, None), ("5", None, False, None, None),
         ("a", "X", True, "null", '{"resourceType":"X"}'), ("a", None, True, None, '"t"'),
         (None, "Y", True, None, '{"n":[1],"resourceType":"Y"}')]
+
+
+def test_bundle_texts_need_no_pattern(spark):
+    from bundleflow.plans import synth
+    assert "regexp_replace" not in synth.order_bundles(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bundle_text_of_many_lines(spark, tmp_path):
+    """More lines than one call writes keep their order and places; lines without a key have no entry."""
+    import json
+
+    from bundleflow.plans import synth
+    n = 2 * synth.PART_ENTRIES + 1
+    spark.sql("SELECT 7L AS o_orderkey, 3L AS o_custkey, 'O' AS o_orderstatus, 1.5D AS o_totalprice, "
+              "timestamp'1995-01-02' AS o_orderdate, '1-URGENT' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 3L AS c_custkey, '[\"]' AS c_name, 1 AS c_nationkey, 2.5D AS c_acctbal, 'X' AS c_mktsegment").write.parquet(
+        f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 1 AS n_nationkey, 'N' AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql(f"SELECT if(id = 0, NULL, 7L) AS l_orderkey, cast(id AS int) AS l_linenumber, id AS l_partkey, id AS l_suppkey, "
+              f"1.0D AS l_quantity, 1.0D AS l_extendedprice, 0.0D AS l_discount, 0.0D AS l_tax, '[A]' AS l_returnflag, "
+              f"']' AS l_linestatus, timestamp'1995-01-03' AS l_shipdate FROM range({n + 1})").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = {r.bundle_id: r for r in synth.order_bundles(spark, str(tmp_path)).collect()}
+    assert set(found) == {"7", None} and json.loads(found[None].value)["entry"] == []
+    text = found["7"].value
+    entries = json.loads(text)["entry"]
+    assert [e["fullUrl"] for e in entries] == ["Order/7", "Customer/3", *(f"LineItem/7-{i}" for i in range(1, n + 1))]
+    assert [e["resource"]["linenumber"] for e in entries[2:]] == list(range(1, n + 1))
+    assert entries[1]["resource"]["name"] == '["]' and entries[-1]["resource"]["linestatus"] == "]"
+    assert json.loads(text)["Meta"]["Transmission"]["Id"] == "7" and found["7"].file_metadata.file_size == len(text)
