@@ -20,10 +20,8 @@ from pyspark.sql import functions as F
 from ..session import join_path
 from ..sinks.files import copy_status, relative_path
 from ..sinks.store import list_dirs, path_exists
-from .hops import Layout, refresh, text_files_stream
-
-# Tasks of a batch per core; a batch is bounded by bytes (``hops.MAX_BYTES``), so is a task.
-TASKS_PER_CORE = 4
+from .hops import Layout, landed_texts, refresh
+from .landing import TASKS_PER_CORE
 
 
 def _decoded(path: Column) -> Column:
@@ -36,8 +34,8 @@ def stage_documents(spark: SparkSession, landing: str, stage_dir: str, root: str
                     archive_dir: str | None = None, cluster_by: str | None = "file_metadata.file_path") -> Layout:
     layout = Layout(root)
     retry_failed(spark, layout)
-    stream = text_files_stream(spark, landing, glob, max_files_per_trigger,
-                               clean_source=clean_source, archive_dir=archive_dir)
+    stream = landed_texts(spark, landing, glob, layout, "documents_bronze", max_files_per_trigger,
+                          clean_source, archive_dir)
     out = layout.table("documents_bronze")
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -38,6 +38,7 @@ from ..plans import bronze, resources
 from ..plans.declare import merged_schema
 from ..session import join_path
 from ..sinks.store import delete_path, list_dirs, path_exists, write_table_info
+from .landing import follows_log, log_path, logged_texts
 
 FILE_METADATA_FIELDS = ["file_path", "file_name", "file_size", "file_block_start",
                         "file_block_length", "file_modification_time"]
@@ -105,12 +106,28 @@ def text_files_stream(spark: SparkSession, landing: str, glob: str = "*.json",
     return df.select(meta.alias("file_metadata"), "value")
 
 
+def landed_texts(spark: SparkSession, landing: str, glob: str, layout: Layout, hop: str,
+                 max_files_per_trigger: int | None = None, clean_source: str = "off",
+                 archive_dir: str | None = None) -> DataFrame:
+    """The texts that landed since the hop's last run.  A hop without bounds in files goes by a log of the landed
+    files, as Spark's own source keeps every one of them on the driver; one that began on that source, or
+    that has the source clean up, stays with it."""
+    checkpoint = layout.checkpoint(hop)
+    logged = path_exists(spark, log_path(checkpoint))
+    if logged and clean_source != "off":
+        raise ValueError(f"{hop} goes by its log of landed files, which cleans up nothing: refresh it in full")
+    if logged or (not max_files_per_trigger and clean_source == "off" and follows_log(spark, checkpoint)):
+        return logged_texts(spark, landing, glob, checkpoint, MAX_BYTES, max_files_per_trigger)
+    return text_files_stream(spark, landing, glob, max_files_per_trigger,
+                             clean_source=clean_source, archive_dir=archive_dir)
+
+
 # --- hops -------------------------------------------------------------------------------
 
 def bronze_hop(spark: SparkSession, landing: str, layout: Layout, id_mode: str = "hash",
                max_files_per_trigger: int | None = None, glob: str = "*.json"):
     """Files -> bronze (file_metadata, ingest_time, bundle_uuid, value)."""
-    s = text_files_stream(spark, landing, glob, max_files_per_trigger)
+    s = landed_texts(spark, landing, glob, layout, "bronze", max_files_per_trigger)
     q = refresh(bronze.bronze_from_text(s, id_mode), "bronze", layout)
     if path_exists(spark, layout.table("bronze")):
         write_table_info(spark, layout.table("bronze"), "Raw bundle text, one row per landed file.",
