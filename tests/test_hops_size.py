@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as se
 from bundleflow.plans import datasets as ds, synth
-from bundleflow.plans.declare import infer_by_group, typed_groups
 from bundleflow.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -74,3 +73,27 @@ def test_counting_shuffles_no_entry_that_is_distinct_as_it_stands(spark):
     counts = se.queries()["resource_counts"](spark, SF)
     assert sum(r.cnt for r in counts.collect()) == n
     assert _shuffled_rows(counts) < 100 < n
+
+
+def test_no_hash_of_a_bundle_is_stored(spark):
+    for name, df in (("bronze_variant", ds.bronze_variant(spark, SF)), ("entries", ds.entries(spark, SF))):
+        stored = spark.read.parquet(ds._path(spark, SF, name))
+        assert stored.agg(F.max(F.length("bundle_uuid"))).first()[0] < 20
+        seen = stored.select(F.sha2(F.concat(F.lit("bundle:"), "bundle_uuid"), 256).alias("bundle_uuid"))
+        assert seen.exceptAll(df.select("bundle_uuid")).isEmpty() and df.count() == seen.count()
+    uuids = ds.bronze_text(spark, SF).select("bundle_uuid").distinct()
+    assert uuids.exceptAll(ds.bronze_variant(spark, SF).select("bundle_uuid").distinct()).isEmpty()
+
+
+def test_lines_are_dealt_out_before_they_are_grouped(spark):
+    """No list of lines is made on the scan's side of the shuffle, where a large share would spill."""
+    plan = _plan(synth.order_bundles(spark, SF)).toString().split("\n")
+    scan = next(i for i, x in enumerate(plan) if "Scan parquet" in x and "l_linenumber" in x)
+    depth, above = len(plan[scan]) - len(plan[scan].lstrip(" :+-")), []
+    for x in reversed(plan[:scan]):
+        d = len(x) - len(x.lstrip(" :+-"))
+        if d < depth:
+            depth = d
+            above.append(x)
+    upto = next(i for i, x in enumerate(above) if "Exchange" in x)
+    assert not [x for x in above[:upto] if "Aggregate" in x] and [x for x in above[upto:] if "Aggregate" in x]
