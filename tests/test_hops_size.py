@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as se
 from bundleflow.plans import datasets as ds, synth
+from bundleflow.plans.declare import infer_by_group, typed_groups
 from bundleflow.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -97,3 +98,16 @@ def test_lines_are_dealt_out_before_they_are_grouped(spark):
             above.append(x)
     upto = next(i for i, x in enumerate(above) if "Exchange" in x)
     assert not [x for x in above[:upto] if "Aggregate" in x] and [x for x in above[upto:] if "Aggregate" in x]
+
+
+def test_typed_groups_keep_every_row(spark):
+    rows = spark.createDataFrame(
+        [("a", '{"x": 1}', "A"), ("b", '{"x": 2}', "A"), ("c", '{"y": [1, 2]}', "B.b"), ("d", None, "C"), ("e", '{"z": 1}', None)],
+        "id string, text string, kind string").withColumn("v", F.try_parse_json("text")).drop("text")
+    typed = typed_groups(rows, "kind", "v", infer_by_group(rows, "kind", ["v"]))
+    assert typed.columns == ["id", "kind", "A", "B.b", "C"]
+    found = {r.id: (r.kind, r["A"] and r["A"].x, r["B.b"] and r["B.b"].y) for r in typed.collect()}
+    assert found == {"a": ("A", 1, None), "b": ("A", 2, None), "c": ("B.b", None, [1, 2]), "d": ("C", None, None),
+                     "e": (None, None, None)}
+    # one cast a branch, none in a case of several
+    assert "CASE WHEN" not in typed._jdf.queryExecution().optimizedPlan().toString()
