@@ -95,3 +95,18 @@ def test_cleaning_a_logged_source_is_refused(spark, tmp):
         f.write("x")
     stage_documents(spark, land, f"{tmp}/staged", f"{tmp}/root", glob="*.txt", max_files_per_trigger=1)
     assert spark.read.parquet(f"{tmp}/root/tables/documents_bronze").count() == 61
+
+
+def test_a_bundle_hop_reads_many_small_files_in_few_tasks(spark, tmp):
+    """Spark's text source would deal these out one a task, and store a file for each."""
+    from bundleflow.streaming.hops import Layout, bronze_hop
+    from bundleflow.streaming.landing import TASKS_PER_CORE
+    land, layout = _landing(tmp), Layout(os.path.join(tmp, "root"))
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")
+    try:
+        bronze_hop(spark, land, layout, glob="*.txt")
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    stored = spark.read.parquet(layout.table("bronze"))
+    assert stored.count() == 60 and len(stored.inputFiles()) <= TASKS_PER_CORE * spark.sparkContext.defaultParallelism < 60
